@@ -58,14 +58,17 @@ def yoy_change(df: DataFrame, key: str, order: str, value: str,
 
 def value_breakdown(df: DataFrame, key: str = "property_id") -> DataFrame:
     """Taxable land / building, exempt = land + building (missing as 0), and
-    whether the key has any positive exempt amount (window over the key)."""
+    whether the key has any positive exempt amount.
+
+    The flag is a partially aggregated ``bool_or`` per key joined back
+    (not a window), so a key with very many rows is reduced map-side."""
     z = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     exempt = z("exempt_land") + z("exempt_building")
     out = df.select("*", z("taxable_land").alias("taxable_land_value"),
                     z("taxable_building").alias("taxable_building_value"),
                     exempt.alias("exempt_value"))
-    return out.withColumn("has_exempt",
-                          F.bool_or(F.col("exempt_value") > 0).over(Window.partitionBy(key)))
+    flag = out.groupBy(key).agg(F.bool_or(F.col("exempt_value") > 0).alias("has_exempt"))
+    return out.join(flag, key, "left")
 
 
 def value_per_area(df: DataFrame, value: str = "market_value",

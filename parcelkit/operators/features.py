@@ -131,16 +131,27 @@ def training_rows(df: DataFrame, since: str = TRAIN_SINCE,
 def impute(df: DataFrame, plan: Mapping[str, tuple[str, str | None]]) -> DataFrame:
     """Fill NULLs per column: ("zero", None), ("median", by), ("mode", None).
 
-    Group statistics are one aggregate per ``by`` column (partial
-    aggregation, one row per group) joined back on the group key; AQE
-    broadcasts them when small.  Rows whose group has no value, or a NULL
-    group, fall back to the global statistic (scalar subquery).
+    Group medians: one partially aggregated ``groupBy`` per ``by`` column
+    (one row per group) joined back on the group key; AQE broadcasts it
+    when small and splits skewed keys otherwise.  Global medians and modes
+    (fallback for NULL or unseen groups) come from ONE aggregate used as a
+    scalar subquery, so the input is scanned once for all of them.
+    Medians are exact (memory per group grows with its distinct values).
     """
-    out = df
+    dtypes = dict(df.dtypes)
     by_groups: dict[str, list[str]] = {}
+    glob_aggs = []
     for c, (how, by) in plan.items():
-        if how == "median" and by:
-            by_groups.setdefault(by, []).append(c)
+        if how == "median":
+            glob_aggs.append(F.median(c).alias(c))
+            if by:
+                by_groups.setdefault(by, []).append(c)
+        elif how == "mode":
+            glob_aggs.append(F.mode(c, True).alias(c))
+        elif how != "zero":
+            raise ValueError(how)
+    glob_row = df.agg(F.struct(*glob_aggs).alias("g")).scalar() if glob_aggs else None
+    out = df
     for by, cols in by_groups.items():
         stats = (df.where(F.col(by).isNotNull()).groupBy(by)
                  .agg(*[F.median(c).alias(f"_{by}_{c}_med") for c in cols]))
@@ -152,16 +163,13 @@ def impute(df: DataFrame, plan: Mapping[str, tuple[str, str | None]]) -> DataFra
             continue
         how, by = plan[c]
         if how == "zero":
-            e = F.coalesce(F.col(c), F.lit(0).cast(dict(df.dtypes)[c]))
+            e = F.coalesce(F.col(c), F.lit(0).cast(dtypes[c])).cast(dtypes[c])
         elif how == "median":
-            glob = df.select(F.median(c)).scalar()
-            e = F.coalesce(F.col(c), F.col(f"_{by}_{c}_med"), glob) if by else F.coalesce(F.col(c), glob)
-        elif how == "mode":
-            e = F.coalesce(F.col(c), df.select(F.mode(c, True)).scalar())
+            parts = [F.col(c)] + ([F.col(f"_{by}_{c}_med")] if by else []) + [glob_row[c]]
+            e = F.coalesce(*parts)
         else:
-            raise ValueError(how)
-        fills.append(e.cast(dict(df.dtypes)[c]).alias(c) if how != "median"
-                     else e.alias(c))
+            e = F.coalesce(F.col(c), glob_row[c]).cast(dtypes[c])
+        fills.append(e.alias(c))
     return out.select(*fills)
 
 

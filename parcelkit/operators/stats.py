@@ -127,9 +127,8 @@ def histogram(df: DataFrame, col: str, bins: int = 100) -> DataFrame:
     edge falls in the last bin.  Output: bin, bin_lower, bin_upper, row_count.
     """
     x = F.col(col).cast("double")
-    rng = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo = rng.select("lo").scalar()
-    hi = rng.select("hi").scalar()
+    rng = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo, hi = rng["lo"], rng["hi"]
     width = (hi - lo) / F.lit(float(bins))
     idx = F.when(width > 0, F.least(F.floor((x - lo) / width), F.lit(bins - 1))).otherwise(0)
     counted = (df.where(x.isNotNull()).select(idx.cast("int").alias("bin"))
@@ -154,7 +153,7 @@ def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataF
     return df.orderBy(h, *key).limit(n)
 
 
-def window_report(df: DataFrame, keep: Column, label: str = "price_window") -> DataFrame:
+def window_report(df: DataFrame, keep: Column) -> DataFrame:
     """Row counts before and after a filter, one pass."""
     return df.agg(F.count(F.lit(1)).alias("rows_before"),
                   F.count_if(keep).alias("rows_after"),

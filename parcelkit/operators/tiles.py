@@ -18,26 +18,37 @@ TILE_BYTE_CAP = 2000000
 
 
 def tile_assign(df: DataFrame, key: str = "property_id", polys: str = "polygons",
-                min_zoom: int = MIN_ZOOM, max_zoom: int = MAX_ZOOM) -> DataFrame:
-    """Every (z, x, y) tile each feature's bounding box touches."""
-    b = df.where(F.col(polys).isNotNull()).select(key, bbox(polys).alias("bb"))
-    z = b.select(key, "bb", F.explode(F.sequence(F.lit(min_zoom), F.lit(max_zoom))).alias("z"))
-    xr = z.select(key, "z", "bb",
-                  F.explode(F.sequence(tile_x(F.col("bb.west"), F.col("z")),
-                                       tile_x(F.col("bb.east"), F.col("z")))).alias("x"))
-    return xr.select(key, "z", "x",
-                     F.explode(F.sequence(tile_y(F.col("bb.north"), F.col("z")),
-                                          tile_y(F.col("bb.south"), F.col("z")))).alias("y"))
-
-
-def tile_stats(tiles: DataFrame, features: DataFrame, key: str = "property_id",
-               feature_text: str = "feature", cap: int = TILE_BYTE_CAP) -> DataFrame:
+                min_zoom: int = MIN_ZOOM, max_zoom: int = MAX_ZOOM,
+                carry: tuple[str, ...] = ()) -> DataFrame:
+    """Every (z, x, y) tile each feature's bounding box touches.
+
+    ``carry`` keeps extra narrow columns (e.g. a byte size) on every tile
+    row so statistics need no join back to the features."""
+    b = df.where(F.col(polys).isNotNull()).select(key, *carry, bbox(polys).alias("bb"))
+    z = b.select(key, *carry, "bb",
+                 F.explode(F.sequence(F.lit(min_zoom), F.lit(max_zoom))).alias("z"))
+    ranges = z.select(key, *carry, "z",
+                      tile_x(F.col("bb.west"), F.col("z")).alias("x0"),
+                      tile_x(F.col("bb.east"), F.col("z")).alias("x1"),
+                      tile_y(F.col("bb.north"), F.col("z")).alias("y0"),
+                      tile_y(F.col("bb.south"), F.col("z")).alias("y1"))
+    xr = ranges.select(key, *carry, "z", "y0", "y1",
+                       F.explode(F.sequence("x0", "x1")).alias("x"))
+    return xr.select(key, "z", "x", F.explode(F.sequence("y0", "y1")).alias("y"), *carry)
+
+
+def tile_stats(features: DataFrame, polys: str = "polygons", feature_text: str = "feature",
+               key: str = "property_id", cap: int = TILE_BYTE_CAP,
+               min_zoom: int = MIN_ZOOM, max_zoom: int = MAX_ZOOM) -> DataFrame:
     """Features and bytes per tile, with an over-cap flag.
 
-    Feature byte sizes are computed once per feature and joined to the
-    narrow tile rows; the group-by on (z, x, y) is partially aggregated."""
-    sizes = features.select(key, F.octet_length(F.col(feature_text)).alias("_bytes"))
-    return (tiles.join(sizes, key, "inner").groupBy("z", "x", "y")
+    The byte size of each feature is computed before the explode and
+    carried on the tile rows; one partially aggregated group-by on
+    (z, x, y) follows, so a dense tile is summed map-side first."""
+    sized = features.select(key, polys, F.octet_length(F.col(feature_text)).cast("bigint")
+                            .alias("_bytes"))
+    tiles = tile_assign(sized, key, polys, min_zoom, max_zoom, carry=("_bytes",))
+    return (tiles.groupBy("z", "x", "y")
             .agg(F.count(F.lit(1)).alias("feature_count"), F.sum("_bytes").alias("tile_bytes"))
             .withColumn("over_cap", F.col("tile_bytes") > cap))
 

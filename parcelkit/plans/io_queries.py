@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelkit.functions.geo import geojson_polygons
+from parcelkit.functions.geo import with_polygons
 from parcelkit.operators.tiles import tile_assign, write_tiles
 from parcelkit.plans import fixtures as X
 from parcelkit.plans import products as P
@@ -99,7 +99,7 @@ def q_tile_write(spark, d):
     out = shared_dir(spark, "tiles")
     ti = tile_frame(spark, d)
     feats = sinks.geojson_features(ti)
-    tiles = tile_assign(ti.select("property_id", geojson_polygons("geog").alias("polygons")))
+    tiles = tile_assign(with_polygons(ti.select("property_id", "geog"), "geog"))
     write_tiles(tiles, feats, out)
     return spark.read.text(out)
 

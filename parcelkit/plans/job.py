@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelkit.functions.casts import retype
-from parcelkit.functions.geo import geojson_polygons
+from parcelkit.functions.geo import geojson_polygons, with_polygons
 from parcelkit.operators.features import feature_frame, training_rows
 from parcelkit.operators.model import fit_forest, predict
 from parcelkit.operators.tiles import tile_assign, write_tiles
@@ -113,6 +113,6 @@ def run(spark: SparkSession, paths: Paths, trees: int = 200, depth: int = 10,
     write_text(cur_doc, "document", f"{out}/public/current_bins")
     feats_df = geojson_features(ti)
     write_text(feats_df, "feature", f"{out}/public/features")
-    tiles = tile_assign(ti.select("property_id", geojson_polygons("geog").alias("polygons")))
+    tiles = tile_assign(with_polygons(ti.select("property_id", "geog"), "geog"))
     write_tiles(tiles, feats_df, f"{out}/public/tiles")
     return counts

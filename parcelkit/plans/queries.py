@@ -286,15 +286,13 @@ def q_retype_core(spark, d):
 
 @register("geojson_parse")
 def q_geojson_parse(spark, d):
-    g = X.fx_parcels(spark, d)
-    polys = geo.geojson_polygons("geometry")
-    return g.select("property_id", geo.geojson_type("geometry").alias("geom_type"),
-                    F.size(polys).cast("bigint").alias("polygon_count"))
+    g = geo.with_polygons(X.fx_parcels(spark, d), "geometry", "p", type_col="geom_type")
+    return g.select("property_id", "geom_type", F.size("p").cast("bigint").alias("polygon_count"))
 
 
 @register("geo_bbox")
 def q_geo_bbox(spark, d):
-    g = X.fx_parcels(spark, d).select("property_id", geo.geojson_polygons("geometry").alias("p"))
+    g = geo.with_polygons(X.fx_parcels(spark, d), "geometry", "p")
     return rounded(g.where(F.col("p").isNotNull())
                    .select("property_id", geo.bbox("p").alias("b")).select("property_id", "b.*"))
 
@@ -557,20 +555,18 @@ def q_rf_train_predict(spark, d):
 
 
 # -------------------------------------------------------------- 2.13 tiles
-def _tiles(spark, d) -> DataFrame:
-    g = X.fx_parcels(spark, d).select("property_id", geo.geojson_polygons("geometry").alias("polygons"))
-    return T.tile_assign(g)
+def _parsed_parcels(spark, d) -> DataFrame:
+    return geo.with_polygons(X.fx_parcels(spark, d), "geometry", "polygons")
 
 
 @register("tile_assign")
 def q_tile_assign(spark, d):
-    return _tiles(spark, d)
+    return T.tile_assign(_parsed_parcels(spark, d))
 
 
 @register("tile_stats")
 def q_tile_stats(spark, d):
-    feats = X.fx_parcels(spark, d).where(F.col("geometry").isNotNull())
-    return T.tile_stats(_tiles(spark, d), feats, feature_text="geometry")
+    return T.tile_stats(_parsed_parcels(spark, d), feature_text="geometry")
 
 
 def queries() -> dict[str, Query]:
