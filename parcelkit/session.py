@@ -25,6 +25,37 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of TB, ~1000 executors).  Shuffle
+# partitions start high and AQE coalesces them to ~256 MB each, so a
+# 100 TB shuffle gets ~400k partitions' worth of parallelism without tiny
+# tasks on small stages; skewed partitions (> 5x median and > 512 MB) are
+# split; scans read 256 MB splits; broadcast joins only happen under
+# Spark's own size check (no broadcast hints anywhere in the library).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+}
+
+
+def cluster_conf(extra: dict | None = None) -> dict:
+    """Settings to pass at submit time for a cluster run."""
+    conf = dict(BASE_CONF)
+    conf.update(CLUSTER_CONF)
+    conf.update(extra or {})
+    return conf
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "parcelkit", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
