@@ -91,7 +91,9 @@ def bbox(polys: str | Column) -> Column:
 def tile_x(lon: Column, z: Column) -> Column:
     n = F.pow(F.lit(2.0), z)
     x = F.floor((lon + F.lit(180.0)) / F.lit(360.0) * n)
-    return F.least(F.greatest(x, F.lit(0)), n.cast("bigint") - 1).cast("bigint")
+    # greatest/least skip NULLs, so keep a NULL coordinate NULL explicitly
+    return F.when(lon.isNotNull(), F.least(F.greatest(x, F.lit(0)), n.cast("bigint") - 1)
+                  .cast("bigint"))
 
 
 def tile_y(lat: Column, z: Column) -> Column:
@@ -99,4 +101,5 @@ def tile_y(lat: Column, z: Column) -> Column:
     rad = F.radians(lat)
     merc = F.ln(F.tan(rad) + F.lit(1.0) / F.cos(rad))
     y = F.floor((F.lit(1.0) - merc / F.lit(3.141592653589793)) / F.lit(2.0) * n)
-    return F.least(F.greatest(y, F.lit(0)), n.cast("bigint") - 1).cast("bigint")
+    return F.when(lat.isNotNull(), F.least(F.greatest(y, F.lit(0)), n.cast("bigint") - 1)
+                  .cast("bigint"))

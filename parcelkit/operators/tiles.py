@@ -24,7 +24,10 @@ def tile_assign(df: DataFrame, key: str = "property_id", polys: str = "polygons"
 
     ``carry`` keeps extra narrow columns (e.g. a byte size) on every tile
     row so statistics need no join back to the features."""
-    b = df.where(F.col(polys).isNotNull()).select(key, *carry, bbox(polys).alias("bb"))
+    # No filter on the polygons: a pushed-down ``IS NOT NULL`` would repeat
+    # the parse; a NULL bounding box gives NULL sequences, which explode to
+    # no rows anyway.
+    b = df.select(key, *carry, bbox(polys).alias("bb"))
     z = b.select(key, *carry, "bb",
                  F.explode(F.sequence(F.lit(min_zoom), F.lit(max_zoom))).alias("z"))
     ranges = z.select(key, *carry, "z",

@@ -193,3 +193,25 @@ def test_chart_bins_cap(spark):
     bins = spark.createDataFrame([(2020, 0, 50000, 1), (2021, 0, 50000, 2), (2021, 2000000, 2050000, 3)],
                                  "tax_year long, lower_bound long, upper_bound long, property_count long")
     assert [tuple(r) for r in B.chart_bins(bins).collect()] == [(2021, 0, 50000, 2)]
+
+
+def test_tile_assignment_skips_invalid_geometry(spark):
+    from parcelkit.operators.tiles import tile_assign, tile_stats
+    sq = '{"type":"Polygon","coordinates":[[[-75.1,39.95],[-75.09,39.95],[-75.09,39.96],[-75.1,39.96],[-75.1,39.95]]]}'
+    df = spark.createDataFrame([("a", sq), ("b", None), ("c", "not json")],
+                               "property_id string, g string")
+    parsed = geo.with_polygons(df, "g")
+    assert {t.property_id for t in tile_assign(parsed).collect()} == {"a"}
+    st = tile_stats(parsed, feature_text="g").collect()
+    assert all(r.feature_count == 1 and r.tile_bytes == len(sq) for r in st)
+    assert {r.z for r in st} == set(range(12, 19))
+
+
+def test_sample_n_matches_brute_force(spark):
+    rows = [(f"k{i}", float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "property_id string, v double")
+    got = [r.property_id for r in S.sample_n(df, 40, ["property_id"], seed=7).collect()]
+    ranked = df.select("property_id", F.xxhash64("property_id", F.lit(7)).alias("h")).collect()
+    brute = [r.property_id for r in sorted(ranked, key=lambda r: (r.h, r.property_id))[:40]]
+    assert got == brute
+    assert S.sample_n(df, 5000, ["property_id"]).count() == 300   # min(n, rows)
