@@ -101,15 +101,29 @@ def significant_years(bins: DataFrame, year_col: str = "tax_year",
     return totals.select(year_col, "property_total", (big & (rank <= last)).alias("selectable"))
 
 
-def market_shift(overview: DataFrame, breakpoints: Column,
+def breakpoint_median(breakpoints: Column) -> Column:
+    """Model median estimated from quintile breakpoints: the rounded mean of
+    the 2nd and 3rd breakpoint (40th and 60th percentile); NULL when fewer
+    than three breakpoints exist."""
+    return F.when(F.size(breakpoints) >= 3,
+                  js_round((breakpoints[1] + breakpoints[2]) / F.lit(2.0)))
+
+
+def layer_model_median(layers: DataFrame, field: str = "current_assessed_value") -> Column:
+    """Scalar subquery: :func:`breakpoint_median` of one style layer."""
+    return (layers.where(F.col("field") == field)
+            .select(breakpoint_median(F.col("breakpoints"))).scalar())
+
+
+def market_shift(overview: DataFrame, model_median: Column,
                  band: float = SHIFT_BAND_PCT) -> DataFrame:
-    """Compare a model median (mean of the 2nd and 3rd breakpoints, rounded)
-    with each year's official binned median; classify the shift in %.
+    """Compare a model median with each year's official binned median and
+    classify the shift in % (above / below / neutral within +-band).
 
-    ``breakpoints`` is an array column (typically a scalar subquery).
+    ``model_median`` is a scalar column, typically
+    :func:`layer_model_median` (one scalar subquery, reused).
     """
-    model = F.when(F.size(breakpoints) >= 3,
-                   js_round((breakpoints[1] + breakpoints[2]) / F.lit(2.0)))
+    model = model_median
     official = F.col("median_value")
     shift = (model - official) / official * F.lit(100.0)
     cls = (F.when(shift > band, "above").when(shift < -band, "below")

@@ -29,16 +29,24 @@ def fit_forest(train: DataFrame, numeric: Sequence[str], categorical: Sequence[s
     """Fit indexers + imputer + assembler + forest.  With ``eval_fraction``
     > 0 a seeded random split is held out (the automatic split) and
     returned for evaluation."""
-    data = train.where(F.col(label).isNotNull())
+    # Materialise the training rows once in the shared checkpoint folder:
+    # the indexer, imputer and every tree level read them again, and a lost
+    # executor then re-reads the checkpoint instead of recomputing joins.
+    data = train.where(F.col(label).isNotNull()).checkpoint(eager=True)
     if eval_fraction and eval_fraction > 0:
         fit_part, eval_part = data.randomSplit([1 - eval_fraction, eval_fraction], seed)
     else:
         fit_part, eval_part = data, None
-    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep")
-                for c in categorical]
-    idx_models = [ix.fit(fit_part) for ix in indexers]
-    # maxBins must cover the largest category count (+1 for the unseen bucket).
-    max_cats = max([len(m.labelsArray[0]) + 1 for m in idx_models], default=2)
+    idx_models = []
+    max_cats = 2
+    if categorical:
+        # one multi-column indexer: a single pass over the data for all labels
+        indexer = StringIndexer(inputCols=list(categorical),
+                                outputCols=[f"{c}__idx" for c in categorical], handleInvalid="keep")
+        idx_model = indexer.fit(fit_part)
+        idx_models = [idx_model]
+        # maxBins must cover the largest category count (+1 for the unseen bucket).
+        max_cats = max(len(lbls) + 1 for lbls in idx_model.labelsArray)
     imputed = [f"{c}__imp" for c in numeric]
     stages = list(idx_models) + [
         Imputer(inputCols=list(numeric), outputCols=imputed, strategy="median"),
@@ -47,7 +55,7 @@ def fit_forest(train: DataFrame, numeric: Sequence[str], categorical: Sequence[s
         RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees,
                               maxDepth=depth, subsamplingRate=subsample, seed=seed,
                               maxBins=max(32, max_cats), featureSubsetStrategy="onethird",
-                              checkpointInterval=10),
+                              checkpointInterval=10, cacheNodeIds=True),
     ]
     model = Pipeline(stages=stages).fit(fit_part)
     return model, eval_part

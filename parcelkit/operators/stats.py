@@ -99,16 +99,20 @@ def missing_rate(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return long.where(F.col("missing_pct") > 0).orderBy(F.col("missing_pct").desc(), "variable")
 
 
-def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def profile(df: DataFrame, cols: Sequence[str], exact: bool = True,
+            accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
     """Summary per numeric column: n, missing, mean, sd, p0/p25/p50/p75/p100.
 
-    Exact interpolated percentiles (like R's default quantile type).
+    exact=True: interpolated percentiles like R's default quantile type
+    (buffer grows with the column's distinct values); exact=False: the
+    bounded ``percentile_approx`` sketch.
     """
     fields = ["n", "n_missing", "mean", "sd", "p0", "p25", "p50", "p75", "p100"]
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        pct = F.percentile(x, F.array(*[F.lit(p) for p in PROFILE_POINTS]))
+        pts = F.array(*[F.lit(p) for p in PROFILE_POINTS])
+        pct = F.percentile(x, pts) if exact else F.percentile_approx(x, pts, accuracy)
         aggs += [F.count(x).alias(f"{c}__n"),
                  F.count_if(x.isNull()).alias(f"{c}__n_missing"),
                  F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__sd"),

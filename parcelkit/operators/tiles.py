@@ -58,10 +58,16 @@ def tile_stats(features: DataFrame, polys: str = "polygons", feature_text: str =
 
 def write_tiles(tiles: DataFrame, features: DataFrame, path: str, key: str = "property_id",
                 feature_text: str = "feature", layer: str = "property_tile_info") -> None:
-    """Replace the whole tile tree: one gzip'd text part per (z, x) folder,
-    feature rows (not binary vector tiles)."""
+    """Replace the whole tile tree: gzip'd text parts per (z, x) folder,
+    feature rows (not binary vector tiles).
+
+    Rows are range-partitioned on (z, x, y, key) first: each task then
+    writes a contiguous run of folders (few files per folder), and a dense
+    tile is split across tasks instead of landing in one task."""
+    value = F.to_json(F.struct(F.lit(layer).alias("layer"), "y",
+                               F.col(feature_text).alias("feature")))
     rows = (tiles.join(features.select(key, feature_text), key, "inner")
-            .select("z", "x", F.to_json(F.struct(F.lit(layer).alias("layer"), "y",
-                                                 F.col(feature_text).alias("feature"))).alias("value")))
-    (rows.write.mode("overwrite").partitionBy("z", "x")
-     .option("compression", "gzip").text(path))
+            .select("z", "x", F.col("y").alias("_y"), F.col(key).alias("_k"), value.alias("value")))
+    # the key as last range column splits even one very dense tile
+    (rows.repartitionByRange("z", "x", "_y", "_k").drop("_y", "_k").write.mode("overwrite")
+     .partitionBy("z", "x").option("compression", "gzip").text(path))

@@ -446,8 +446,7 @@ def q_chart_bins(spark, d):
 def q_market_shift(spark, d):
     ov = B.year_overview(tax_bins_fx(spark, d))
     lay = S.style_layers(P.tile_style_stats(tile_frame(spark, d)))
-    bps = lay.where(F.col("field") == "current_assessed_value").select("breakpoints").scalar()
-    return rounded(B.market_shift(ov, bps).drop("recency_rank"))
+    return rounded(B.market_shift(ov, B.layer_model_median(lay)).drop("recency_rank"))
 
 
 @register("yoy_change")

@@ -184,7 +184,8 @@ def test_significant_years_and_shift(spark):
     assert set(sig) == {2019, 2020, 2021, 2022, 2023}
     assert [y for y, s in sorted(sig.items()) if s] == [2021, 2022, 2023]
     ov = B.year_overview(bins)
-    shift = B.market_shift(ov, F.array(F.lit(1.0), F.lit(4.0), F.lit(6.0), F.lit(9.0)))
+    shift = B.market_shift(ov, B.breakpoint_median(F.array(F.lit(1.0), F.lit(4.0), F.lit(6.0),
+                                                           F.lit(9.0))))
     r = {x.tax_year: x for x in shift.collect()}[2023]
     assert r.model_median == 5 and r.shift_class == "neutral"
 
