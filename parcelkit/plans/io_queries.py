@@ -11,7 +11,7 @@ from parcelkit.functions.geo import with_polygons
 from parcelkit.operators.tiles import tile_assign, write_tiles
 from parcelkit.plans import fixtures as X
 from parcelkit.plans import products as P
-from parcelkit.plans.queries import register, tile_frame
+from parcelkit.plans.queries import register, rounded, tile_frame
 from parcelkit.session import shared_dir
 from parcelkit.sources import files, sinks
 from parcelkit.streaming.ingest import prepare_stream
@@ -20,7 +20,8 @@ from parcelkit.streaming.ingest import prepare_stream
 def _land_csv(df: DataFrame, path: str, pages: int = 4) -> None:
     """Write ``df`` as CSV pages with an upper-cased header in every page."""
     up = df.select(*[F.col(c).cast("string").alias(c.upper()) for c in df.columns])
-    up.repartition(pages).write.mode("overwrite").option("header", True).csv(path)
+    (up.repartition(pages).write.mode("overwrite").option("header", True)
+     .option("escape", '"').csv(path))
 
 
 @register("src_csv_strings")
@@ -49,7 +50,7 @@ def q_src_paged_csv(spark, d):
 def q_sink_parquet(spark, d):
     out = shared_dir(spark, "sink-orders")
     sinks.write_parquet_counted(X.fx_assess(spark, d), out)
-    return spark.read.parquet(out)
+    return rounded(spark.read.parquet(out))
 
 
 @register("src_parquet")

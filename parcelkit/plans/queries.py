@@ -60,6 +60,13 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
+def as_double(df: DataFrame, cols) -> DataFrame:
+    """Integer columns that can hold NULL are compared as doubles: engines
+    disagree on how a NULL-able integer column is materialised."""
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
 # ---------------------------------------------------------------- clean sales
 def clean_sales(spark: SparkSession, d: str) -> DataFrame:
     """Notebook cleaning: price window, bundle window, derived columns,
@@ -109,7 +116,8 @@ def q_tile_info(spark, d):
 
 @register("training_data")
 def q_training_data(spark, d):
-    return rounded(FE.training_rows(X.fx_sale(spark, d)))
+    return rounded(FE.training_rows(X.fx_sale(spark, d)).withColumn(
+        "year_built", F.col("year_built").cast("double")))
 
 
 @register("tax_year_assessments")
@@ -128,7 +136,8 @@ def q_property_profile(spark, d):
 def q_property_profile_nested(spark, d):
     a = X.fx_assess(spark, d)
     prof = L.property_profile(a.select("property_id"), X.fx_search(spark, d), a, nested=True)
-    return prof.select("property_id", "location", F.size("assessments").alias("history_count"),
+    return prof.select("property_id", "location",
+                       F.size("assessments").cast("bigint").alias("history_count"),
                        F.col("assessments")[0]["year"].alias("first_year"),
                        F.element_at("assessments", -1)["year"].alias("last_year"))
 
@@ -136,7 +145,9 @@ def q_property_profile_nested(spark, d):
 # ----------------------------------------------------------- 2.7 windows etc.
 @register("latest_per_key")
 def q_latest_per_key(spark, d):
-    return rounded(P.latest_predictions(X.fx_pred(spark, d)))
+    out = P.latest_predictions(X.fx_pred(spark, d))
+    return rounded(out.withColumn("predicted_at", F.date_format("predicted_at",
+                                                                "yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
 
 @register("latest_year_rows")
@@ -192,9 +203,10 @@ def q_log_features(spark, d):
 @register("property_age")
 def q_property_age(spark, d):
     s = X.fx_sale(spark, d)
-    return s.select("property_id", "year_built",
-                    scalar.property_age("year_built").alias("property_age"),
-                    scalar.property_age("year_built", bounded=True).alias("property_age_bounded"))
+    out = s.select("property_id", "year_built",
+                   scalar.property_age("year_built").alias("property_age"),
+                   scalar.property_age("year_built", bounded=True).alias("property_age_bounded"))
+    return as_double(out, ["year_built", "property_age", "property_age_bounded"])
 
 
 @register("days_since")
@@ -243,11 +255,12 @@ def q_address_key(spark, d):
 @register("safe_cast_int")
 def q_safe_cast_int(spark, d):
     p = X.table(spark, d, "part")
-    return p.select(F.col("p_partkey").alias("part_key"),
-                    casts.safe_long(F.substring("p_brand", 7, 10)).alias("brand_num_long"),
-                    casts.safe_long("p_brand").alias("brand_long"),
-                    casts.safe_long(F.col("p_retailprice").cast("string")).alias("price_long"),
-                    casts.safe_long(F.col("p_size").cast("string")).alias("size_long"))
+    out = p.select(F.col("p_partkey").alias("part_key"),
+                   casts.safe_long(F.substring("p_brand", 7, 10)).alias("brand_num_long"),
+                   casts.safe_long("p_brand").alias("brand_long"),
+                   casts.safe_long(F.col("p_retailprice").cast("string")).alias("price_long"),
+                   casts.safe_long(F.col("p_size").cast("string")).alias("size_long"))
+    return as_double(out, ["brand_num_long", "brand_long", "price_long", "size_long"])
 
 
 @register("safe_cast_decimal")
@@ -287,7 +300,7 @@ def q_retype_core(spark, d):
 @register("geojson_parse")
 def q_geojson_parse(spark, d):
     g = geo.with_polygons(X.fx_parcels(spark, d), "geometry", "p", type_col="geom_type")
-    return g.select("property_id", "geom_type", F.size("p").cast("bigint").alias("polygon_count"))
+    return g.select("property_id", "geom_type", F.size("p").cast("double").alias("polygon_count"))
 
 
 @register("geo_bbox")
@@ -452,7 +465,7 @@ def q_market_shift(spark, d):
 @register("yoy_change")
 def q_yoy_change(spark, d):
     h = X.fx_history(spark, d)
-    return rounded(C.yoy_change(h, "property_id", "year", "market_value"))
+    return as_double(rounded(C.yoy_change(h, "property_id", "year", "market_value")), ["pct_label"])
 
 
 @register("value_breakdown")
@@ -491,15 +504,15 @@ def q_value_class(spark, d):
 @register("pct_class")
 def q_pct_class(spark, d):
     t = C.change_classes(tile_frame(spark, d))
-    return rounded(t.select("property_id", "current_assessed_value", "tax_year_assessed_value",
-                            "pct_class"))
+    return as_double(rounded(t.select("property_id", "current_assessed_value",
+                                      "tax_year_assessed_value", "pct_class")), ["pct_class"])
 
 
 @register("dollar_class")
 def q_dollar_class(spark, d):
     t = C.change_classes(tile_frame(spark, d))
-    return rounded(t.select("property_id", "current_assessed_value", "tax_year_assessed_value",
-                            "dollar_class"))
+    return as_double(rounded(t.select("property_id", "current_assessed_value",
+                                      "tax_year_assessed_value", "dollar_class")), ["dollar_class"])
 
 
 # ---------------------------------------------------------- 2.10 features
@@ -560,12 +573,13 @@ def _parsed_parcels(spark, d) -> DataFrame:
 
 @register("tile_assign")
 def q_tile_assign(spark, d):
-    return T.tile_assign(_parsed_parcels(spark, d))
+    return T.tile_assign(_parsed_parcels(spark, d)).withColumn("z", F.col("z").cast("bigint"))
 
 
 @register("tile_stats")
 def q_tile_stats(spark, d):
-    return T.tile_stats(_parsed_parcels(spark, d), feature_text="geometry")
+    return (T.tile_stats(_parsed_parcels(spark, d), feature_text="geometry")
+            .withColumn("z", F.col("z").cast("bigint")))
 
 
 def queries() -> dict[str, Query]:
