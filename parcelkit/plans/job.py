@@ -69,8 +69,8 @@ def run(spark: SparkSession, paths: Paths, trees: int = 200, depth: int = 10,
         as_of: str | None = None) -> dict[str, int]:
     out = paths.root.rstrip("/")
     counts: dict[str, int] = {}
-    # prepare: all-string Parquet (splittable CSV for the OPA files, quoted
-    # newlines allowed for parcels)
+    # prepare: all-string Parquet (splittable CSV for properties and
+    # assessments, quoted newlines allowed for parcels)
     counts["source.properties"] = write_parquet_counted(
         read_raw_csv(spark, paths.properties_csv), f"{out}/source/properties")
     counts["source.assessments"] = write_parquet_counted(
@@ -116,3 +116,28 @@ def run(spark: SparkSession, paths: Paths, trees: int = 200, depth: int = 10,
     tiles = tile_assign(with_polygons(ti.select("property_id", "geog"), "geog"))
     write_tiles(tiles, feats_df, f"{out}/public/tiles")
     return counts
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m parcelkit.plans.job PROPS_CSV ASSESS_CSV PARCELS_CSV OUT_ROOT``"""
+    import argparse
+    import json
+
+    from parcelkit.session import get_session
+    ap = argparse.ArgumentParser(description="weekly appraisal batch")
+    ap.add_argument("properties_csv")
+    ap.add_argument("assessments_csv")
+    ap.add_argument("parcels_csv")
+    ap.add_argument("root")
+    ap.add_argument("--trees", type=int, default=200)
+    ap.add_argument("--depth", type=int, default=10)
+    ap.add_argument("--as-of", default=None)
+    a = ap.parse_args(argv)
+    spark = get_session()
+    counts = run(spark, Paths(a.properties_csv, a.assessments_csv, a.parcels_csv, a.root),
+                 trees=a.trees, depth=a.depth, as_of=a.as_of)
+    print(json.dumps(counts))
+
+
+if __name__ == "__main__":
+    main()
