@@ -78,12 +78,16 @@ def run(spark: SparkSession, paths: Paths, trees: int = 200, depth: int = 10,
     counts["source.parcels"] = write_parquet_counted(
         read_text_csv(spark, paths.parcels_csv), f"{out}/source/parcels")
     # core
-    for name, fn in (("properties", core_properties), ("assessments", core_assessments),
-                     ("parcels", core_parcels)):
+    # assessments are laid out by year: the tile table's "latest tax year"
+    # scalar subquery then prunes to one folder at run time
+    for name, fn, parts in (("properties", core_properties, ()),
+                            ("assessments", core_assessments, ("year",)),
+                            ("parcels", core_parcels, ())):
         src = spark.read.parquet(f"{out}/source/{name}")
-        counts[f"core.{name}"] = write_parquet_counted(fn(src), f"{out}/core/{name}")
+        counts[f"core.{name}"] = write_parquet_counted(fn(src), f"{out}/core/{name}", parts)
     props = spark.read.parquet(f"{out}/core/properties")
-    assess = spark.read.parquet(f"{out}/core/assessments")
+    assess = spark.read.parquet(f"{out}/core/assessments").withColumn(
+        "year", F.col("year").cast("bigint"))
     parcels = spark.read.parquet(f"{out}/core/parcels")
     # training rows, then model, then predictions
     counts["derived.training"] = write_parquet_counted(training_rows(props), f"{out}/derived/training")

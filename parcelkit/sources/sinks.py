@@ -10,9 +10,18 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_parquet_counted(df: DataFrame, path: str) -> int:
+def write_parquet_counted(df: DataFrame, path: str,
+                          partition_by: Sequence[str] = ()) -> int:
+    """Overwrite ``path`` with ``df``; the row count comes from the same pass.
+
+    ``partition_by`` lays out one folder per value (no shuffle: every task
+    writes its own rows per folder), so filters on those columns, including
+    runtime scalar-subquery filters, prune whole folders at read time."""
     obs = Observation("parquet_sink")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     return int(obs.get["rows"])
 
 
