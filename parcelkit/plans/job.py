@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelkit.functions.casts import retype
-from parcelkit.functions.geo import geojson_polygons, with_polygons
+from parcelkit.functions.geo import with_polygons
 from parcelkit.operators.features import feature_frame, training_rows
 from parcelkit.operators.model import fit_forest, predict
 from parcelkit.operators.tiles import tile_assign, write_tiles
@@ -59,10 +59,9 @@ def core_assessments(raw: DataFrame) -> DataFrame:
 
 
 def core_parcels(raw: DataFrame) -> DataFrame:
-    return raw.select(F.col("brt_id").cast("string").alias("property_id"),
-                      *[c for c in raw.columns if c != "geometry"],
-                      F.when(geojson_polygons("geometry").isNotNull(), F.col("geometry"))
-                      .alias("geometry"))
+    keyed = raw.select(F.col("brt_id").cast("string").alias("property_id"),
+                       *[c for c in raw.columns if c != "geometry"], "geometry")
+    return products.core_parcel_geometry(keyed)
 
 
 def run(spark: SparkSession, paths: Paths, trees: int = 200, depth: int = 10,

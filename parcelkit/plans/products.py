@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelkit.functions.geo import with_polygons
 from parcelkit.operators.bins import BIN_WIDTH, value_bins
 from parcelkit.operators.dedupe import latest_group_rows, latest_per_key
 from parcelkit.operators.features import TILE_CODES
@@ -23,6 +24,14 @@ from parcelkit.sources.sinks import bins_document, style_document
 TILE_FIELDS = ["current_assessed_value", "tax_year_assessed_value"]
 
 
+def core_parcel_geometry(parcels: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """Core parcels: geometry text kept only where it parses as a valid
+    Polygon / MultiPolygon (safe parse: invalid -> NULL).  Parsed once."""
+    checked = with_polygons(parcels, geometry, "_polys")
+    return checked.withColumn(geometry, F.when(F.col("_polys").isNotNull(), F.col(geometry))
+                              ).drop("_polys")
+
+
 def tax_year_bins(assessments: DataFrame, width: int = BIN_WIDTH, value: str = "market_value",
                   year: str = "year") -> DataFrame:
     """tax_year, lower_bound, upper_bound, property_count."""

@@ -90,8 +90,8 @@ def clean_sales(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tile_frame(spark: SparkSession, d: str) -> DataFrame:
-    return P.tile_info(X.fx_search(spark, d), X.fx_parcels(spark, d), X.fx_assess(spark, d),
-                       X.fx_pred(spark, d))
+    parcels = P.core_parcel_geometry(X.fx_parcels(spark, d))
+    return P.tile_info(X.fx_search(spark, d), parcels, X.fx_assess(spark, d), X.fx_pred(spark, d))
 
 
 def tax_bins_fx(spark: SparkSession, d: str) -> DataFrame:
