@@ -113,3 +113,47 @@ def q_stream_prepare(spark, d):
     _land_csv(c, landing)
     prepare_stream(spark, landing, [x.upper() for x in c.columns], out, ckpt)
     return spark.read.parquet(out)
+
+
+# Parsed-back views of the JSON documents: content and order are checked
+# against SQL without comparing JSON number formatting between engines.
+BIN_ITEM = "array<struct<tax_year:string,lower_bound:bigint,upper_bound:bigint,property_count:bigint>>"
+
+
+@register("chart_config_items")
+def q_chart_config_items(spark, d):
+    tax_doc, _ = P.chart_configs(X.fx_assess(spark, d), X.fx_pred(spark, d))
+    items = tax_doc.select(F.posexplode(F.from_json("document", BIN_ITEM)).alias("position", "b"))
+    return items.select(F.col("position").cast("bigint").alias("position"), "b.*")
+
+
+@register("style_metadata_items")
+def q_style_metadata_items(spark, d):
+    doc = P.tile_style_metadata(tile_frame(spark, d), run_at=F.to_timestamp(F.lit(X.RUN_AT)))
+    schema = ("struct<generated_at:string,source:string,layers:map<string,"
+              "struct<min:double,max:double,count:bigint,breakpoints:array<double>>>>")
+    parsed = doc.select(F.from_json("document", schema).alias("j"))
+    lay = parsed.select("j.generated_at", "j.source", F.explode("j.layers").alias("field", "l"))
+    return rounded(lay.select("generated_at", "source", "field", F.col("l.min").alias("min"),
+                              F.col("l.max").alias("max"), F.col("l.count").alias("count"),
+                              *[F.col("l.breakpoints")[i].alias(f"bp{i}") for i in range(4)]))
+
+
+@register("geojson_feature_props")
+def q_geojson_feature_props(spark, d):
+    f = sinks.geojson_features(tile_frame(spark, d))
+    schema = ("struct<type:string,geometry:struct<type:string>,properties:struct<"
+              "property_id:string,address:string,current_assessed_value:double,"
+              "tax_year_assessed_value:double>>")
+    j = f.select(F.from_json("feature", schema).alias("j"))
+    return rounded(j.select(F.col("j.type").alias("feature_type"),
+                            F.col("j.geometry.type").alias("geometry_type"), "j.properties.*"))
+
+
+@register("records_json_items")
+def q_records_json_items(spark, d):
+    r = sinks.records_with_strings(X.fx_sale(spark, d).select("property_id", "sale_price",
+                                                               "sale_date"))
+    j = r.select(F.from_json("record", "struct<property_id:string,sale_price:double,"
+                                       "sale_date:string>").alias("j"))
+    return rounded(j.select("j.*"))
