@@ -74,23 +74,33 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext)
+        master = spark.conf.get("spark.master", "")
+    return master.startswith("local")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only in local mode."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: the server owns checkpointing)
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
+        return (sc.getCheckpointDir() if sc else None) or current
     if not _is_local(spark):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster run needs a shared folder there")
     local = tempfile.mkdtemp(prefix="parcelkit-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir()
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir()
+    spark.conf.set("spark.checkpoint.dir", local)
+    return local
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
