@@ -24,42 +24,34 @@ def _c(c: str | Column) -> Column:
 def geojson_polygons(text: str | Column) -> Column:
     """Parsed polygons of a GeoJSON geometry, NULL when invalid.
 
-    Prefer :func:`with_polygons` on a DataFrame: it parses each text once.
+    Each intermediate (the parsed variant, the raw coordinates) is bound
+    once through a one-element ``transform`` / ``filter`` lambda, so the
+    text appears once in the expression tree.  When Catalyst inlines this
+    column into a pushed-down filter (e.g. ``geometry IS NOT NULL`` on a
+    derived frame) the parse is copied once, not once per reference.
     """
-    return _polygons_from_variant(F.try_parse_json(_c(text)))
+    parsed = F.array(F.try_parse_json(_c(text)))
+    raw = F.try_element_at(F.transform(parsed, _raw_from_variant), F.lit(1))
+    return F.try_element_at(F.filter(F.array(raw), _valid_polys), F.lit(1))
 
 
-def _polygons_from_variant(v: Column) -> Column:
+def _raw_from_variant(v: Column) -> Column:
     gtype = F.try_variant_get(v, "$.type", "string")
-    polys = (F.when(gtype == "Polygon",
-                    F.array(F.try_variant_get(v, "$.coordinates", POLYGON_T)))
-             .when(gtype == "MultiPolygon",
-                   F.try_variant_get(v, "$.coordinates", MULTI_T)))
-    return _valid_or_null(polys)
+    return (F.when(gtype == "Polygon", F.array(F.try_variant_get(v, "$.coordinates", POLYGON_T)))
+            .when(gtype == "MultiPolygon", F.try_variant_get(v, "$.coordinates", MULTI_T)))
 
 
-def _valid_or_null(polys: Column) -> Column:
-    valid = F.coalesce(F.size(polys) > 0, F.lit(False)) & F.coalesce(
-        F.forall(polys, _poly_ok), F.lit(False))
-    return F.when(valid, polys)
+def _valid_polys(polys: Column) -> Column:
+    return (F.coalesce(F.size(polys) > 0, F.lit(False))
+            & F.coalesce(F.forall(polys, _poly_ok), F.lit(False)))
 
 
 def with_polygons(df, text: str, out: str = "polygons", type_col: str | None = None):
-    """Add parsed polygons (and optionally the GeoJSON type) to ``df``.
-
-    The text is parsed once into a variant column, coordinates are read
-    once, then validated: three narrow projections instead of one
-    expression that would repeat the parse for every use.
-    """
-    gj, raw = f"_{out}_gj", f"_{out}_raw"
-    step = df.withColumn(gj, F.try_parse_json(F.col(text)))
-    gtype = F.try_variant_get(F.col(gj), "$.type", "string")
-    step = step.withColumn(raw, F.when(gtype == "Polygon", F.array(
-        F.try_variant_get(F.col(gj), "$.coordinates", POLYGON_T)))
-        .when(gtype == "MultiPolygon", F.try_variant_get(F.col(gj), "$.coordinates", MULTI_T)))
+    """Add parsed polygons (and optionally the GeoJSON type) to ``df``."""
+    out_df = df.withColumn(out, geojson_polygons(text))
     if type_col:
-        step = step.withColumn(type_col, gtype)
-    return step.withColumn(out, _valid_or_null(F.col(raw))).drop(gj, raw)
+        out_df = out_df.withColumn(type_col, geojson_type(text))
+    return out_df
 
 
 def _poly_ok(p: Column) -> Column:

@@ -125,17 +125,25 @@ def fx_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(k % 40 + 19090).alias("zip_code"))
 
 
-def _fmt(x: Column) -> Column:
-    return F.format_string("%.6f", x)
+def _fmt6(micro: Column) -> Column:
+    """Text of ``micro / 1e6`` with exactly six decimals (same text as
+    printf '%.6f' of the degree value), from integer arithmetic only."""
+    a = F.abs(micro)
+    return F.concat(F.when(micro < 0, F.lit("-")).otherwise(F.lit("")),
+                    (a / 1000000).cast("bigint").cast("string"), F.lit("."),
+                    F.lpad((a % 1000000).cast("string"), 6, "0"))
 
 
 def _square(lon: Column, lat: Column, closed: bool = True) -> Column:
-    lon1, lat1 = lon + F.lit(0.001), lat + F.lit(0.001)
-    pts = [(lon, lat), (lon1, lat), (lon1, lat1), (lon, lat1)] + ([(lon, lat)] if closed else [])
-    parts = []
-    for i, (x, y) in enumerate(pts):
-        parts += ([F.lit(",")] if i else []) + [F.lit("["), _fmt(x), F.lit(","), _fmt(y), F.lit("]")]
-    return F.concat(F.lit("[["), *parts, F.lit("]]"))
+    """GeoJSON ring text of a 0.001-degree square; corners in micro-degrees.
+
+    One small lambda over the corner offsets keeps the expression (and
+    its generated code) the same size whatever the number of corners."""
+    offs = [(0, 0), (1000, 0), (1000, 1000), (0, 1000)] + ([(0, 0)] if closed else [])
+    corners = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in offs])
+    pts = F.transform(corners, lambda c: F.concat(
+        F.lit("["), _fmt6(lon + c["dx"]), F.lit(","), _fmt6(lat + c["dy"]), F.lit("]")))
+    return F.concat(F.lit("[["), F.array_join(pts, ","), F.lit("]]"))
 
 
 def fx_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,11 +151,13 @@ def fx_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     a MultiPolygon for key % 7 = 0, an open (invalid) ring for key % 13 = 0."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    lon = F.lit(-75.28) + (k % 100) * F.lit(0.003)
-    lat = F.lit(39.87) + (F.expr("c_custkey div 100") % 100) * F.lit(0.002)
+    # corners in micro-degrees: lon -75.28 + 0.003 * (key % 100),
+    # lat 39.87 + 0.002 * (key div 100 % 100)
+    lon = F.lit(-75280000) + (k % 100) * F.lit(3000)
+    lat = F.lit(39870000) + (F.expr("c_custkey div 100") % 100) * F.lit(2000)
     poly = F.concat(F.lit('{"type":"Polygon","coordinates":'), _square(lon, lat), F.lit("}"))
     multi = F.concat(F.lit('{"type":"MultiPolygon","coordinates":['), _square(lon, lat),
-                     F.lit(","), _square(lon + F.lit(0.0015), lat), F.lit("]}"))
+                     F.lit(","), _square(lon + F.lit(1500), lat), F.lit("]}"))
     open_ring = F.concat(F.lit('{"type":"Polygon","coordinates":'),
                          _square(lon, lat, closed=False), F.lit("}"))
     geom = (F.when(k % 10 == 0, F.lit(None).cast("string")).when(k % 7 == 0, multi)
