@@ -128,7 +128,8 @@ def training_rows(df: DataFrame, since: str = TRAIN_SINCE,
     return drop_bundles(scoped, ("sale_price", "sale_date"), mode="anti").select(*cols)
 
 
-def impute(df: DataFrame, plan: Mapping[str, tuple[str, str | None]]) -> DataFrame:
+def impute(df: DataFrame, plan: Mapping[str, tuple[str, str | None]], exact: bool = True,
+           accuracy: int = 10000) -> DataFrame:
     """Fill NULLs per column: ("zero", None), ("median", by), ("mode", None).
 
     Group medians: one partially aggregated ``groupBy`` per ``by`` column
@@ -136,14 +137,21 @@ def impute(df: DataFrame, plan: Mapping[str, tuple[str, str | None]]) -> DataFra
     when small and splits skewed keys otherwise.  Global medians and modes
     (fallback for NULL or unseen groups) come from ONE aggregate used as a
     scalar subquery, so the input is scanned once for all of them.
-    Medians are exact (memory per group grows with its distinct values).
+    exact=True: Spark's exact median (memory per group grows with its
+    distinct values, fine for counts, years and areas in whole units);
+    exact=False: ``percentile_approx`` sketches of bounded size for
+    continuous, high-cardinality columns.
     """
     dtypes = dict(df.dtypes)
+
+    def med(c: str) -> Column:
+        return F.median(c) if exact else F.percentile_approx(c, 0.5, accuracy)
+
     by_groups: dict[str, list[str]] = {}
     glob_aggs = []
     for c, (how, by) in plan.items():
         if how == "median":
-            glob_aggs.append(F.median(c).alias(c))
+            glob_aggs.append(med(c).alias(c))
             if by:
                 by_groups.setdefault(by, []).append(c)
         elif how == "mode":
@@ -154,7 +162,7 @@ def impute(df: DataFrame, plan: Mapping[str, tuple[str, str | None]]) -> DataFra
     out = df
     for by, cols in by_groups.items():
         stats = (df.where(F.col(by).isNotNull()).groupBy(by)
-                 .agg(*[F.median(c).alias(f"_{by}_{c}_med") for c in cols]))
+                 .agg(*[med(c).alias(f"_{by}_{c}_med") for c in cols]))
         out = out.join(stats, on=by, how="left")
     fills = []
     for c in df.columns:
