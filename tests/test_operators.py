@@ -216,3 +216,22 @@ def test_sample_n_matches_brute_force(spark):
     brute = [r.property_id for r in sorted(ranked, key=lambda r: (r.h, r.property_id))[:40]]
     assert got == brute
     assert S.sample_n(df, 5000, ["property_id"]).count() == 300   # min(n, rows)
+
+
+def test_impute_groups_fallbacks_and_modes(spark):
+    from parcelkit.operators.features import impute
+    df = spark.createDataFrame(
+        [("a", "z1", 1.0, 2.0, 5.0), ("b", "z1", 3.0, None, 5.0), ("c", "z1", None, 2.0, 7.0),
+         ("d", "z2", 10.0, 3.0, 7.0), ("e", "z2", None, 3.0, None), ("f", None, None, None, None),
+         ("g", "z3", None, None, 9.0)],
+        "property_id string, zip_code string, baths double, garage double, cond double")
+    plan = {"baths": ("median", "zip_code"), "garage": ("zero", None), "cond": ("mode", None)}
+    out = {r.property_id: r for r in impute(df, plan).collect()}
+    assert out["c"].baths == 2.0          # median of z1 (1, 3)
+    assert out["e"].baths == 10.0         # median of z2
+    assert out["f"].baths == 3.0          # NULL group -> global median of (1, 3, 10)
+    assert out["g"].baths == 3.0          # group with no values -> global median
+    assert out["b"].garage == 0.0
+    assert out["e"].cond == 5.0 and out["f"].cond == 5.0   # mode tie 5/7 -> smallest
+    approx = {r.property_id: r for r in impute(df, plan, exact=False).collect()}
+    assert approx["c"].baths in (1.0, 3.0) and approx["f"].baths == 3.0
