@@ -71,19 +71,34 @@ def partitioned_median(df: DataFrame, value: str, by: Sequence[str] = (),
     Output: ``*by, median_value`` for groups with at least one non-NULL
     value.  Rows with a NULL group key form their own group.
     """
+    return partitioned_quantile(df, value, by, 0.5, passes, buckets, out="median_value")
+
+
+def partitioned_quantile(df: DataFrame, value: str, by: Sequence[str] = (),
+                         p: float | str = 0.5, passes: int = 2, buckets: int = BUCKETS,
+                         out: str = "quantile_value") -> DataFrame:
+    """Exact quantile with linear interpolation at position p * (n - 1).
+
+    ``p`` is a number, or the name of a column that is part of ``by`` (so
+    many quantiles of many columns are found in the same passes over a
+    long frame).
+    """
     by = list(by)
     src = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    pcol = F.col(p) if isinstance(p, str) else F.lit(float(p))
     if not by:
         src = src.withColumn("_g", F.lit(0))
         by_ = ["_g"]
     else:
         by_ = by
     n = F.col("_n")
-    br = (src.groupBy(*by_).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-                                F.count(F.lit(1)).alias("_n"))
-          .select(*by_, "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"),
-                  F.floor((n - 1) / 2).cast("bigint").alias("_r1"),
-                  F.ceil((n - 1) / 2).cast("bigint").alias("_r2")))
+    pos = pcol * (n - 1)
+    first = (src.groupBy(*by_).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+                                   F.count(F.lit(1)).alias("_n")))
+    frac = first.select(*by_, (pos - F.floor(pos)).alias("_frac"))
+    br = first.select(*by_, "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"),
+                      F.floor(pos).cast("bigint").alias("_r1"),
+                      F.ceil(pos).cast("bigint").alias("_r2"))
     for _ in range(passes):
         br = _narrow(src, br, by_, buckets)
     band = _join(_join(src, br, by_).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
@@ -94,6 +109,8 @@ def partitioned_median(df: DataFrame, value: str, by: Sequence[str] = (),
     at = lambda r: (F.col("_before") <= F.col(r)) & (F.col(r) < F.col("_before") + F.col("_c"))
     picked = band.groupBy(*by_).agg(F.min(F.when(at("_r1"), F.col("_v"))).alias("_v1"),
                                     F.min(F.when(at("_r2"), F.col("_v"))).alias("_v2"))
-    med = F.col("_v1") + F.lit(0.5) * (F.col("_v2") - F.col("_v1"))
-    out = picked.select(*by_, med.alias("median_value"))
-    return out.drop("_g") if not by else out
+    picked = _join(picked, frac, by_)
+    q = F.when(F.col("_v1") == F.col("_v2"), F.col("_v1")).otherwise(
+        F.col("_v1") + F.col("_frac") * (F.col("_v2") - F.col("_v1")))
+    res = picked.select(*by_, q.alias(out))
+    return res.drop("_g") if not by else res
