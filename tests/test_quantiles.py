@@ -39,3 +39,19 @@ def test_global_and_duplicates(spark):
     assert partitioned_median(df, "v").collect()[0].median_value == 5.0
     big = spark.range(0, 100001).select((F.col("id") * 0.37).alias("v"))
     assert abs(partitioned_median(big, "v").collect()[0].median_value - 50000 * 0.37) < 1e-9
+
+
+def test_other_quantiles_and_per_group_p(spark):
+    from parcelkit.operators.quantiles import partitioned_quantile
+    vals = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0, 5.0, 3.0, 5.0]
+    s = sorted(vals)
+
+    def interp(p):
+        pos = p * (len(s) - 1)
+        lo, hi = int(pos // 1), -int(-pos // 1)
+        return s[lo] + (pos - lo) * (s[hi] - s[lo])
+    rows = [(p, v) for p in (0.0, 0.25, 0.9, 1.0) for v in vals]
+    df = spark.createDataFrame(rows, "p double, v double")
+    got = {r.p: r.quantile_value for r in partitioned_quantile(df, "v", ["p"], "p").collect()}
+    for p in (0.0, 0.25, 0.9, 1.0):
+        assert abs(got[p] - interp(p)) < 1e-12
