@@ -38,3 +38,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["tax_year", "lower_bound", "upper_bound", "property_count"]
     assert df.count() > 0
+
+
+ROWS_ONLY = sorted(set(E.queries()) - set(ORACLE))
+
+
+@pytest.mark.parametrize("name", ROWS_ONLY)
+def test_rows_only_queries_run(spark, name):
+    df = E.queries()[name](spark, SF)
+    assert len(set(df.columns)) == len(df.columns)
+    assert df.count() > 0
