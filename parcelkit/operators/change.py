@@ -38,16 +38,35 @@ def discrepancy_counts(df: DataFrame, cur: str = "current_assessed_value",
 
 
 def yoy_change(df: DataFrame, key: str, order: str, value: str,
-               threshold: float = YOY_THRESHOLD_PCT) -> DataFrame:
-    """Change against the previous row of the same key.
+               threshold: float = YOY_THRESHOLD_PCT, bucket: int | None = 64) -> DataFrame:
+    """Change against the previous row of the same key ((key, order) unique).
 
     Missing values count as 0; no change when either side is 0.  ``flagged``
     when |pct| >= threshold; ``pct_label`` rounds half towards +infinity.
+
+    With a numeric ``order`` and ``bucket`` set, the previous row is found
+    in two levels so that no window partition holds a whole key: a lag
+    inside (key, order-bucket) windows of at most ``bucket`` rows, and, for
+    the first row of a bucket, the last value of the key's previous
+    non-empty bucket (a one-row-per-bucket summary, lagged per key, joined
+    back on (key, bucket)).  ``bucket=None`` uses one plain lag window.
     """
-    w = Window.partitionBy(key).orderBy(order)
     cur = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
-    prev = F.lag(cur).over(w)
-    with_prev = df.select("*", cur.alias("_cur"), prev.alias("prev_value"))
+    base = df.select("*", cur.alias("_cur"))
+    if bucket is None:
+        w = Window.partitionBy(key).orderBy(order)
+        with_prev = base.withColumn("prev_value", F.lag("_cur").over(w))
+    else:
+        bkt = F.floor(F.col(order) / F.lit(bucket))
+        base = base.withColumn("_bkt", bkt)
+        w1 = Window.partitionBy(key, "_bkt").orderBy(order)
+        inner = base.withColumn("_lag", F.lag("_cur").over(w1))
+        last = (base.groupBy(key, "_bkt").agg(F.max_by("_cur", F.col(order)).alias("_last")))
+        w2 = Window.partitionBy(key).orderBy("_bkt")
+        carry = last.select(key, "_bkt", F.lag("_last").over(w2).alias("_carry"))
+        with_prev = (inner.join(carry, [key, "_bkt"], "left")
+                     .withColumn("prev_value", F.coalesce("_lag", "_carry"))
+                     .drop("_lag", "_carry", "_bkt"))
     ok = F.col("prev_value").isNotNull() & (F.col("prev_value") != 0) & (F.col("_cur") != 0)
     pct = F.when(ok, (F.col("_cur") - F.col("prev_value")) / F.col("prev_value") * F.lit(100.0))
     return (with_prev.withColumn("pct_change", pct)

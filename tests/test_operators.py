@@ -235,3 +235,19 @@ def test_impute_groups_fallbacks_and_modes(spark):
     assert out["e"].cond == 5.0 and out["f"].cond == 5.0   # mode tie 5/7 -> smallest
     approx = {r.property_id: r for r in impute(df, plan, exact=False).collect()}
     assert approx["c"].baths in (1.0, 3.0) and approx["f"].baths == 3.0
+
+
+def test_yoy_two_level_equals_plain_lag(spark):
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for k in ("hot", "a", "b"):
+        years = sorted(rnd.sample(range(1800, 2100), 120 if k == "hot" else 7))
+        rows += [(k, y, rnd.choice([None, 0.0, 50.0, 100.0, 110.0, 90.0, 250.0])) for y in years]
+    df = spark.createDataFrame(rows, "property_id string, year long, market_value double")
+    cols = ["property_id", "year", "prev_value", "pct_change", "flagged", "pct_label"]
+    two = sorted(tuple(r) for r in C.yoy_change(df, "property_id", "year", "market_value",
+                                                bucket=4).select(cols).collect())
+    plain = sorted(tuple(r) for r in C.yoy_change(df, "property_id", "year", "market_value",
+                                                  bucket=None).select(cols).collect())
+    assert two == plain
