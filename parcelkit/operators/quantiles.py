@@ -76,12 +76,13 @@ def partitioned_median(df: DataFrame, value: str, by: Sequence[str] = (),
 
 def partitioned_quantile(df: DataFrame, value: str, by: Sequence[str] = (),
                          p: float | str = 0.5, passes: int = 2, buckets: int = BUCKETS,
-                         out: str = "quantile_value") -> DataFrame:
+                         out: str = "quantile_value", rank: int | None = None) -> DataFrame:
     """Exact quantile with linear interpolation at position p * (n - 1).
 
     ``p`` is a number, or the name of a column that is part of ``by`` (so
     many quantiles of many columns are found in the same passes over a
-    long frame).
+    long frame).  ``rank`` (0-based) asks for the value at that exact rank
+    instead; groups with fewer rows give no row.
     """
     by = list(by)
     src = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
@@ -92,9 +93,11 @@ def partitioned_quantile(df: DataFrame, value: str, by: Sequence[str] = (),
     else:
         by_ = by
     n = F.col("_n")
-    pos = pcol * (n - 1)
+    pos = pcol * (n - 1) if rank is None else F.lit(rank).cast("double")
     first = (src.groupBy(*by_).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
                                    F.count(F.lit(1)).alias("_n")))
+    if rank is not None:
+        first = first.where(n > rank)
     frac = first.select(*by_, (pos - F.floor(pos)).alias("_frac"))
     br = first.select(*by_, "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"),
                       F.floor(pos).cast("bigint").alias("_r1"),

@@ -153,13 +153,27 @@ def linear_trend(df: DataFrame, x: str, y: str, where: Column | None = None) ->
                    F.regr_r2(y, x).alias("r2"), F.regr_count(y, x).alias("n"))
 
 
-def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
+def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42,
+             direct_limit: int = 1000) -> DataFrame:
     """Exactly min(n, rows) rows, repeatable: smallest hash of (key, seed).
 
-    Planned as TakeOrderedAndProject (each task keeps its n best rows).
+    Small n: ``orderBy(hash).limit(n)`` (each task keeps n rows, the final
+    merge reads n per task).  Large n: the exact hash value at rank n - 1 is
+    found first by partitioned selection on a 53-bit prefix of the hash
+    (exact in a double, monotonic in the hash), only rows at or below it
+    pass, and the final top-n merge reads about n rows instead of
+    n x (number of partitions).  Both paths return the same rows.
     """
     h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
-    return df.orderBy(h, *key).limit(n)
+    if n <= direct_limit:
+        return df.orderBy(h, *key).limit(n)
+    from parcelkit.operators.quantiles import partitioned_quantile
+    hd = df.withColumn("_h", h)
+    prefix = F.shiftright(F.col("_h"), 11).cast("double")
+    cut = (partitioned_quantile(hd.select(prefix.alias("_p")), "_p", rank=n - 1)
+           .select("quantile_value").scalar())
+    kept = hd.where(cut.isNull() | (prefix <= cut))
+    return kept.orderBy("_h", *key).limit(n).drop("_h")
 
 
 def window_report(df: DataFrame, keep: Column) -> DataFrame:

@@ -251,3 +251,13 @@ def test_yoy_two_level_equals_plain_lag(spark):
     plain = sorted(tuple(r) for r in C.yoy_change(df, "property_id", "year", "market_value",
                                                   bucket=None).select(cols).collect())
     assert two == plain
+
+
+def test_sample_n_threshold_path_matches_direct(spark):
+    df = spark.range(0, 3000).select(F.concat(F.lit("k"), F.col("id").cast("string"))
+                                     .alias("property_id"))
+    thr = [r.property_id for r in S.sample_n(df, 1500, ["property_id"], seed=3).collect()]
+    direct = [r.property_id for r in S.sample_n(df, 1500, ["property_id"], seed=3,
+                                                direct_limit=10**9).collect()]
+    assert thr == direct and len(thr) == 1500
+    assert S.sample_n(df, 5000, ["property_id"]).count() == 3000     # fewer rows than n
