@@ -35,9 +35,11 @@ def _bucket(v, lo, hi, k):
                   ).otherwise(F.lit(0)).cast("int")
 
 
-def _join(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+def _join(left: DataFrame, right: DataFrame, by: list[str], small: bool = False) -> DataFrame:
     """Inner join on the group key where NULL matches NULL (a NULL group is
-    a group), keeping one copy of the key columns."""
+    a group), keeping one copy of the key columns.  ``small``: the right
+    side has a size fixed by the caller's arguments and is broadcast."""
+    right = F.broadcast(right) if small else right
     r = right.select(*[F.col(c).alias(f"_rk_{c}") for c in by],
                      *[c for c in right.columns if c not in by])
     cond = None
@@ -47,9 +49,10 @@ def _join(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     return left.join(r, cond, "inner").drop(*[f"_rk_{c}" for c in by])
 
 
-def _narrow(src: DataFrame, br: DataFrame, by: list[str], k: int) -> DataFrame:
+def _narrow(src: DataFrame, br: DataFrame, by: list[str], k: int,
+            small: bool = False) -> DataFrame:
     """One refinement pass: bracket (lo, hi, below, r1, r2) -> a narrower one."""
-    j = _join(src, br, by).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    j = _join(src, br, by, small).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
     b = (j.select(*by, _bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), k).alias("_b"), "_v")
          .groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
                                  F.max("_v").alias("_bmax")))
@@ -76,13 +79,17 @@ def partitioned_median(df: DataFrame, value: str, by: Sequence[str] = (),
 
 def partitioned_quantile(df: DataFrame, value: str, by: Sequence[str] = (),
                          p: float | str = 0.5, passes: int = 2, buckets: int = BUCKETS,
-                         out: str = "quantile_value", rank: int | None = None) -> DataFrame:
+                         out: str = "quantile_value", rank: int | None = None,
+                         fixed_groups: bool = False) -> DataFrame:
     """Exact quantile with linear interpolation at position p * (n - 1).
 
     ``p`` is a number, or the name of a column that is part of ``by`` (so
     many quantiles of many columns are found in the same passes over a
     long frame).  ``rank`` (0-based) asks for the value at that exact rank
-    instead; groups with fewer rows give no row.
+    instead; groups with fewer rows give no row.  ``fixed_groups``: the
+    number of groups is fixed by the caller (e.g. columns x quantiles), so
+    the per-group tables are broadcast by hint; otherwise Spark's own size
+    check decides.
     """
     by = list(by)
     src = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
@@ -103,8 +110,8 @@ def partitioned_quantile(df: DataFrame, value: str, by: Sequence[str] = (),
                       F.floor(pos).cast("bigint").alias("_r1"),
                       F.ceil(pos).cast("bigint").alias("_r2"))
     for _ in range(passes):
-        br = _narrow(src, br, by_, buckets)
-    band = _join(_join(src, br, by_).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        br = _narrow(src, br, by_, buckets, fixed_groups)
+    band = _join(_join(src, br, by_, fixed_groups).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
                  .groupBy(*by_, "_v").agg(F.count(F.lit(1)).alias("_c")),
                  br.select(*by_, "_below", "_r1", "_r2"), by_)
     w = Window.partitionBy(*by_).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)

@@ -108,25 +108,38 @@ def profile(df: DataFrame, cols: Sequence[str], exact: bool = True,
             accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
     """Summary per numeric column: n, missing, mean, sd, p0/p25/p50/p75/p100.
 
-    exact=True: interpolated percentiles like R's default quantile type
-    (buffer grows with the column's distinct values); exact=False: the
-    bounded ``percentile_approx`` sketch.
+    Count, missing, mean, sd, min (p0) and max (p100) come from one
+    aggregate.  exact=True: p25/p50/p75 are interpolated like R's default
+    quantile type, found by :func:`partitioned_quantile` over one long
+    frame of (column, quantile, value) rows; its per-group tables have a
+    fixed size (columns x 3) and are broadcast, and no column is ever
+    merged in one task.  exact=False: ``percentile_approx`` sketches.
     """
-    fields = ["n", "n_missing", "mean", "sd", "p0", "p25", "p50", "p75", "p100"]
+    inner = [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)]
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        pts = F.array(*[F.lit(p) for p in PROFILE_POINTS])
-        pct = F.percentile(x, pts) if exact else F.percentile_approx(x, pts, accuracy)
-        aggs += [F.count(x).alias(f"{c}__n"),
-                 F.count_if(x.isNull()).alias(f"{c}__n_missing"),
+        aggs += [F.count(x).alias(f"{c}__n"), F.count_if(x.isNull()).alias(f"{c}__n_missing"),
                  F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__sd"),
-                 pct.alias(f"{c}__pct")]
+                 F.min(x).alias(f"{c}__p0"), F.max(x).alias(f"{c}__p100")]
+        if not exact:
+            approx = F.percentile_approx(x, F.array(*[F.lit(p) for _, p in inner]), accuracy)
+            aggs += [approx.alias(f"{c}__approx")]
     row = df.agg(*aggs)
-    flat = row.select(*[F.col(f"{c}__{f}") for c in cols for f in ("n", "n_missing", "mean", "sd")],
-                      *[F.col(f"{c}__pct")[i].alias(f"{c}__p{int(p * 100)}")
-                        for c in cols for i, p in enumerate(PROFILE_POINTS)])
-    return _stack(flat, cols, fields, "variable")
+    if not exact:
+        row = row.select("*", *[F.col(f"{c}__approx")[i].alias(f"{c}__{lbl}")
+                                for c in cols for i, (lbl, _) in enumerate(inner)])
+        fields = ["n", "n_missing", "mean", "sd", "p0", "p25", "p50", "p75", "p100"]
+        return _stack(row, cols, fields, "variable")
+    from parcelkit.operators.quantiles import partitioned_quantile
+    moments = _stack(row, cols, ["n", "n_missing", "mean", "sd", "p0", "p100"], "variable")
+    recs = [F.struct(F.lit(c).alias("variable"), F.lit(lbl).alias("_pl"), F.lit(p).alias("_p"),
+                     F.col(c).cast("double").alias("_v")) for c in cols for lbl, p in inner]
+    long = df.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
+    q = partitioned_quantile(long, "_v", ["variable", "_pl", "_p"], "_p", fixed_groups=True)
+    wide = q.groupBy("variable").pivot("_pl", [lbl for lbl, _ in inner]).agg(F.first("quantile_value"))
+    return (moments.join(F.broadcast(wide), "variable", "left")
+            .select("variable", "n", "n_missing", "mean", "sd", "p0", "p25", "p50", "p75", "p100"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 100) -> DataFrame:
