@@ -42,3 +42,16 @@ def test_no_python_udf_in_registered_queries(spark):
     for name in ("tile_info", "corr_matrix", "tile_stats", "impute", "yoy_change", "profile"):
         p = plan_of(qs[name](spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_medians_and_profile_avoid_single_task_percentile(spark):
+    qs = E.queries()
+    for name in ("median_by_year", "top_zip_median", "profile"):
+        p = plan_of(qs[name](spark, SF_SMALL))
+        assert "percentile(" not in p, name
+
+
+def test_yoy_lag_windows_are_bucketed(spark):
+    p = plan_of(E.queries()["yoy_change"](spark, SF_SMALL))
+    # the row-level lag is partitioned by (key, bucket), never by the key alone
+    assert "_bkt" in p and "lag(" in p
