@@ -19,9 +19,12 @@ not read, so clashing names do no harm.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +33,9 @@ from pyspark.sql import functions as F
 
 from parcelkit.llm.common import prepare
 
-SAMPLE_DOCS = 2_000     # documents that tier one is fitted on
+SAMPLE_DOCS = 512       # documents that tier one is fitted on
 FREQUENT = 32_768       # entries of the broadcast table
-CACHE = 300_000         # entries of a worker's cache
+CACHE = 150_000         # entries of one generation of a worker's cache
 LONG_CHUNK = 256        # chunks of more characters are not cached
 
 _BLANKS = {ord("\t"): " ", ord("\n"): " ", ord("\r"): " "}
@@ -62,32 +65,91 @@ def piece_model(path: str):
     return _WORKER[key]
 
 
-def encode_chunks(path: str, items: list[str]) -> list[list[int]]:
-    t = tokenizer(path)
-    return [e.ids for e in t.encode_batch_fast(items, add_special_tokens=False)]
+# Latin letters whose case, normal form and class every Unicode version agrees on.
+_LATIN = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^{_LATIN}0-9]+").findall
+
+
+@lru_cache(maxsize=1)
+def byte_letters() -> dict[int, str]:
+    """Printable stand-ins of the bytes in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class ChunkEncoder:
+    """Ids of chunks.  A chunk of plain Latin text is split into its pre-tokens,
+    which the model merges one by one (their ids are cached); all others, and
+    those that may hold a special string, go through the whole tokenizer.
+    ``split`` says whether the file's steps are the ones that the split assumes."""
+
+    def __init__(self, path: str):
+        self.tokenizer = tokenizer(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = json.dumps([spec["normalizer"], spec["pre_tokenizer"]["pretokenizers"]])
+        self.split = (all(x in steps for x in ("NFC", "Lowercase", "ByteLevel", "'s|'t|'re|'ve|'m|'ll|'d|"))
+                      and all("<" in x["content"] for x in spec["added_tokens"]))
+        self.new: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
+
+    def piece(self, p: str) -> list[int]:
+        ids = self.old.get(p)
+        if ids is None:
+            shown = p if p.isascii() else p.encode().decode("latin-1").translate(byte_letters())
+            ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
+        if len(p) <= LONG_CHUNK:
+            if len(self.new) >= CACHE:
+                self.old, self.new = self.new, {}
+            self.new[p] = ids
+        return ids
+
+    def encode(self, items: list[str]) -> list[list[int]]:
+        out: list = [None] * len(items)
+        hard, get, piece = [], self.new.get, self.piece
+        for i, w in enumerate(items):
+            if self.split and "<" not in w and _PLAIN(w):
+                out[i] = [x for p in _SPLIT(w.lower()) for x in (get(p) or piece(p))]
+                get = self.new.get
+            else:
+                hard.append(i)
+        if hard:
+            found = self.tokenizer.encode_batch_fast([items[i] for i in hard], add_special_tokens=False)
+            for i, e in zip(hard, found, strict=True):
+                out[i] = e.ids
+        return out
+
+
+def chunk_encoder(path: str) -> ChunkEncoder:
+    key = ("chunks", path)
+    if key not in _WORKER:
+        _WORKER[key] = ChunkEncoder(path)
+    return _WORKER[key]
 
 
 class Cache:
-    """chunk -> value, bounded; ``tier`` holds the entries that are never dropped."""
+    """chunk -> value.  ``tier`` is never dropped; the rest lives in two
+    generations of at most ``CACHE`` chunks, so what recurs stays."""
 
     def __init__(self, path: str, value, tier: dict | None = None):
-        self.path, self.value, self.tier, self.near = path, value, tier or {}, {}
+        self.path, self.value, self.tier = path, value, tier or {}
+        self.new, self.old = dict(self.tier), {}
 
     def of(self, text: str) -> list:
         words = chunks(text)
-        out = list(map(self.tier.get, words)) if self.tier else [None] * len(words)
+        out = list(map(self.new.get, words))
         if None in out:
-            near = self.near
-            out = [near.get(w) if v is None else v for w, v in zip(words, out, strict=True)]
-            if None in out:
-                lost = list(dict.fromkeys(w for w, v in zip(words, out, strict=True) if v is None))
-                found = dict(zip(lost, map(self.value, encode_chunks(self.path, lost)), strict=True))
-                out = [found[w] if v is None else v for w, v in zip(words, out, strict=True)]
-                if len(near) + len(found) > CACHE:
-                    near.clear()
-                for w, v in found.items():
-                    if len(w) <= LONG_CHUNK and len(near) < CACHE:
-                        near[w] = v
+            lost = dict.fromkeys(w for w, v in zip(words, out, strict=True) if v is None)
+            old = self.old
+            found = {w: old[w] for w in lost if w in old}
+            missed = [w for w in lost if w not in found]
+            found.update(zip(missed, map(self.value, chunk_encoder(self.path).encode(missed)), strict=True))
+            out = [found[w] if v is None else v for w, v in zip(words, out, strict=True)]
+            if len(self.new) + len(found) > len(self.tier) + CACHE:
+                self.old, self.new = self.new, dict(self.tier)
+            self.new.update((w, v) for w, v in found.items() if len(w) <= LONG_CHUNK)
         return out
 
 
@@ -102,26 +164,15 @@ def length_cache(path: str, words: bytes, counts: bytes) -> Cache:
 
 def frequent_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int = SAMPLE_DOCS,
                    size: int = FREQUENT) -> tuple[bytes, bytes]:
-    """The compact table: frequent chunks joined by line breaks, and one byte
-    of token count for each (chunks of over 255 tokens are left to tier two)."""
-
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                seen.update(chunks(t))
-            if len(seen) > 8 * size:
-                seen = Counter(dict(seen.most_common(4 * size)))
-        words = [w for w, _ in seen.most_common(size)]
-        counts = [len(x) for x in encode_chunks(path, words)]
-        kept = [(w, n) for w, n in zip(words, counts, strict=True) if n < 256]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(["\n".join(w for w, _ in kept).encode()], pa.binary()),
-             pa.array([bytes(n for _, n in kept)], pa.binary())], names=["words", "counts"])
-
-    sample = docs.select(F.coalesce(text, F.lit("")).alias("text")).limit(sample_docs).coalesce(1)
-    rows = sample.mapInArrow(fit, "words binary, counts binary").collect()
-    return (bytes(rows[0].words), bytes(rows[0].counts)) if rows else (b"", b"")
+    """The compact table: frequent chunks of the first documents that the scan
+    yields, joined by line breaks, and one byte of token count for each
+    (chunks of over 255 tokens are left to tier two)."""
+    seen: Counter = Counter()
+    for row in docs.select(F.coalesce(text, F.lit("")).alias("text")).limit(sample_docs).collect():
+        seen.update(chunks(row.text))
+    words = [w for w, _ in seen.most_common(size) if len(w) <= LONG_CHUNK]
+    kept = [(w, len(x)) for w, x in zip(words, chunk_encoder(path).encode(words), strict=True) if len(x) < 256]
+    return "\n".join(w for w, _ in kept).encode(), bytes(n for _, n in kept)
 
 
 def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
