@@ -2,12 +2,13 @@
 
 A pre-token's bytes form a doubly linked list of parts.  Every adjacent pair
 that the vocabulary can merge sits in the bucket of its merge rank; a bitmap
-over the ranks, with two summary levels of 64-bit words above it, tells the
-lowest rank that has a bucket by three find-first-set steps.  A popped
+over the ranks, with a summary level above its words, tells the lowest rank
+that has a bucket by two find-first-set steps.  A popped
 position is checked against the parts that are there now: entries that an
 earlier merge made stale are skipped.  Each merge touches two neighbours, so
 a pre-token of n bytes costs O(n log n) however long it is (the log only
-orders equal ranks from left to right).
+orders equal ranks from left to right).  The pre-tokens of many texts that
+the cache misses share one queue.
 
 Texts are split by the vocabulary's pattern; encodings of short pre-tokens
 are kept in a bounded cache per worker.  Null texts are empty: no tokens.
@@ -19,17 +20,21 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelkit.llm.common import prepare
 
-CACHE = 300_000
-LONG_PIECE = 64
+CACHE = 200_000          # pre-tokens in each of a worker's two cache generations
+LONG_PIECE = 64          # longer pre-tokens (characters) are not cached
+TURN_CHARS = 1 << 21     # text that is encoded in one turn
+SHIFT = 8                # ranks are mapped in words of 2**SHIFT bits
+MASK = (1 << SHIFT) - 1
 _WORKER: dict = {}
 
 
@@ -38,82 +43,101 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
 
 
-class RankQueue:
-    """Positions by merge rank; the lowest rank, and in it the leftmost position, first."""
-
-    def __init__(self) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.low: dict[int, int] = {}
-        self.mid: dict[int, int] = {}
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        a, b = rank >> 6, rank >> 12
-        self.low[a] = self.low.get(a, 0) | 1 << (rank & 63)
-        self.mid[b] = self.mid.get(b, 0) | 1 << (a & 63)
-        self.top |= 1 << b
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        b = (self.top & -self.top).bit_length() - 1
-        word = self.mid[b]
-        a = b << 6 | (word & -word).bit_length() - 1
-        word = self.low[a]
-        rank = a << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[a] &= self.low[a] - 1
-            if not self.low[a]:
-                self.mid[b] &= self.mid[b] - 1
-                if not self.mid[b]:
-                    self.top &= self.top - 1
-        return rank, position
-
-
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
+def pair_ranks(ranks: dict[bytes, int]) -> np.ndarray:
+    """Rank of each pair of bytes, -1 where there is none."""
+    out = np.full(1 << 16, -1, np.int64)
+    for token, rank in ranks.items():
+        if len(token) == 2:
+            out[token[0] << 8 | token[1]] = rank
+    return out
+
+
+def merge(pieces: list[bytes], ranks: dict[bytes, int], pairs: np.ndarray) -> list[list[int]]:
+    """Ids of each of some pre-tokens (none empty), merged in one queue.
+
+    ``buckets`` maps a rank to positions, ``low`` holds a bitmap of the ranks
+    with a bucket in words of ``2**SHIFT`` bits and ``top`` a bitmap of the words
+    that are not zero.  Pre-tokens do not touch (``edge``), so each sees its
+    lowest rank first and equal ranks from left to right.  A merge never makes
+    a pair of its own rank, so a bucket is complete when it is popped.
+    """
+    get = ranks.get
+    data = b"".join(pieces)
+    n = len(data)
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    ends = np.cumsum(size)
+    edges = np.zeros(n + 1, np.uint8)
+    edges[0] = 1
+    edges[ends] = 1
+    edge = edges.tobytes()
+    raw = np.frombuffer(data, np.uint8).astype(np.int64)
+    first = np.where(edges[1:n] == 0, pairs[raw[:-1] << 8 | raw[1:]], -1)
+    order = np.argsort(first, kind="stable")
+    order = order[np.searchsorted(first[order], 0):]
+    values, start = np.unique(first[order], return_index=True)
+    buckets: dict[int, list[int]] = {}
+    low: dict[int, int] = {}
+    top = 0
+    for rank, positions in zip(values.tolist(), np.split(order, start[1:]), strict=False):
+        buckets[rank] = positions.tolist()
+        a = rank >> SHIFT
+        low[a] = low.get(a, 0) | 1 << (rank & MASK)
+        top |= 1 << a
     stop = list(range(1, n + 1))          # end of the part that starts here, 0 once it is merged away
     before = list(range(-1, n - 1))
-    queue = RankQueue()
-    for i in range(n - 1):
-        rank = ranks.get(piece[i:i + 2])
-        if rank is not None:
-            queue.push(rank, i)
-    while (found := queue.pop()) is not None:
-        rank, i = found
-        mid = stop[i]
-        if not mid or mid >= n:
-            continue
-        end = stop[mid]
-        if ranks.get(piece[i:end]) != rank:
-            continue
-        stop[i], stop[mid] = end, 0
-        if end < n:
-            before[end] = i
-            rank = ranks.get(piece[i:stop[end]])
-            if rank is not None:
-                queue.push(rank, i)
-        left = before[i]
-        if left >= 0:
-            rank = ranks.get(piece[left:end])
-            if rank is not None:
-                queue.push(rank, left)
+    while top:
+        a = (top & -top).bit_length() - 1
+        word = low[a]
+        bit = word & -word
+        rank = a << SHIFT | bit.bit_length() - 1
+        low[a] = word = word ^ bit
+        if not word:
+            top &= top - 1
+        positions = buckets.pop(rank)
+        positions.sort()
+        for i in positions:
+            mid = stop[i]
+            if not mid or edge[mid]:
+                continue
+            end = stop[mid]
+            if get(data[i:end]) != rank:
+                continue
+            stop[i], stop[mid] = end, 0
+            if not edge[end]:
+                before[end] = i
+                fresh = get(data[i:stop[end]])
+                if fresh is not None:
+                    if fresh in buckets:
+                        buckets[fresh].append(i)
+                    else:
+                        buckets[fresh] = [i]
+                        a = fresh >> SHIFT
+                        low[a] = low.get(a, 0) | 1 << (fresh & MASK)
+                        top |= 1 << a
+            if not edge[i]:
+                left = before[i]
+                fresh = get(data[left:end])
+                if fresh is not None:
+                    if fresh in buckets:
+                        buckets[fresh].append(left)
+                    else:
+                        buckets[fresh] = [left]
+                        a = fresh >> SHIFT
+                        low[a] = low.get(a, 0) | 1 << (fresh & MASK)
+                        top |= 1 << a
     out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i:stop[i]]])
-        i = stop[i]
+    for piece, last in zip(pieces, ends.tolist(), strict=True):
+        whole = get(piece)
+        if whole is not None:
+            out.append([whole])
+            i = last
+            continue
+        ids = []
+        while i < last:
+            end = stop[i]
+            ids.append(ranks[data[i:end]])
+            i = end
+        out.append(ids)
     return out
 
 
@@ -124,21 +148,41 @@ class Encoder:
         import regex
 
         self.ranks = read_ranks(path)
+        self.pairs = pair_ranks(self.ranks)
         self.bytes_of = {v: k for k, v in self.ranks.items()}
+        self.decimal = {v: str(v) for v in self.bytes_of}
         self.split = regex.compile(pattern).findall
-        self.cache: dict[str, tuple[int, str, bytes]] = {}
-
-    def entry(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(merge(piece.encode(), self.ranks))
-        if len(piece) <= LONG_PIECE:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[piece] = ids
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        get, entry = self.cache.get, self.entry
-        return [i for p in self.split(text) for i in (get(p) or entry(p))]
+        self.new: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text; what the cache misses is merged together."""
+        split, get, old = [self.split(t) for t in texts], self.new.get, self.old
+        found = [list(map(get, pieces)) for pieces in split]
+        lost = dict.fromkeys(p for pieces, ids in zip(split, found, strict=True) if None in ids
+                             for p, v in zip(pieces, ids, strict=True) if v is None)
+        if lost:
+            missed = [p for p in lost if p not in old]
+            made = {p: old[p] for p in lost if p in old}
+            if missed:
+                made.update(zip(missed, merge([p.encode() for p in missed], self.ranks, self.pairs), strict=True))
+            found = [[made[p] if v is None else v for p, v in zip(pieces, ids, strict=True)] if None in ids else ids
+                     for pieces, ids in zip(split, found, strict=True)]
+            if len(self.new) + len(made) > CACHE:
+                self.old, self.new = self.new, {}
+            self.new.update((p, ids) for p, ids in made.items() if len(p) <= LONG_PIECE)
+        return [list(chain.from_iterable(ids)) for ids in found]
+
+    def encode_batches(self, texts: list[str]) -> Iterator[list[int]]:
+        """``encode`` in turns of bounded text."""
+        turn, held = [], 0
+        for t in texts:
+            turn.append(t)
+            held += len(t)
+            if held > TURN_CHARS:
+                yield from self.encode(turn)
+                turn, held = [], 0
+        yield from self.encode(turn)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -158,7 +202,7 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
         for batch in batches:
-            ids = pa.array([e.encode(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
+            ids = pa.array(list(e.encode_batches(batch.column(1).to_pylist())), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
 
     return (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
@@ -187,10 +231,9 @@ def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", te
         e = encoder(path, pattern)
         for batch in batches:
             n, a, b = [], [], []
-            for t in batch.column(1).to_pylist():
-                ids = e.encode(t)
+            for ids in e.encode_batches(batch.column(1).to_pylist()):
                 n.append(len(ids))
-                a.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                a.append(hashlib.sha256(" ".join(map(e.decimal.__getitem__, ids)).encode()).hexdigest())
                 b.append(hashlib.sha256(e.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],

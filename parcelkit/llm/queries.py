@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelkit.llm import byte_bpe, packing, token_counts
+from parcelkit.llm import anchor_simhash, byte_bpe, packing, token_counts, toxicity
 from parcelkit.llm.common import prepare, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -29,7 +29,17 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), WORD_BPE, limit=2048)
 
 
-REGISTRY = {f.__name__: f for f in (op4_byte_bpe, op5_packing, op6_token_counts)}
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchor_simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+REGISTRY = {f.__name__: f for f in (
+    op4_byte_bpe, op5_packing, op6_token_counts, op8_simhash, op10_toxicity)}
 
 ORACLE: dict[str, str] = {}
 

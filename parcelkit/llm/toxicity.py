@@ -8,11 +8,11 @@ Kernel
     Punctuation inside a word is dropped and runs of three or more single
     letters are joined (``i.d.i.o.t``, ``i d i o t``).  Occurrences are scaled
     by the word's own weight, a function of its length alone, which keeps the
-    kernel positive definite.
+    kernel positive definite; its square is the word kernel.
 Sentences and documents
     A sentence's similarity to a landmark is that of its closest word, a
-    document's that of its closest sentence (the multiple-instance maximum),
-    counted from ``FLOOR`` up.  An upper bound from one table lookup per
+    document's that of its closest sentence (the multiple-instance maximum);
+    similarities below ``FLOOR`` count as none.  An upper bound from one table lookup per
     subsequence drops the words that reach no landmark; it is exact.
 Training
     Labels come only from rows whose crc32 of the id leaves a remainder other
@@ -45,7 +45,8 @@ from parcelkit.llm.common import prepare, stored
 GAP = 3                 # places from one letter of a subsequence to the next, at most
 DECAY = 0.7
 FLOOR = 0.45            # similarities below this count as none
-LANDMARKS = 128
+LANDMARKS = 256
+POWER = 2               # the word kernel is this power of the scaled subsequence kernel
 TRAIN_DOCS = 20_000     # labelled rows that are learned from, at most
 LEAST_DOCS = 2          # toxic documents a landmark is found in, at least
 PENALTY = 0.01
@@ -177,7 +178,7 @@ class Scorer:
                 at = [p for p in map(get, s) if p >= 0]
                 if at:
                     out[i] = np.max([self.rows[p] for p in at], axis=0)
-        return np.maximum(0, out - FLOOR) / (1 - FLOOR)
+        return out ** POWER
 
 
 @dataclass
@@ -291,7 +292,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, train_docs: int =
         features, "x binary, toxic int, id long").orderBy("id").collect()
     x = np.stack([np.frombuffer(r.x, np.float32) for r in got]).astype(float)
     y = np.array([1.0 if r.toxic else -1.0 for r in got])
-    _, gram = landmarks.similar(words, 0.0)
+    gram = landmarks.similar(words, 0.0)[1] ** POWER
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     whiten = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
     w = _svm(x @ whiten, y)

@@ -58,9 +58,10 @@ def test_merge_equals_tiktoken(tik):
     cases += ["".join(rng.choices("etaoin shrdluéß#1", k=rng.randint(1, 60))) for _ in range(400)]
     for c in cases:
         e = byte_bpe.Encoder(BYTE, P.PATTERN) if c is cases[0] else e
-        assert e.encode(c) == tik.encode_ordinary(c)
-        assert e.decode(e.encode(c)) == c.encode()
-    assert byte_bpe.merge(b"\xff\xfe" * 40, ranks)
+        assert e.encode([c])[0] == tik.encode_ordinary(c)
+        assert e.decode(e.encode([c])[0]) == c.encode()
+    assert e.encode(cases) == [tik.encode_ordinary(c) for c in cases]
+    assert byte_bpe.merge([b"\xff\xfe" * 40], ranks, byte_bpe.pair_ranks(ranks))
 
 
 def test_byte_bpe_query(spark, odd_docs, no_docs, tik):
