@@ -106,3 +106,28 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         terms = BYTE_CODE[data[at]] * keys[inside]
         sums = np.add.reduceat(terms, begin)
         return mixed(sums + size.astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one binary value: their byte lengths, then their bytes."""
+    sizes = np.array([len(arrays), *(a.nbytes for a in arrays)], dtype=np.int64)
+    return b"".join([sizes.tobytes(), *(a.tobytes() for a in arrays)])
+
+
+def unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
+    sizes = np.frombuffer(data, np.int64, len(kinds) + 1)[1:]
+    ends = np.cumsum(sizes) + 8 * (len(kinds) + 1)
+    return [np.frombuffer(data[e - s:e], k) for k, s, e in zip(kinds, sizes.tolist(), ends.tolist(), strict=True)]
+
+
+def split_by(bucket: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+    """(bucket, index array) of each bucket that occurs, indices in their given order."""
+    order = np.argsort(bucket, kind="stable")
+    cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return [(b, order[cut[b]:cut[b + 1]]) for b in range(buckets) if cut[b + 1] > cut[b]]
+
+
+def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Indices start[0] .. start[0]+size[0]-1, start[1] .. and so on."""
+    total = np.cumsum(size)
+    return np.arange(int(total[-1]) if len(total) else 0) + np.repeat(start - total + size, size)

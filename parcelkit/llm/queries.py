@@ -10,13 +10,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelkit.llm import anchor_simhash, byte_bpe, packing, token_counts, toxicity
+from parcelkit.llm import anchor_simhash, byte_bpe, packing, suffix_dedup, token_counts, toxicity
 from parcelkit.llm.common import prepare, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.suffix_dedup(docs, length=100, with_bytes=False)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
 
@@ -39,7 +44,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op4_byte_bpe, op5_packing, op6_token_counts, op8_simhash, op10_toxicity)}
+    op3_suffix_dedup, op4_byte_bpe, op5_packing, op6_token_counts, op8_simhash, op10_toxicity)}
 
 ORACLE: dict[str, str] = {}
 

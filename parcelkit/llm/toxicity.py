@@ -12,7 +12,7 @@ Kernel
 Sentences and documents
     A sentence's similarity to a landmark is that of its closest word, a
     document's that of its closest sentence (the multiple-instance maximum);
-    similarities below ``FLOOR`` count as none.  An upper bound from one table lookup per
+    similarities below ``FLOOR`` count as none, above 1 as 1.  An upper bound from one table lookup per
     subsequence drops the words that reach no landmark; it is exact.
 Training
     Labels come only from rows whose crc32 of the id leaves a remainder other
@@ -44,13 +44,14 @@ from parcelkit.llm.common import prepare, stored
 
 GAP = 3                 # places from one letter of a subsequence to the next, at most
 DECAY = 0.7
-FLOOR = 0.45            # similarities below this count as none
-LANDMARKS = 256
+FLOOR = 0.5             # similarities below this count as none
+LANDMARKS = 160
 POWER = 2               # the word kernel is this power of the scaled subsequence kernel
 TRAIN_DOCS = 20_000     # labelled rows that are learned from, at most
 LEAST_DOCS = 2          # toxic documents a landmark is found in, at least
 PENALTY = 0.01
-CACHE = 400_000
+CACHE = 500_000         # words in a worker's cache
+TURN_WORDS = 1024       # words whose similarities are computed at a time
 LONG_WORD = 64          # longer words are compared in overlapping windows of this length
 STEPS = [(a, b, DECAY ** (a + b + 1)) for a in range(1, GAP + 1) for b in range(1, GAP + 1)]
 
@@ -115,6 +116,7 @@ class Landmarks:
         for of, k, d in found:
             np.add.at(self.rows, (self.row_of[k], of), d / own[of])
         self.best = self.rows.max(axis=1, initial=0)
+        self.rows = self.rows.astype(np.float32)
 
     def similar(self, words: list[str], floor: float) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the words that may reach ``floor``, and their similarities to the landmarks."""
@@ -130,55 +132,75 @@ class Landmarks:
         near = np.flatnonzero((own > 0) & (bound >= floor * own))
         place = np.full(len(words), -1)
         place[near] = np.arange(len(near))
-        out = np.zeros((len(near), len(self.words)))
-        for of, row, d in kept:
-            at = np.flatnonzero(place[of] >= 0)
-            np.add.at(out, place[of[at]], self.rows[row[at]] * d)
-        return near, out / own[near][:, None]
+        at = np.concatenate([place[of] for of, _, _ in kept]) if kept else place[:0]
+        row = np.concatenate([r for _, r, _ in kept]) if kept else place[:0]
+        d = np.concatenate([np.full(len(r), x) for _, r, x in kept]) if kept else np.zeros(0)
+        order = np.argsort(at, kind="stable")
+        at, row, d = at[order], row[order], d[order]
+        width, out = len(self.rows), np.zeros((len(near), len(self.words)), np.float32)
+        for start in range(0, len(near), TURN_WORDS):
+            stop = min(start + TURN_WORDS, len(near))
+            i, j = np.searchsorted(at, [start, stop])
+            counts = np.bincount((at[i:j] - start) * width + row[i:j], d[i:j], (stop - start) * width)
+            out[start:stop] = counts.reshape(-1, width).astype(np.float32) @ self.rows
+        return near, out / own[near][:, None].astype(np.float32)
 
 
 class Scorer:
     """Closest-word similarities of texts, with a bounded cache of words."""
 
     def __init__(self, landmarks: Landmarks):
-        self.landmarks, self.place, self.rows = landmarks, {}, []
+        self.landmarks = landmarks
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.used, self.rows = 0, np.zeros((1024, len(self.landmarks.words)), np.float32)
 
     def learn(self, words: list[str]) -> None:
+        """Place of each word's row, -1 for a word that reaches no landmark."""
         if len(self.place) + len(words) > CACHE:
-            self.place, self.rows = {}, []
-        spelled, of = [], []
-        for i, w in enumerate(words):
+            self.clear()
+        place, parts = self.place, {}
+        for w in words:
             s = letters(w)
-            for a in range(0, max(1, len(s) - LONG_WORD // 2), LONG_WORD // 2):
-                spelled.append(s[a:a + LONG_WORD])
-                of.append(i)
-        near, sims = self.landmarks.similar(spelled, FLOOR)
-        self.place.update(dict.fromkeys(words, -1))
-        for j, row in zip(near.tolist(), sims, strict=True):
-            if row.max() >= FLOOR:
-                at = self.place[words[of[j]]]
-                if at < 0:
-                    self.place[words[of[j]]] = len(self.rows)
-                    self.rows.append(row)
-                else:
-                    self.rows[at] = np.maximum(self.rows[at], row)
+            parts[w] = [s] if len(s) <= LONG_WORD else [
+                s[a:a + LONG_WORD] for a in range(0, len(s) - LONG_WORD // 2, LONG_WORD // 2)]
+        fresh = list({p for ps in parts.values() for p in ps if p not in place})
+        near, sims = self.landmarks.similar(fresh, FLOOR)
+        kept = np.flatnonzero(sims.max(axis=1, initial=0) >= FLOOR)
+        while self.used + len(kept) + len(words) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        place.update(dict.fromkeys(fresh, -1))
+        place.update(zip([fresh[i] for i in near[kept].tolist()], range(self.used, self.used + len(kept)), strict=True))
+        sims = sims[kept]
+        self.rows[self.used:self.used + len(kept)] = np.where(sims >= FLOOR, sims, 0)
+        self.used += len(kept)
+        for w, ps in parts.items():
+            at = {place[p] for p in ps} - {-1}
+            if len(at) > 1:
+                self.rows[self.used] = self.rows[list(at)].max(axis=0)
+                at = {self.used}
+                self.used += 1
+            place[w] = at.pop() if at else -1
 
     def features(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), len(self.landmarks.words)))
         for start in range(0, len(texts), 64):
             sets = [words_of(t) for t in texts[start:start + 64]]
-            place = self.place
-            lost = {w for s in sets for w in s if w not in place}
+            every = set().union(*sets)
+            lost = every.difference(self.place)
             if lost:
                 self.learn(list(lost))
-                if self.place is not place:
-                    self.learn(list(set().union(*sets) - lost))
+                if gone := every.difference(self.place):
+                    self.learn(list(gone))
             get = self.place.get
             for i, s in enumerate(sets, start):
-                at = [p for p in map(get, s) if p >= 0]
+                at = set(map(get, s))
+                at.discard(-1)
                 if at:
-                    out[i] = np.max([self.rows[p] for p in at], axis=0)
-        return out ** POWER
+                    out[i] = self.rows[list(at)].max(axis=0)
+        return np.minimum(out, 1) ** POWER
 
 
 @dataclass
@@ -292,7 +314,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, train_docs: int =
         features, "x binary, toxic int, id long").orderBy("id").collect()
     x = np.stack([np.frombuffer(r.x, np.float32) for r in got]).astype(float)
     y = np.array([1.0 if r.toxic else -1.0 for r in got])
-    gram = landmarks.similar(words, 0.0)[1] ** POWER
+    gram = np.minimum(landmarks.similar(words, 0.0)[1].astype(float), 1) ** POWER
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     whiten = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
     w = _svm(x @ whiten, y)
