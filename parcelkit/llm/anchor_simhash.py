@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelkit.llm.common import U64, parts, prepare, shuffle_partitions, stored
+from parcelkit.llm.common import U64, parts, prepare, shuffle_partitions, steady, stored
 from parcelkit.llm.components import connected_components, local_roots
 
 SEED = 42
@@ -66,6 +66,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text
     """doc_id and fp (the 64 bits as a signed long)."""
     prepare(docs.sparkSession)
 
+    @steady
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=U64)

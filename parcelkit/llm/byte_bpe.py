@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelkit.llm.common import prepare
+from parcelkit.llm.common import prepare, steady
 
-CACHE = 200_000          # pre-tokens in each of a worker's two cache generations
+CACHE = 500_000          # pre-tokens in each of a worker's two cache generations
 LONG_PIECE = 64          # longer pre-tokens (characters) are not cached
 TURN_CHARS = 1 << 21     # text that is encoded in one turn
 SHIFT = 8                # ranks are mapped in words of 2**SHIFT bits
@@ -43,43 +43,52 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
 
 
-def pair_ranks(ranks: dict[bytes, int]) -> np.ndarray:
-    """Rank of each pair of bytes, -1 where there is none."""
-    out = np.full(1 << 16, -1, np.int64)
-    for token, rank in ranks.items():
-        if len(token) == 2:
-            out[token[0] << 8 | token[1]] = rank
-    return out
+class Pairs:
+    """Merge tables: rank of two adjacent tokens by ``left << 16 | right``, and of two bytes as an array."""
 
+    def __init__(self, ranks: dict[bytes, int]):
+        self.rank: dict[int, int] = {}
+        get = ranks.get
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = get(token[:i]), get(token[i:])
+                if left is not None and right is not None:
+                    self.rank[left << 16 | right] = rank
+        self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.first = np.full(1 << 16, -1, np.int64)
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.first[token[0] << 8 | token[1]] = rank
 
-def merge(pieces: list[bytes], ranks: dict[bytes, int], pairs: np.ndarray) -> list[list[int]]:
+
+def merge(pieces: list[bytes], pairs: Pairs) -> list[list[int]]:
     """Ids of each of some pre-tokens (none empty), merged in one queue.
 
     ``buckets`` maps a rank to positions, ``low`` holds a bitmap of the ranks
-    with a bucket in words of ``2**SHIFT`` bits and ``top`` a bitmap of the words
-    that are not zero.  Pre-tokens do not touch (``edge``), so each sees its
-    lowest rank first and equal ranks from left to right.  A merge never makes
-    a pair of its own rank, so a bucket is complete when it is popped.
+    with a bucket in words of ``2**SHIFT`` bits and ``top`` a bitmap of the
+    words that are not zero.  Pre-tokens do not touch (``edge``), so each sees
+    its lowest rank first and equal ranks from left to right.  A merge never
+    makes a pair of its own rank, so a bucket is complete when it is popped.
     """
-    get = ranks.get
-    data = b"".join(pieces)
+    get = pairs.rank.get
+    data = np.frombuffer(b"".join(pieces), np.uint8)
     n = len(data)
-    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    ends = np.cumsum(size)
+    ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
     edges = np.zeros(n + 1, np.uint8)
     edges[0] = 1
     edges[ends] = 1
     edge = edges.tobytes()
-    raw = np.frombuffer(data, np.uint8).astype(np.int64)
-    first = np.where(edges[1:n] == 0, pairs[raw[:-1] << 8 | raw[1:]], -1)
+    token = pairs.byte[data].tolist()     # token of the part that starts here
+    first = np.where(edges[1:n] == 0, pairs.first[data[:-1].astype(np.int64) << 8 | data[1:]], -1)
     order = np.argsort(first, kind="stable")
     order = order[np.searchsorted(first[order], 0):]
     values, start = np.unique(first[order], return_index=True)
+    positions, cuts = order.tolist(), [*start.tolist(), len(order)]
     buckets: dict[int, list[int]] = {}
     low: dict[int, int] = {}
     top = 0
-    for rank, positions in zip(values.tolist(), np.split(order, start[1:]), strict=False):
-        buckets[rank] = positions.tolist()
+    for k, rank in enumerate(values.tolist()):
+        buckets[rank] = positions[cuts[k]:cuts[k + 1]]
         a = rank >> SHIFT
         low[a] = low.get(a, 0) | 1 << (rank & MASK)
         top |= 1 << a
@@ -93,19 +102,17 @@ def merge(pieces: list[bytes], ranks: dict[bytes, int], pairs: np.ndarray) -> li
         low[a] = word = word ^ bit
         if not word:
             top &= top - 1
-        positions = buckets.pop(rank)
-        positions.sort()
-        for i in positions:
+        bucket = buckets.pop(rank)
+        bucket.sort()
+        for i in bucket:
             mid = stop[i]
-            if not mid or edge[mid]:
+            if not mid or edge[mid] or get(token[i] << 16 | token[mid]) != rank:
                 continue
             end = stop[mid]
-            if get(data[i:end]) != rank:
-                continue
-            stop[i], stop[mid] = end, 0
+            stop[i], stop[mid], token[i] = end, 0, rank
             if not edge[end]:
                 before[end] = i
-                fresh = get(data[i:stop[end]])
+                fresh = get(rank << 16 | token[end])
                 if fresh is not None:
                     if fresh in buckets:
                         buckets[fresh].append(i)
@@ -116,7 +123,7 @@ def merge(pieces: list[bytes], ranks: dict[bytes, int], pairs: np.ndarray) -> li
                         top |= 1 << a
             if not edge[i]:
                 left = before[i]
-                fresh = get(data[left:end])
+                fresh = get(token[left] << 16 | rank)
                 if fresh is not None:
                     if fresh in buckets:
                         buckets[fresh].append(left)
@@ -125,20 +132,10 @@ def merge(pieces: list[bytes], ranks: dict[bytes, int], pairs: np.ndarray) -> li
                         a = fresh >> SHIFT
                         low[a] = low.get(a, 0) | 1 << (fresh & MASK)
                         top |= 1 << a
-    out, i = [], 0
-    for piece, last in zip(pieces, ends.tolist(), strict=True):
-        whole = get(piece)
-        if whole is not None:
-            out.append([whole])
-            i = last
-            continue
-        ids = []
-        while i < last:
-            end = stop[i]
-            ids.append(ranks[data[i:end]])
-            i = end
-        out.append(ids)
-    return out
+    live = np.flatnonzero(np.array(stop))
+    tokens = np.array(token)[live].tolist()
+    cuts = np.searchsorted(live, ends).tolist()
+    return [tokens[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
 
 class Encoder:
@@ -148,7 +145,7 @@ class Encoder:
         import regex
 
         self.ranks = read_ranks(path)
-        self.pairs = pair_ranks(self.ranks)
+        self.pairs = Pairs(self.ranks)
         self.bytes_of = {v: k for k, v in self.ranks.items()}
         self.decimal = {v: str(v) for v in self.bytes_of}
         self.split = regex.compile(pattern).findall
@@ -165,7 +162,10 @@ class Encoder:
             missed = [p for p in lost if p not in old]
             made = {p: old[p] for p in lost if p in old}
             if missed:
-                made.update(zip(missed, merge([p.encode() for p in missed], self.ranks, self.pairs), strict=True))
+                data = [p.encode() for p in missed]
+                whole = map(self.ranks.get, data)
+                made.update((p, ids if w is None else [w]) for p, w, ids in
+                            zip(missed, whole, merge(data, self.pairs), strict=True))
             found = [[made[p] if v is None else v for p, v in zip(pieces, ids, strict=True)] if None in ids else ids
                      for pieces, ids in zip(split, found, strict=True)]
             if len(self.new) + len(made) > CACHE:
@@ -199,6 +199,7 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
     """doc_id and ids (array of int) of every text."""
     prepare(docs.sparkSession)
 
+    @steady
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
         for batch in batches:
@@ -212,6 +213,7 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and the decoded bytes (binary) of rows with ``ids``."""
 
+    @steady
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
         for batch in batches:
@@ -227,6 +229,7 @@ def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", te
     the digests leaves the worker."""
     prepare(docs.sparkSession)
 
+    @steady
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
         for batch in batches:

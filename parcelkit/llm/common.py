@@ -13,8 +13,10 @@ Blocks
 
 from __future__ import annotations
 
+import gc
 import math
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +58,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@contextmanager
+def no_cycle_search():
+    """Python's cycle collector is off meanwhile: large caches of strings hold no cycles, but cost it its scans."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+def steady(run):
+    """Run a batch function without cycle searches."""
+    def wrapped(batches):
+        with no_cycle_search():
+            yield from run(batches)
+    return wrapped
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Total UTF-8 bytes of a column (one scan, map-side sums)."""
     row = docs.select(F.sum(F.octet_length(F.col(text)).cast("long")).alias("n")).first()

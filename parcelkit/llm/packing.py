@@ -22,14 +22,14 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from struct import pack as packed
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from parcelkit.llm.common import prepare
+from parcelkit.llm.common import prepare, steady
 from parcelkit.llm.token_counts import Cache
 
 TIERS = (2048, 1024, 512, 256)
@@ -40,7 +40,7 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 def id_bytes(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return packed(f"<{len(ids)}I", *ids)
 
 
 _WORKER: dict = {}
@@ -132,6 +132,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, tiers: tuple[int, ...] = T
     sequence, with the sequence's tier and step group."""
     prepare(docs.sparkSession)
 
+    @steady
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = id_cache(path)
         packer, end = Packer(TaskContext.get().partitionId(), tiers, close, step_tokens), id_bytes([end_id])

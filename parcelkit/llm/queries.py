@@ -10,13 +10,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelkit.llm import anchor_simhash, byte_bpe, packing, suffix_dedup, token_counts, toxicity
+from parcelkit.llm import anchor_simhash, byte_bpe, embed_dedup, packing, pivot_topk, suffix_dedup, token_counts, toxicity
 from parcelkit.llm.common import prepare, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_topk.top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256, every=50)
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.suffix_dedup(docs, length=100, with_bytes=False)
@@ -44,9 +52,40 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op3_suffix_dedup, op4_byte_bpe, op5_packing, op6_token_counts, op8_simhash, op10_toxicity)}
+    op1_embedding_dedup, op2_exact_topk, op3_suffix_dedup, op4_byte_bpe, op5_packing, op6_token_counts, op8_simhash, op10_toxicity)}
+
+# Brute force: every label's pairs, and the links' closure by a recursive query.
+_OP1_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+n AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS s FROM v),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id
+        AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, b.e) / (a.s * b.s) >= 0.93),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+d AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(d.n_links, 0) AS BIGINT) AS n_links, c.component_id,
+       e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN d ON d.a = e.vec_id
+"""
+
+_OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+             vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_embedding_dedup": _OP1_SQL, "op2_exact_topk": _OP2_SQL}
 
 
 def queries() -> dict:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from parcelkit.llm.common import prepare, stored
+from parcelkit.llm.common import prepare, steady, stored
 
 GAP = 3                 # places from one letter of a subsequence to the next, at most
 DECAY = 0.7
@@ -226,6 +226,7 @@ def remainder(doc_id: str, k: int):
 def _landmark_words(train: DataFrame, toxic: int, clean: int, m: int) -> list[str]:
     """The m words with the largest contrast of document frequencies between the classes."""
 
+    @steady
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -302,6 +303,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, train_docs: int =
     if not words:
         return Model(landmarks, np.zeros(0), 0.0, 0.0, 0.0, toxic / (toxic + clean) if toxic + clean else 0.0)
 
+    @steady
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(landmarks)
         for batch in batches:
@@ -326,6 +328,7 @@ def score(docs: DataFrame, model: Model, folds: int = 5, doc_id: str = "doc_id",
     """doc_id, held_out, score and predicted of every row of ``docs``."""
     prepare(docs.sparkSession)
 
+    @steady
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.landmarks)
         for batch in batches:
@@ -344,6 +347,7 @@ def drop_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     prepare(docs.sparkSession)
     at = docs.columns.index(text)
 
+    @steady
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.landmarks)
         for batch in batches:

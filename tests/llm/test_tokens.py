@@ -61,7 +61,7 @@ def test_merge_equals_tiktoken(tik):
         assert e.encode([c])[0] == tik.encode_ordinary(c)
         assert e.decode(e.encode([c])[0]) == c.encode()
     assert e.encode(cases) == [tik.encode_ordinary(c) for c in cases]
-    assert byte_bpe.merge([b"\xff\xfe" * 40], ranks, byte_bpe.pair_ranks(ranks))
+    assert byte_bpe.merge([b"\xff\xfe" * 40], byte_bpe.Pairs(ranks))
 
 
 def test_byte_bpe_query(spark, odd_docs, no_docs, tik):
