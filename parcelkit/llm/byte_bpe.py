@@ -33,6 +33,7 @@ from parcelkit.llm.common import prepare, steady
 CACHE = 500_000          # pre-tokens in each of a worker's two cache generations
 LONG_PIECE = 64          # longer pre-tokens (characters) are not cached
 TURN_CHARS = 1 << 21     # text that is encoded in one turn
+TURN_PIECES = 2048       # pre-tokens that share a queue: its lists stay in the processor's cache
 SHIFT = 8                # ranks are mapped in words of 2**SHIFT bits
 MASK = (1 << SHIFT) - 1
 _WORKER: dict = {}
@@ -162,10 +163,11 @@ class Encoder:
             missed = [p for p in lost if p not in old]
             made = {p: old[p] for p in lost if p in old}
             if missed:
-                data = [p.encode() for p in missed]
-                whole = map(self.ranks.get, data)
-                made.update((p, ids if w is None else [w]) for p, w, ids in
-                            zip(missed, whole, merge(data, self.pairs), strict=True))
+                made.update((p, [self.ranks[p.encode()]]) for p in missed if p.encode() in self.ranks)
+                missed = [p for p in missed if p not in made]
+                for start in range(0, len(missed), TURN_PIECES):
+                    turn = missed[start:start + TURN_PIECES]
+                    made.update(zip(turn, merge([p.encode() for p in turn], self.pairs), strict=True))
             found = [[made[p] if v is None else v for p, v in zip(pieces, ids, strict=True)] if None in ids else ids
                      for pieces, ids in zip(split, found, strict=True)]
             if len(self.new) + len(made) > CACHE:

@@ -10,7 +10,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelkit.llm import anchor_simhash, byte_bpe, embed_dedup, packing, pivot_topk, suffix_dedup, token_counts, toxicity
+from parcelkit.llm import (
+    anchor_simhash, byte_bpe, embed_dedup, ngram_trie, packing, pivot_topk, suffix_dedup, token_counts, toxicity, warc)
 from parcelkit.llm.common import prepare, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -42,25 +43,34 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), WORD_BPE, limit=2048)
 
 
+def op7_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.score_texts(table(spark, sf_dir, "documents"), folds=7, held_out=2)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchor_simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.build(warc.responses(table(spark, sf_dir, "pages")))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_embedding_dedup, op2_exact_topk, op3_suffix_dedup, op4_byte_bpe, op5_packing, op6_token_counts, op8_simhash, op10_toxicity)}
+    op1_embedding_dedup, op2_exact_topk, op3_suffix_dedup, op4_byte_bpe, op5_packing, op6_token_counts, op7_ngram_scores,
+    op8_simhash, op9_warc, op10_toxicity)}
 
 # Brute force: every label's pairs, and the links' closure by a recursive query.
 _OP1_SQL = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 n AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS s FROM v),
 p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id
         AND len(a.e) = len(b.e)
@@ -75,9 +85,9 @@ FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN d ON d.a = e.vec_id
 
 _OP2_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,

@@ -213,6 +213,8 @@ def decide(key, order_of, lo, hi, data, begin, length: int) -> tuple[np.ndarray,
         for o in range(int(lo[order].min()), int(hi[order].max()) + 1):
             run = np.cumsum(common < length + o)
             on = np.flatnonzero((lo[order] <= o) & (hi[order] >= o))
+            if not len(on):
+                continue
             members = order[on]
             with np.errstate(over="ignore"):
                 cls = mixed(hashes.of(anchor[members] + o, -o) + mixed(run[on].astype(U64) + U64(1)))
