@@ -39,12 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelkit.llm.common import (
-    U64, pack, parts, prepare, shuffle_partitions, split_by, steady, text_bytes, unpack, word_bounds, word_hashes)
+    U64, pack, parts, prepare, shuffle_partitions, split_by, steady, stored,
+    text_bytes, unpack, word_bounds, word_hashes)
 
 MU = 2.0
 HOT_WORDS = 64
 LM_BLOCK = 16 << 20       # text bytes per block
 LM_BUCKET = 16 << 20      # corpus bytes per bucket
+HELD_WORDS = 4_000_000    # word counts that a task of the first pass holds
 TURN_BYTES = 1 << 20      # text that is hashed at a time
 START, END = U64(0x5BD1E9955BD1E995), U64(0x27D4EB2F165667C5)
 STEP, LOWEST = 0.04, -10.0   # quantisation: code k >= 1 stands for 10 ** (LOWEST + STEP * k)
@@ -334,31 +336,45 @@ def _vocabulary(train: DataFrame, buckets: int) -> tuple[int, int, np.ndarray, n
 
     @steady
     def words(batches):
+        def out(keys, counts, docs):
+            key, at = np.unique(np.concatenate(keys), return_inverse=True)
+            count = np.bincount(at, np.concatenate(counts), len(key)).astype(np.uint32)
+            rows = [(b, docs if k == 0 else 0, pack(key[i], count[i]))
+                    for k, (b, i) in enumerate(split_by((key % U64(buckets)).astype(np.int64), buckets))]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, x) for c, x in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.binary()), strict=True)],
+                names=["bucket", "docs", "data"])
+
+        keys, counts, docs = [], [], 0
         for batch in batches:
             h, _ = tokens(batch.column(0).to_pylist())
-            key, count = np.unique(h, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, x) for c, x in zip(
-                    zip(*[(b, batch.num_rows if k == 0 else 0, pack(key[i], count[i].astype(np.uint32)))
-                          for k, (b, i) in enumerate(split_by((key % U64(buckets)).astype(np.int64), buckets))],
-                        strict=True) if len(key) else [()] * 3, (pa.int32(), pa.int64(), pa.binary()), strict=True)],
-                names=["bucket", "docs", "data"])
+            if len(h):
+                key, count = np.unique(h, return_counts=True)
+                keys.append(key)
+                counts.append(count)
+                docs += batch.num_rows
+            if sum(map(len, keys)) > HELD_WORDS:
+                yield out(keys, counts, docs)
+                keys, counts, docs = [], [], 0
+        if keys:
+            yield out(keys, counts, docs)
 
     def total(t: pa.Table) -> pa.Table:
         got = [unpack(x.as_py(), "u8", "u4") for x in t["data"]]
         key, at = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
         n = np.bincount(at, np.concatenate([g[1] for g in got]), len(key)).astype(np.int64)
         top = np.argsort(-n, kind="stable")[:HOT_WORDS]
+        longs = pa.list_(pa.int64())
         return pa.table([pa.array([int(n.sum())]), pa.array([len(key)]), pa.array([sum(t["docs"].to_pylist())]),
-                         pa.array([[{"n": int(n[i]), "h": int(key[i].astype(np.int64))} for i in top]])],
-                        names=["n", "v", "docs", "top"])
+                         pa.array([n[top]], longs), pa.array([key[top].astype(np.int64)], longs)],
+                        names=["n", "v", "docs", "top_n", "top_h"])
 
     per = train.select("data").mapInArrow(words, "bucket int, docs long, data binary").groupBy("bucket").applyInArrow(
-        total, "n long, v long, docs long, top array<struct<n: long, h: long>>")
-    from parcelkit.llm.common import stored
+        total, "n long, v long, docs long, top_n array<long>, top_h array<long>")
     per = stored(per, "vocabulary")
     row = per.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("docs").alias("docs")).first()
-    top = per.select(F.explode("top").alias("t")).select("t.*").orderBy(F.desc("n"), "h").limit(HOT_WORDS).collect()
+    top = per.select(F.explode(F.arrays_zip(F.col("top_n").alias("n"), F.col("top_h").alias("h"))).alias("t")).select(
+        F.col("t.n").alias("n"), F.col("t.h").alias("h")).orderBy(F.desc("n"), "h").limit(HOT_WORDS).collect()
     hashes = np.array([START, *(np.int64(r.h).astype(U64) for r in top)], dtype=U64)
     counts = np.array([row.docs or 0, *(r.n for r in top)], dtype=np.int64)
     counts[hashes == END] = 0
