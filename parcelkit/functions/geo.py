@@ -13,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: latitude at which the square web map ends.
+MERCATOR_LIMIT = 85.0511287798066
+
 POLYGON_T = "array<array<array<double>>>"
 MULTI_T = "array<array<array<array<double>>>>"
 
@@ -80,6 +83,15 @@ def bbox(polys: str | Column) -> Column:
                     F.array_max(lons).alias("east"), F.array_max(lats).alias("north"))
 
 
+def part_boxes(polys: str | Column) -> Column:
+    """One box, struct(west, south, east, north), per polygon of a feature (its outer ring)."""
+    def box(p: Column) -> Column:
+        lons, lats = F.transform(p[0], lambda pt: pt[0]), F.transform(p[0], lambda pt: pt[1])
+        return F.struct(F.array_min(lons).alias("west"), F.array_min(lats).alias("south"),
+                        F.array_max(lons).alias("east"), F.array_max(lats).alias("north"))
+    return F.transform(_c(polys), box)
+
+
 def tile_x(lon: Column, z: Column) -> Column:
     n = F.pow(F.lit(2.0), z)
     x = F.floor((lon + F.lit(180.0)) / F.lit(360.0) * n)
@@ -90,7 +102,8 @@ def tile_x(lon: Column, z: Column) -> Column:
 
 def tile_y(lat: Column, z: Column) -> Column:
     n = F.pow(F.lit(2.0), z)
-    rad = F.radians(lat)
+    # beyond the projection's limit the formula loses the sign of the pole: clamp first
+    rad = F.radians(F.least(F.greatest(lat, F.lit(-MERCATOR_LIMIT)), F.lit(MERCATOR_LIMIT)))
     merc = F.ln(F.tan(rad) + F.lit(1.0) / F.cos(rad))
     y = F.floor((F.lit(1.0) - merc / F.lit(3.141592653589793)) / F.lit(2.0) * n)
     return F.when(lat.isNotNull(), F.least(F.greatest(y, F.lit(0)), n.cast("bigint") - 1)

@@ -38,35 +38,18 @@ def discrepancy_counts(df: DataFrame, cur: str = "current_assessed_value",
 
 
 def yoy_change(df: DataFrame, key: str, order: str, value: str,
-               threshold: float = YOY_THRESHOLD_PCT, bucket: int | None = 64) -> DataFrame:
+               threshold: float = YOY_THRESHOLD_PCT) -> DataFrame:
     """Change against the previous row of the same key ((key, order) unique).
 
     Missing values count as 0; no change when either side is 0.  ``flagged``
     when |pct| >= threshold; ``pct_label`` rounds half towards +infinity.
-
-    With a numeric ``order`` and ``bucket`` set, the previous row is found
-    in two levels so that no window partition holds a whole key: a lag
-    inside (key, order-bucket) windows of at most ``bucket`` rows, and, for
-    the first row of a bucket, the last value of the key's previous
-    non-empty bucket (a one-row-per-bucket summary, lagged per key, joined
-    back on (key, bucket)).  ``bucket=None`` uses one plain lag window.
+    One lag window per key: the input has one row per (key, order), a year,
+    so a key's window is as long as the list of years.  Rows with a NULL key
+    are one series of their own.
     """
     cur = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
-    base = df.select("*", cur.alias("_cur"))
-    if bucket is None:
-        w = Window.partitionBy(key).orderBy(order)
-        with_prev = base.withColumn("prev_value", F.lag("_cur").over(w))
-    else:
-        bkt = F.floor(F.col(order) / F.lit(bucket))
-        base = base.withColumn("_bkt", bkt)
-        w1 = Window.partitionBy(key, "_bkt").orderBy(order)
-        inner = base.withColumn("_lag", F.lag("_cur").over(w1))
-        last = (base.groupBy(key, "_bkt").agg(F.max_by("_cur", F.col(order)).alias("_last")))
-        w2 = Window.partitionBy(key).orderBy("_bkt")
-        carry = last.select(key, "_bkt", F.lag("_last").over(w2).alias("_carry"))
-        with_prev = (inner.join(carry, [key, "_bkt"], "left")
-                     .withColumn("prev_value", F.coalesce("_lag", "_carry"))
-                     .drop("_lag", "_carry", "_bkt"))
+    with_prev = df.select("*", cur.alias("_cur")).withColumn(
+        "prev_value", F.lag("_cur").over(Window.partitionBy(key).orderBy(order)))
     ok = F.col("prev_value").isNotNull() & (F.col("prev_value") != 0) & (F.col("_cur") != 0)
     pct = F.when(ok, (F.col("_cur") - F.col("prev_value")) / F.col("prev_value") * F.lit(100.0))
     return (with_prev.withColumn("pct_change", pct)
@@ -75,19 +58,24 @@ def yoy_change(df: DataFrame, key: str, order: str, value: str,
             .drop("_cur"))
 
 
+def exempt_flags(df: DataFrame, key: str = "property_id") -> DataFrame:
+    """Per key: whether any row has a positive exempt amount (partial ``bool_or``)."""
+    z = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    return df.groupBy(key).agg(F.bool_or(z("exempt_land") + z("exempt_building") > 0).alias("has_exempt"))
+
+
 def value_breakdown(df: DataFrame, key: str = "property_id") -> DataFrame:
     """Taxable land / building, exempt = land + building (missing as 0), and
     whether the key has any positive exempt amount.
 
-    The flag is a partially aggregated ``bool_or`` per key joined back
+    The flag is :func:`exempt_flags` joined back where NULL matches NULL
     (not a window), so a key with very many rows is reduced map-side."""
     z = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-    exempt = z("exempt_land") + z("exempt_building")
     out = df.select("*", z("taxable_land").alias("taxable_land_value"),
                     z("taxable_building").alias("taxable_building_value"),
-                    exempt.alias("exempt_value"))
-    flag = out.groupBy(key).agg(F.bool_or(F.col("exempt_value") > 0).alias("has_exempt"))
-    return out.join(flag, key, "left")
+                    (z("exempt_land") + z("exempt_building")).alias("exempt_value"))
+    flag = exempt_flags(df, key).withColumnRenamed(key, "_flag_key")
+    return out.join(flag, out[key].eqNullSafe(flag["_flag_key"]), "left").drop("_flag_key")
 
 
 def value_per_area(df: DataFrame, value: str = "market_value",

@@ -62,9 +62,10 @@ def drop_bundles(df: DataFrame, keys: Sequence[str] = ("sale_price", "sale_date"
     mode="window": keep rows alone in their key group (``count(*) over
                    (partition by keys) = 1``); NULL keys form a group like
                    any other value.  Planned as a partially aggregated
-                   count per key + null-safe semi-join, not as a window, so
-                   a hot key is counted map-side and its rows are split by
-                   AQE's skew handling instead of sorted in one task.
+                   count per key + null-safe anti-join with the few shared
+                   keys, not as a window, so a hot key is counted map-side
+                   and its rows are split by AQE's skew handling instead
+                   of sorted in one task.
     The anti-join ships only duplicate keys to the join; AQE turns it into
     a broadcast join when they are few and splits skewed partitions.
     """
@@ -72,13 +73,13 @@ def drop_bundles(df: DataFrame, keys: Sequence[str] = ("sale_price", "sale_date"
         return df.join(bundle_keys(df, keys, scope), list(keys), "left_anti")
     if mode == "window":
         src = df if scope is None else df.where(scope)
-        single = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                  .where(F.col("_n") == 1).select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
+        shared = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                  .where(F.col("_n") > 1).select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
         cond = None
         for k in keys:
-            c = src[k].eqNullSafe(single[f"_k_{k}"])
+            c = src[k].eqNullSafe(shared[f"_k_{k}"])
             cond = c if cond is None else cond & c
-        return src.join(single, cond, "left_semi")
+        return src.join(shared, cond, "left_anti")
     raise ValueError(f"unknown mode {mode!r}")
 
 

@@ -16,6 +16,7 @@ from parcelkit.functions.casts import safe_double
 from parcelkit.functions.scalar import (REF_YEAR, days_since, log1p_safe, prefix_group,
                                         property_age)
 from parcelkit.operators.dedupe import drop_bundles
+from parcelkit.operators.quantiles import group_modes, group_quantiles
 
 # Residential category descriptions used by train and predict.
 MODEL_CATEGORIES = ["SINGLE FAMILY", "MULTI FAMILY", "APARTMENTS > 4 UNITS", "MIXED USE"]
@@ -99,9 +100,10 @@ def feature_frame(df: DataFrame, version: str = "deployed", as_of: str | None =
                   ref_year: int = REF_YEAR, label: str | None = "sale_price",
                   keep: Sequence[str] = (), for_predict: bool = False) -> DataFrame:
     """Model-version feature frame: filter ladder (floor, cap, bundles,
-    categories) then one projection of feature expressions."""
+    categories) then one projection of feature expressions.  Bundles are
+    removed from training rows only: every eligible property is scored."""
     feats, cap, bundles, cats = FEATURE_VERSIONS[version]
-    src = drop_bundles(df, ("sale_price", "sale_date")) if bundles else df
+    src = drop_bundles(df, ("sale_price", "sale_date")) if bundles and not for_predict else df
     if for_predict:
         src = src.where(predict_input_filter())
     else:
@@ -128,42 +130,37 @@ def training_rows(df: DataFrame, since: str = TRAIN_SINCE,
     return drop_bundles(scoped, ("sale_price", "sale_date"), mode="anti").select(*cols)
 
 
-def impute(df: DataFrame, plan: Mapping[str, tuple[str, str | None]], exact: bool = True,
-           accuracy: int = 10000) -> DataFrame:
+def impute(df: DataFrame, plan: Mapping[str, tuple[str, str | None]]) -> DataFrame:
     """Fill NULLs per column: ("zero", None), ("median", by), ("mode", None).
 
-    Group medians: one partially aggregated ``groupBy`` per ``by`` column
-    (one row per group) joined back on the group key; AQE broadcasts it
-    when small and splits skewed keys otherwise.  Global medians and modes
-    (fallback for NULL or unseen groups) come from ONE aggregate used as a
-    scalar subquery, so the input is scanned once for all of them.
-    exact=True: Spark's exact median (memory per group grows with its
-    distinct values, fine for counts, years and areas in whole units);
-    exact=False: ``percentile_approx`` sketches of bounded size for
-    continuous, high-cardinality columns.
+    Medians are exact, by rank brackets (:func:`group_quantiles`): one row per
+    group for all columns with the same ``by``, joined back on the group key,
+    and one row for the whole table, used as a scalar subquery (the fallback
+    for NULL and unseen groups).  Modes come from one partial count per
+    (column, value); of equal counts the smallest value wins.  No group and no
+    column is ever held in one buffer.
     """
     dtypes = dict(df.dtypes)
-
-    def med(c: str) -> Column:
-        return F.median(c) if exact else F.percentile_approx(c, 0.5, accuracy)
-
-    by_groups: dict[str, list[str]] = {}
-    glob_aggs = []
+    by_groups: dict[str, dict] = {}
+    overall, modes = {}, []
     for c, (how, by) in plan.items():
         if how == "median":
-            glob_aggs.append(med(c).alias(c))
+            overall[c] = (c, 0.5)
             if by:
-                by_groups.setdefault(by, []).append(c)
+                by_groups.setdefault(by, {})[f"_{by}_{c}_med"] = (c, 0.5)
         elif how == "mode":
-            glob_aggs.append(F.mode(c, True).alias(c))
+            modes.append(c)
         elif how != "zero":
             raise ValueError(how)
-    glob_row = df.agg(F.struct(*glob_aggs).alias("g")).scalar() if glob_aggs else None
+    glob = group_quantiles(df, overall).select(F.struct("*").alias("g")).scalar() if overall else None
+    mode = group_modes(df, modes).select(F.struct("*").alias("g")).scalar() if modes else None
     out = df
-    for by, cols in by_groups.items():
-        stats = (df.where(F.col(by).isNotNull()).groupBy(by)
-                 .agg(*[med(c).alias(f"_{by}_{c}_med") for c in cols]))
-        out = out.join(stats, on=by, how="left")
+    if glob is not None:
+        out = out.withColumn("_glob", glob)
+    if mode is not None:
+        out = out.withColumn("_mode", mode)
+    for by, items in by_groups.items():
+        out = out.join(group_quantiles(df.where(F.col(by).isNotNull()), items, [by]), on=by, how="left")
     fills = []
     for c in df.columns:
         if c not in plan:
@@ -173,10 +170,9 @@ def impute(df: DataFrame, plan: Mapping[str, tuple[str, str | None]], exact: boo
         if how == "zero":
             e = F.coalesce(F.col(c), F.lit(0).cast(dtypes[c])).cast(dtypes[c])
         elif how == "median":
-            parts = [F.col(c)] + ([F.col(f"_{by}_{c}_med")] if by else []) + [glob_row[c]]
-            e = F.coalesce(*parts)
+            e = F.coalesce(F.col(c), *([F.col(f"_{by}_{c}_med")] if by else []), F.col(f"_glob.{c}"))
         else:
-            e = F.coalesce(F.col(c), glob_row[c]).cast(dtypes[c])
+            e = F.coalesce(F.col(c), F.col(f"_mode.{c}")).cast(dtypes[c])
         fills.append(e.alias(c))
     return out.select(*fills)
 

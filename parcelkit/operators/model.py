@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 # Deployed forest settings and the automatic split.
 NUM_TREES, MAX_DEPTH, SUBSAMPLE = 200, 10, 0.8
+# Fixed values: (trees, depth) of each model version.
+FOREST_SETTINGS = {"v0": (100, 8), "v1": (100, 8), "v2": (100, 8), "v3": (200, 10), "deployed": (200, 10)}
 EVAL_FRACTION = 0.2
 
 
@@ -69,6 +71,15 @@ def predict(model: PipelineModel, df: DataFrame, key: str = "property_id",
                                       at.alias("predicted_at"))
 
 
+def evaluate(model: PipelineModel, fit_label_mean: float, held_out: DataFrame,
+             label: str = "sale_price") -> DataFrame:
+    """Held-out rows, the forest's root mean squared error and that of the constant ``fit_label_mean``."""
+    err, flat = F.col("prediction") - F.col(label), F.lit(fit_label_mean) - F.col(label)
+    return model.transform(held_out).agg(
+        F.count(F.lit(1)).alias("held_out_rows"), F.sqrt(F.avg(err * err)).alias("rmse"),
+        F.sqrt(F.avg(flat * flat)).alias("constant_rmse"))
+
+
 def rmse(model: PipelineModel, df: DataFrame, label: str = "sale_price") -> DataFrame:
     err = F.col("prediction") - F.col(label)
     return model.transform(df).agg(F.sqrt(F.avg(err * err)).alias("rmse"),

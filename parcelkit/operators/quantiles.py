@@ -1,126 +1,126 @@
-"""Exact median without a whole group in one task.
-
-Spark's exact ``percentile`` merges a group's distinct values in one
-task: for a global or hot group of a continuous column that is the whole
-column.  Here the median is found by narrowing, as three lazy, partially
-aggregated passes over (group, value):
-
-1. per group: min, max, row count -> the two middle ranks r1, r2;
-2. twice: split the current band into K equal-width buckets, count rows
-   per (group, bucket) map-side, and keep the buckets holding r1 and r2
-   (the new band runs from the smallest value of r1's bucket to the
-   largest of r2's, and the rows below it are counted exactly because the
-   bucket index is monotonic in the value);
-3. in the final band, count rows per (group, distinct value) and read the
-   values at r1 and r2 from running counts.
-
-Per-group tables have one row (or <= K rows) per group and are joined
-back on the group key (AQE broadcasts them when small).  The result
-equals an interpolated median: v1 + 0.5 * (v2 - v1).
+"""Exact quantiles without a whole group in one task.
+
+Spark's exact ``percentile`` merges a group's distinct values in one task:
+for a global or hot group of a continuous column that is the whole column.
+Here a quantile is found by rank brackets, in three partially aggregated
+passes over the input:
+
+1. per group, for all columns and quantiles at once: the row counts and, from
+   one bounded ``percentile_approx`` sketch per column, the values at
+   ``p - MARGIN`` and ``p + MARGIN``.  The sketch's rank error is at most
+   1 / ACCURACY, so the wanted ranks lie between them, whatever the
+   distribution of the values;
+2. the exact number of rows below each bracket, and the nearest values on
+   either side of it;
+3. rows per distinct value inside the brackets, at most a share of about
+   2 * (MARGIN + 1 / ACCURACY) of the rows besides ties; running counts give
+   the values at the two ranks around ``p * (n - 1)``.
+
+A group's table has one row, joined back where NULL matches NULL; without
+groups it is a scalar subquery, so no join is planned at all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
+ACCURACY = 10000
+MARGIN = 2.5 / ACCURACY
 
+Items = Mapping[str, tuple[str | Column, float]]
 
-def _bucket(v, lo, hi, k):
-    w = hi - lo
-    return F.when(w > 0, F.least(F.floor((v - lo) / w * F.lit(float(k))), F.lit(k - 1))
-                  ).otherwise(F.lit(0)).cast("int")
 
-
-def _join(left: DataFrame, right: DataFrame, by: list[str], small: bool = False) -> DataFrame:
-    """Inner join on the group key where NULL matches NULL (a NULL group is
-    a group), keeping one copy of the key columns.  ``small``: the right
-    side has a size fixed by the caller's arguments and is broadcast."""
-    right = F.broadcast(right) if small else right
+def _same_group(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Inner join on the group key where NULL matches NULL, one copy of the key."""
     r = right.select(*[F.col(c).alias(f"_rk_{c}") for c in by],
                      *[c for c in right.columns if c not in by])
-    cond = None
-    for c in by:
-        e = left[c].eqNullSafe(r[f"_rk_{c}"])
-        cond = e if cond is None else cond & e
+    cond = left[by[0]].eqNullSafe(r[f"_rk_{by[0]}"])
+    for c in by[1:]:
+        cond = cond & left[c].eqNullSafe(r[f"_rk_{c}"])
     return left.join(r, cond, "inner").drop(*[f"_rk_{c}" for c in by])
 
 
-def _narrow(src: DataFrame, br: DataFrame, by: list[str], k: int,
-            small: bool = False) -> DataFrame:
-    """One refinement pass: bracket (lo, hi, below, r1, r2) -> a narrower one."""
-    j = _join(src, br, by, small).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-    b = (j.select(*by, _bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), k).alias("_b"), "_v")
-         .groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
-                                 F.max("_v").alias("_bmax")))
-    b = _join(b, br.select(*by, "_below", "_r1", "_r2"), by)
-    w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    b = b.withColumn("_before", F.col("_below") + F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    hit = lambda r: (F.col("_before") <= F.col(r)) & (F.col(r) < F.col("_before") + F.col("_c"))
-    return (b.groupBy(*by).agg(
-        F.min(F.when(hit("_r1"), F.col("_bmin"))).alias("_lo"),
-        F.max(F.when(hit("_r2"), F.col("_bmax"))).alias("_hi"),
-        F.min(F.when(hit("_r1"), F.col("_before"))).alias("_below"),
-        F.first("_r1").alias("_r1"), F.first("_r2").alias("_r2")))
-
-
-def partitioned_median(df: DataFrame, value: str, by: Sequence[str] = (),
-                       passes: int = 2, buckets: int = BUCKETS) -> DataFrame:
-    """Exact (interpolated) median of ``value`` per ``by`` group.
-
-    Output: ``*by, median_value`` for groups with at least one non-NULL
-    value.  Rows with a NULL group key form their own group.
-    """
-    return partitioned_quantile(df, value, by, 0.5, passes, buckets, out="median_value")
-
-
-def partitioned_quantile(df: DataFrame, value: str, by: Sequence[str] = (),
-                         p: float | str = 0.5, passes: int = 2, buckets: int = BUCKETS,
-                         out: str = "quantile_value", rank: int | None = None,
-                         fixed_groups: bool = False) -> DataFrame:
-    """Exact quantile with linear interpolation at position p * (n - 1).
-
-    ``p`` is a number, or the name of a column that is part of ``by`` (so
-    many quantiles of many columns are found in the same passes over a
-    long frame).  ``rank`` (0-based) asks for the value at that exact rank
-    instead; groups with fewer rows give no row.  ``fixed_groups``: the
-    number of groups is fixed by the caller (e.g. columns x quantiles), so
-    the per-group tables are broadcast by hint; otherwise Spark's own size
-    check decides.
+def group_quantiles(df: DataFrame, items: Items, by: Sequence[str] = ()) -> DataFrame:
+    """One row per group (one row without groups): ``*by`` and each item's quantile.
+
+    ``items`` maps an output name to (column, p); the quantile is the linear
+    interpolation at position ``p * (n - 1)`` of the column's non-NULL
+    values, NULL where there are none.  Rows with a NULL group key are a
+    group of their own.
     """
-    by = list(by)
-    src = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    pcol = F.col(p) if isinstance(p, str) else F.lit(float(p))
-    if not by:
-        src = src.withColumn("_g", F.lit(0))
-        by_ = ["_g"]
+    by, names = list(by), list(items)
+    values = [F.col(c) if isinstance(c, str) else c for c, _ in items.values()]
+    src = df.select(*by, *[v.cast("double").alias(f"_v{i}") for i, v in enumerate(values)])
+    stats = [F.struct(
+        F.count(f"_v{i}").alias("n"),
+        F.percentile_approx(f"_v{i}", F.array(F.lit(max(0.0, p - MARGIN)), F.lit(min(1.0, p + MARGIN))),
+                            ACCURACY).alias("b")).alias(f"_s{i}") for i, (_, p) in enumerate(items.values())]
+    keep = [f"_v{i}" for i in range(len(names))]
+    if by:
+        group = src.groupBy(*by).agg(*stats)
+        wide = _same_group(src, group, by)
     else:
-        by_ = by
-    n = F.col("_n")
-    pos = pcol * (n - 1) if rank is None else F.lit(rank).cast("double")
-    first = (src.groupBy(*by_).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-                                   F.count(F.lit(1)).alias("_n")))
-    if rank is not None:
-        first = first.where(n > rank)
-    frac = first.select(*by_, (pos - F.floor(pos)).alias("_frac"))
-    br = first.select(*by_, "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"),
-                      F.floor(pos).cast("bigint").alias("_r1"),
-                      F.ceil(pos).cast("bigint").alias("_r2"))
-    for _ in range(passes):
-        br = _narrow(src, br, by_, buckets, fixed_groups)
-    band = _join(_join(src, br, by_, fixed_groups).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-                 .groupBy(*by_, "_v").agg(F.count(F.lit(1)).alias("_c")),
-                 br.select(*by_, "_below", "_r1", "_r2"), by_)
-    w = Window.partitionBy(*by_).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    band = band.withColumn("_before", F.col("_below") + F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    at = lambda r: (F.col("_before") <= F.col(r)) & (F.col(r) < F.col("_before") + F.col("_c"))
-    picked = band.groupBy(*by_).agg(F.min(F.when(at("_r1"), F.col("_v"))).alias("_v1"),
-                                    F.min(F.when(at("_r2"), F.col("_v"))).alias("_v2"))
-    picked = _join(picked, frac, by_)
-    q = F.when(F.col("_v1") == F.col("_v2"), F.col("_v1")).otherwise(
-        F.col("_v1") + F.col("_frac") * (F.col("_v2") - F.col("_v1")))
-    res = picked.select(*by_, q.alias(out))
-    return res.drop("_g") if not by else res
+        row = src.agg(F.struct(*stats).alias("r")).scalar()
+        wide = src.select(*keep, row.alias("_r")).select(*keep, "_r.*")
+
+    def low(i):
+        return F.col(f"_s{i}")["b"][0]
+
+    def high(i):
+        return F.col(f"_s{i}")["b"][1]
+
+    # rows below the bracket, and its nearest values on either side (in small groups a rank can be one off)
+    side = [F.struct(F.count_if(F.col(f"_v{i}") < low(i)).alias("below"),
+                     F.max(F.when(F.col(f"_v{i}") < low(i), F.col(f"_v{i}"))).alias("prev"),
+                     F.min(F.when(F.col(f"_v{i}") > high(i), F.col(f"_v{i}"))).alias("next")) for i in range(len(names))]
+    side = F.array(*side).alias("_side")
+    under = wide.groupBy(*by).agg(side) if by else wide.agg(side)
+    inside = F.filter(F.array(*[F.struct(
+        F.lit(i).alias("i"), F.when(F.col(f"_v{i}").between(low(i), high(i)), F.col(f"_v{i}")).alias("v"),
+        F.col(f"_s{i}")["n"].alias("n"), F.lit(float(p)).alias("p"))
+        for i, (_, p) in enumerate(items.values())]), lambda s: s["v"].isNotNull())
+    band = (wide.select(*by, F.explode(inside).alias("s")).groupBy(*by, "s.i", "s.v")
+            .agg(F.count(F.lit(1)).alias("c"), F.first("s.n").alias("n"), F.first("s.p").alias("p")))
+    before = F.sum("c").over(Window.partitionBy(*by, "i").orderBy("v")
+                             .rowsBetween(Window.unboundedPreceding, -1))
+    band = band.withColumn("inside", F.coalesce(before, F.lit(0)))
+    band = _same_group(band, under, by) if by else band.withColumn("_side", under.scalar())
+    band = band.withColumn("_side", F.col("_side")[F.col("i")])
+    band = band.withColumn("place", F.col("p") * (F.col("n") - 1) - F.col("_side.below"))
+
+    def at(rank: Column) -> Column:
+        found = F.max(F.when((F.col("inside") <= rank) & (rank < F.col("inside") + F.col("c")), F.col("v")))
+        return F.coalesce(found, F.max(F.when(rank < 0, F.col("_side.prev")).otherwise(F.col("_side.next"))))
+
+    picked = band.groupBy(*by, "i").agg(at(F.floor("place")).alias("v1"), at(F.ceil("place")).alias("v2"),
+                                        F.max(F.col("place") - F.floor("place")).alias("f"))
+    q = F.when(F.col("v1") == F.col("v2"), F.col("v1")).otherwise(
+        F.col("v1") + F.col("f") * (F.col("v2") - F.col("v1")))
+    out = [F.max(F.when(F.col("i") == i, q)).alias(name) for i, name in enumerate(names)]
+    return picked.groupBy(*by).agg(*out) if by else picked.agg(*out)
+
+
+def partitioned_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Exact (interpolated) median of ``value`` per ``by`` group: ``*by, median_value``."""
+    return group_quantiles(df, {"median_value": (value, 0.5)}, by)
+
+
+def partitioned_quantile(df: DataFrame, value: str, by: Sequence[str] = (), p: float = 0.5,
+                         out: str = "quantile_value") -> DataFrame:
+    """Exact quantile with linear interpolation at position p * (n - 1): ``*by, out``."""
+    return group_quantiles(df, {out: (value, p)}, by)
+
+
+def group_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row with the most frequent non-NULL value of each column (the smallest of equals): one partial
+    count per (column, value), then one pick per column."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v"))
+                                for i, c in enumerate(cols)]))
+    counted = (df.select(pairs.alias("s")).where(F.col("s.v").isNotNull()).groupBy("s.i", "s.v")
+               .agg(F.count(F.lit(1)).alias("c")))
+    return counted.agg(*[F.max_by(F.when(F.col("i") == i, F.col("v")),
+                                  F.when(F.col("i") == i, F.struct(F.col("c"), -F.col("v")))).alias(c)
+                         for i, c in enumerate(cols)])

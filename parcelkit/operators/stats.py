@@ -65,8 +65,8 @@ def median_by(df: DataFrame, group: str, value: str, min_count: int = 0,
     """Median and row count per group; optional HAVING count >= min_count
     and top-N by median (ties broken by group).
 
-    exact=True: :func:`partitioned_median` (bucket narrowing, no group is
-    ever merged in one task; a few extra passes).  exact=False: one-pass
+    exact=True: :func:`partitioned_median` (rank brackets, no group is
+    ever merged in one task; three passes).  exact=False: one-pass
     bounded ``percentile_approx`` sketch.
     """
     from parcelkit.operators.quantiles import partitioned_median
@@ -86,12 +86,21 @@ def median_by(df: DataFrame, group: str, value: str, min_count: int = 0,
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation for every pair i < j over complete cases, one pass.
-    Output: var1, var2, corr."""
+    """Pearson correlation for every pair i < j over complete cases.
+
+    The means come first (a scalar subquery), then ONE aggregate of plain
+    sums of centred products, n (n + 1) / 2 of them: no buffer per pair, and
+    centring keeps the sums accurate.  Output: var1, var2, corr."""
     cc = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = cc.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    parts = ", ".join(f"'{a}', '{b}', `{a}|{b}`" for a, b in pairs)
+    mean = cc.agg(F.struct(*[F.avg(c).alias(c) for c in cols])).scalar()
+    centred = cc.select("*", mean.alias("_m")).select(*[(F.col(c) - F.col(f"_m.{c}")).alias(c) for c in cols])
+    every = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    row = centred.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}|{b}") for a, b in every])
+    pairs = [(a, b) for a, b in every if a != b]
+    corr = {(a, b): F.try_divide(F.col(f"{a}|{b}"), F.sqrt(F.col(f"{a}|{a}")) * F.sqrt(F.col(f"{b}|{b}")))
+            for a, b in pairs}
+    row = row.select(*[e.alias(f"{a}||{b}") for (a, b), e in corr.items()])
+    parts = ", ".join(f"'{a}', '{b}', `{a}||{b}`" for a, b in pairs)
     return row.selectExpr(f"stack({len(pairs)}, {parts}) AS (var1, var2, corr)")
 
 
@@ -110,10 +119,9 @@ def profile(df: DataFrame, cols: Sequence[str], exact: bool = True,
 
     Count, missing, mean, sd, min (p0) and max (p100) come from one
     aggregate.  exact=True: p25/p50/p75 are interpolated like R's default
-    quantile type, found by :func:`partitioned_quantile` over one long
-    frame of (column, quantile, value) rows; its per-group tables have a
-    fixed size (columns x 3) and are broadcast, and no column is ever
-    merged in one task.  exact=False: ``percentile_approx`` sketches.
+    quantile type, found by :func:`group_quantiles` for all columns in the
+    same three passes; no column is ever merged in one task.
+    exact=False: ``percentile_approx`` sketches.
     """
     inner = [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)]
     aggs = []
@@ -126,20 +134,16 @@ def profile(df: DataFrame, cols: Sequence[str], exact: bool = True,
             approx = F.percentile_approx(x, F.array(*[F.lit(p) for _, p in inner]), accuracy)
             aggs += [approx.alias(f"{c}__approx")]
     row = df.agg(*aggs)
+    fields = ["n", "n_missing", "mean", "sd", "p0", "p25", "p50", "p75", "p100"]
     if not exact:
         row = row.select("*", *[F.col(f"{c}__approx")[i].alias(f"{c}__{lbl}")
                                 for c in cols for i, (lbl, _) in enumerate(inner)])
-        fields = ["n", "n_missing", "mean", "sd", "p0", "p25", "p50", "p75", "p100"]
         return _stack(row, cols, fields, "variable")
-    from parcelkit.operators.quantiles import partitioned_quantile
-    moments = _stack(row, cols, ["n", "n_missing", "mean", "sd", "p0", "p100"], "variable")
-    recs = [F.struct(F.lit(c).alias("variable"), F.lit(lbl).alias("_pl"), F.lit(p).alias("_p"),
-                     F.col(c).cast("double").alias("_v")) for c in cols for lbl, p in inner]
-    long = df.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
-    q = partitioned_quantile(long, "_v", ["variable", "_pl", "_p"], "_p", fixed_groups=True)
-    wide = q.groupBy("variable").pivot("_pl", [lbl for lbl, _ in inner]).agg(F.first("quantile_value"))
-    return (moments.join(F.broadcast(wide), "variable", "left")
-            .select("variable", "n", "n_missing", "mean", "sd", "p0", "p25", "p50", "p75", "p100"))
+    from parcelkit.operators.quantiles import group_quantiles
+    q = group_quantiles(df, {f"{c}__{lbl}": (c, p) for c in cols for lbl, p in inner})
+    one = q.select(F.struct("*").alias("q")).scalar()
+    row = row.select("*", one.alias("_q")).select("*", "_q.*")
+    return _stack(row, cols, fields, "variable")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 100) -> DataFrame:
@@ -166,27 +170,13 @@ def linear_trend(df: DataFrame, x: str, y: str, where: Column | None = None) ->
                    F.regr_r2(y, x).alias("r2"), F.regr_count(y, x).alias("n"))
 
 
-def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42,
-             direct_limit: int = 1000) -> DataFrame:
-    """Exactly min(n, rows) rows, repeatable: smallest hash of (key, seed).
-
-    Small n: ``orderBy(hash).limit(n)`` (each task keeps n rows, the final
-    merge reads n per task).  Large n: the exact hash value at rank n - 1 is
-    found first by partitioned selection on a 53-bit prefix of the hash
-    (exact in a double, monotonic in the hash), only rows at or below it
-    pass, and the final top-n merge reads about n rows instead of
-    n x (number of partitions).  Both paths return the same rows.
-    """
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
-    if n <= direct_limit:
-        return df.orderBy(h, *key).limit(n)
-    from parcelkit.operators.quantiles import partitioned_quantile
-    hd = df.withColumn("_h", h)
-    prefix = F.shiftright(F.col("_h"), 11).cast("double")
-    cut = (partitioned_quantile(hd.select(prefix.alias("_p")), "_p", rank=n - 1)
-           .select("quantile_value").scalar())
-    kept = hd.where(cut.isNull() | (prefix <= cut))
-    return kept.orderBy("_h", *key).limit(n).drop("_h")
+def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
+    """Exactly min(n, rows) rows, repeatable: the smallest MD5 of the seed and
+    the key, ties by the key.  Every task keeps its n smallest rows and the
+    last merge reads n per task; ``n`` is the caller's report size."""
+    text = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *text))
+    return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")
 
 
 def window_report(df: DataFrame, keep: Column) -> DataFrame:

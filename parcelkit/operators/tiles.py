@@ -1,8 +1,9 @@
 """Map-tile assignment and tile statistics.
 
-Only (key, z, x, y) flows through the explode; feature text and
-attributes are joined afterwards, so the row multiplication (zooms x
-tiles per feature) carries four narrow columns.
+A feature touches the tiles of its polygons' boxes, one box per polygon, so
+far-apart parts do not span the map between them.  Statistics carry a byte
+count through the explode; the tile tree carries the feature text, which is
+written once per tile anyway.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelkit.functions.geo import bbox, tile_x, tile_y
+from parcelkit.functions.geo import part_boxes, tile_x, tile_y
 
 # Zoom range and per-tile size cap in bytes.
 MIN_ZOOM, MAX_ZOOM = 12, 18
@@ -20,30 +21,29 @@ TILE_BYTE_CAP = 2000000
 def tile_assign(df: DataFrame, key: str = "property_id", polys: str = "polygons",
                 min_zoom: int = MIN_ZOOM, max_zoom: int = MAX_ZOOM,
                 carry: tuple[str, ...] = ()) -> DataFrame:
-    """Every (z, x, y) tile each feature's bounding box touches.
+    """Every (z, x, y) tile that a box of each feature's polygons touches, once per feature row.
 
-    ``carry`` keeps extra narrow columns (e.g. a byte size) on every tile
-    row so statistics need no join back to the features."""
+    The tiles of a zoom are made distinct inside the row (an array of its own
+    tiles), before the last explode, so rows with the same key stay apart and
+    nothing is shuffled.  ``carry`` keeps extra columns on every tile row."""
     # No filter on the polygons: a pushed-down ``IS NOT NULL`` would repeat
-    # the parse; a NULL bounding box gives NULL sequences, which explode to
-    # no rows anyway.
-    b = df.select(key, *carry, bbox(polys).alias("bb"))
-    z = b.select(key, *carry, "bb",
-                 F.explode(F.sequence(F.lit(min_zoom), F.lit(max_zoom))).alias("z"))
-    ranges = z.select(key, *carry, "z",
-                      tile_x(F.col("bb.west"), F.col("z")).alias("x0"),
-                      tile_x(F.col("bb.east"), F.col("z")).alias("x1"),
-                      tile_y(F.col("bb.north"), F.col("z")).alias("y0"),
-                      tile_y(F.col("bb.south"), F.col("z")).alias("y1"))
-    xr = ranges.select(key, *carry, "z", "y0", "y1",
-                       F.explode(F.sequence("x0", "x1")).alias("x"))
-    return xr.select(key, "z", "x", F.explode(F.sequence("y0", "y1")).alias("y"), *carry)
+    # the parse; NULL polygons give a NULL array, which explodes to no rows.
+    boxes = df.select(key, *carry, part_boxes(polys).alias("boxes"))
+    zooms = boxes.select(key, *carry, "boxes", F.explode(F.sequence(F.lit(min_zoom), F.lit(max_zoom))).alias("z"))
+
+    def tiles(b):
+        xs = F.sequence(tile_x(b["west"], F.col("z")), tile_x(b["east"], F.col("z")))
+        ys = F.sequence(tile_y(b["north"], F.col("z")), tile_y(b["south"], F.col("z")))
+        return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("x"), y.alias("y")))))
+
+    each = F.explode(F.array_distinct(F.flatten(F.transform("boxes", tiles))))
+    return zooms.select(key, "z", each.alias("t"), *carry).select(key, "z", "t.x", "t.y", *carry)
 
 
 def tile_stats(features: DataFrame, polys: str = "polygons", feature_text: str = "feature",
                key: str = "property_id", cap: int = TILE_BYTE_CAP,
                min_zoom: int = MIN_ZOOM, max_zoom: int = MAX_ZOOM) -> DataFrame:
-    """Features and bytes per tile, with an over-cap flag.
+    """Features and bytes of feature text per tile, with an over-cap flag.
 
     The byte size of each feature is computed before the explode and
     carried on the tile rows; one partially aggregated group-by on
@@ -56,18 +56,19 @@ def tile_stats(features: DataFrame, polys: str = "polygons", feature_text: str =
             .withColumn("over_cap", F.col("tile_bytes") > cap))
 
 
-def write_tiles(tiles: DataFrame, features: DataFrame, path: str, key: str = "property_id",
-                feature_text: str = "feature", layer: str = "property_tile_info") -> None:
+def write_tiles(features: DataFrame, path: str, polys: str = "polygons", key: str = "property_id",
+                feature_text: str = "feature", layer: str = "property_tile_info",
+                min_zoom: int = MIN_ZOOM, max_zoom: int = MAX_ZOOM) -> None:
     """Replace the whole tile tree: gzip'd text parts per (z, x) folder,
-    feature rows (not binary vector tiles).
-
-    Rows are range-partitioned on (z, x, y, key) first: each task then
-    writes a contiguous run of folders (few files per folder), and a dense
-    tile is split across tasks instead of landing in one task."""
-    value = F.to_json(F.struct(F.lit(layer).alias("layer"), "y",
-                               F.col(feature_text).alias("feature")))
-    rows = (tiles.join(features.select(key, feature_text), key, "inner")
-            .select("z", "x", F.col("y").alias("_y"), F.col(key).alias("_k"), value.alias("value")))
-    # the key as last range column splits even one very dense tile
-    (rows.repartitionByRange("z", "x", "_y", "_k").drop("_y", "_k").write.mode("overwrite")
+    feature rows (not binary vector tiles), each feature row once per tile.
+
+    The feature (a JSON object) rides through the explode, so no join can
+    multiply it.  ``rebalance`` on (z, x) gives each folder few files and
+    splits a dense folder across tasks."""
+    tiles = tile_assign(features, key, polys, min_zoom, max_zoom, carry=(feature_text,))
+    value = F.concat(F.lit('{"layer":'), F.to_json(F.array(F.lit(layer))).substr(F.lit(2), F.length(
+        F.to_json(F.array(F.lit(layer)))) - 2), F.lit(',"y":'), F.col("y").cast("string"),
+        F.lit(',"feature":'), F.col(feature_text), F.lit("}"))
+    rows = tiles.where(F.col(feature_text).isNotNull()).select("z", "x", value.alias("value"))
+    (rows.hint("rebalance", "z", "x").write.mode("overwrite")
      .partitionBy("z", "x").option("compression", "gzip").text(path))

@@ -8,19 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelkit.functions.geo import with_polygons
-from parcelkit.operators.tiles import tile_assign, write_tiles
+from parcelkit.operators.tiles import write_tiles
 from parcelkit.plans import fixtures as X
 from parcelkit.plans import products as P
-from parcelkit.plans.queries import register, rounded, tile_frame
+from parcelkit.plans.queries import PRED_BIN_WIDTH, PRED_TIE, register, rounded, tile_frame
 from parcelkit.session import shared_dir
 from parcelkit.sources import files, sinks
 from parcelkit.streaming.ingest import prepare_stream
 
 
-def _land_csv(df: DataFrame, path: str, pages: int = 4) -> None:
-    """Write ``df`` as CSV pages with an upper-cased header in every page."""
+# Fixed value: rows per page of an export.
+PAGE_ROWS = 50000
+
+
+def _land_csv(df: DataFrame, path: str) -> None:
+    """Write ``df`` as CSV pages of at most ``PAGE_ROWS`` rows with an upper-cased header in every page."""
     up = df.select(*[F.col(c).cast("string").alias(c.upper()) for c in df.columns])
-    (up.repartition(pages).write.mode("overwrite").option("header", True)
+    (up.write.mode("overwrite").option("header", True).option("maxRecordsPerFile", PAGE_ROWS)
      .option("escape", '"').csv(path))
 
 
@@ -42,7 +46,7 @@ def q_src_csv_jsonl(spark, d):
 @register("src_paged_csv")
 def q_src_paged_csv(spark, d):
     path = shared_dir(spark, "land-pages")
-    _land_csv(X.fx_parcels(spark, d).withColumnRenamed("geometry", "geom_text"), path, pages=8)
+    _land_csv(X.fx_parcels(spark, d).withColumnRenamed("geometry", "geom_text"), path)
     return files.read_pages(spark, path, ["property_id", "brt_id", "address", "geom_text"])
 
 
@@ -75,7 +79,7 @@ def q_ctas_roundtrip(spark, d):
 
 @register("chart_config_json")
 def q_chart_config_json(spark, d):
-    tax_doc, cur_doc = P.chart_configs(X.fx_assess(spark, d), X.fx_pred(spark, d))
+    tax_doc, cur_doc = P.chart_configs(X.fx_assess(spark, d), X.fx_pred(spark, d), tie=PRED_TIE)
     return tax_doc.unionByName(cur_doc)
 
 
@@ -95,14 +99,34 @@ def q_records_json(spark, d):
                                                                   "sale_date"))
 
 
+def _write_tiles(spark, d) -> str:
+    out = shared_dir(spark, "tiles")
+    feats = sinks.geojson_features(tile_frame(spark, d), carry=("geog",))
+    write_tiles(with_polygons(feats, "geog"), out)
+    return out
+
+
 @register("tile_write")
 def q_tile_write(spark, d):
-    out = shared_dir(spark, "tiles")
-    ti = tile_frame(spark, d)
-    feats = sinks.geojson_features(ti)
-    tiles = tile_assign(with_polygons(ti.select("property_id", "geog"), "geog"))
-    write_tiles(tiles, feats, out)
-    return spark.read.text(out)
+    return spark.read.text(_write_tiles(spark, d))
+
+
+@register("tile_write_items")
+def q_tile_write_items(spark, d):
+    schema = ("struct<layer:string,y:bigint,feature:struct<type:string,geometry:struct<type:string>,properties:struct<"
+              "property_id:string,address:string,current_assessed_value:double,tax_year_assessed_value:double>>>")
+    t = spark.read.text(_write_tiles(spark, d)).select("z", "x", F.from_json("value", schema).alias("j"))
+    return rounded(t.select(F.col("z").cast("bigint").alias("z"), F.col("x").cast("bigint").alias("x"), "j.y", "j.layer",
+                            F.col("j.feature.type").alias("feature_type"),
+                            F.col("j.feature.geometry.type").alias("geometry_type"), "j.feature.properties.*"))
+
+
+@register("chart_config_current_items")
+def q_chart_config_current_items(spark, d):
+    _, cur_doc = P.chart_configs(X.fx_assess(spark, d), X.fx_pred(spark, d), PRED_BIN_WIDTH, PRED_TIE)
+    items = cur_doc.select(F.posexplode(F.from_json("document", BIN_ITEM)).alias("position", "b"))
+    return items.select(F.col("position").cast("bigint").alias("position"), "b.lower_bound", "b.upper_bound",
+                        "b.property_count")
 
 
 @register("stream_prepare")
@@ -122,7 +146,7 @@ BIN_ITEM = "array<struct<tax_year:string,lower_bound:bigint,upper_bound:bigint,p
 
 @register("chart_config_items")
 def q_chart_config_items(spark, d):
-    tax_doc, _ = P.chart_configs(X.fx_assess(spark, d), X.fx_pred(spark, d))
+    tax_doc, _ = P.chart_configs(X.fx_assess(spark, d), X.fx_pred(spark, d), tie=PRED_TIE)
     items = tax_doc.select(F.posexplode(F.from_json("document", BIN_ITEM)).alias("position", "b"))
     return items.select(F.col("position").cast("bigint").alias("position"), "b.*")
 

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from parcelkit.functions.casts import retype
 from parcelkit.functions.geo import with_polygons
-from parcelkit.operators.features import feature_frame, training_rows
+from parcelkit.operators.features import assessment_inputs, feature_frame, training_rows
 from parcelkit.operators.model import fit_forest, predict
-from parcelkit.operators.tiles import tile_assign, write_tiles
+from parcelkit.operators.tiles import write_tiles
 from parcelkit.plans import products
 from parcelkit.sources.files import read_raw_csv, read_text_csv
 from parcelkit.sources.sinks import geojson_features, write_parquet_counted, write_text
@@ -50,8 +50,11 @@ class Paths:
 
 
 def core_properties(raw: DataFrame) -> DataFrame:
-    spec = {k: v for k, v in PROPERTY_TYPES.items() if k in raw.columns}
-    return retype(raw, spec, key="property_id", key_from="parcel_number")
+    """Every listed column must be there; a vanished one is an error, not NULLs."""
+    missing = [c for c in PROPERTY_TYPES if c not in raw.columns]
+    if missing:
+        raise ValueError(f"listed columns are not in the source: {', '.join(missing)}")
+    return retype(raw, PROPERTY_TYPES, key="property_id", key_from="parcel_number")
 
 
 def core_assessments(raw: DataFrame) -> DataFrame:
@@ -98,7 +101,7 @@ def run(spark: SparkSession, paths: Paths, trees: int = 200, depth: int = 10,
     model.write().overwrite().save(f"{out}/derived/model")
     scoring = feature_frame(props, "deployed", as_of, label=None, keep=["property_id"],
                             for_predict=True)
-    preds = predict(model, scoring).withColumn("event_id", F.lit(0))
+    preds = predict(model, scoring)
     counts["derived.current_assessments"] = write_parquet_counted(
         preds, f"{out}/derived/current_assessments")
     preds = spark.read.parquet(f"{out}/derived/current_assessments")
@@ -107,6 +110,10 @@ def run(spark: SparkSession, paths: Paths, trees: int = 200, depth: int = 10,
         products.tax_year_bins(assess), f"{out}/derived/tax_year_bins")
     counts["derived.current_bins"] = write_parquet_counted(
         products.current_bins(preds), f"{out}/derived/current_bins")
+    counts["derived.tax_year_assessments"] = write_parquet_counted(
+        products.tax_year_assessments(assess), f"{out}/derived/tax_year_assessments")
+    counts["derived.assessment_inputs"] = write_parquet_counted(
+        assessment_inputs(props, as_of), f"{out}/derived/assessment_inputs")
     ti = products.tile_info(props, parcels, assess, preds)
     counts["derived.tile_info"] = write_parquet_counted(ti, f"{out}/derived/tile_info")
     ti = spark.read.parquet(f"{out}/derived/tile_info")
@@ -114,10 +121,9 @@ def run(spark: SparkSession, paths: Paths, trees: int = 200, depth: int = 10,
     tax_doc, cur_doc = products.chart_configs(assess, preds)
     write_text(tax_doc, "document", f"{out}/public/tax_year_bins")
     write_text(cur_doc, "document", f"{out}/public/current_bins")
-    feats_df = geojson_features(ti)
+    feats_df = geojson_features(ti, carry=("geog",))
     write_text(feats_df, "feature", f"{out}/public/features")
-    tiles = tile_assign(with_polygons(ti.select("property_id", "geog"), "geog"))
-    write_tiles(tiles, feats_df, f"{out}/public/tiles")
+    write_tiles(with_polygons(feats_df, "geog"), f"{out}/public/tiles")
     return counts
 
 
@@ -126,7 +132,7 @@ def main(argv: list[str] | None = None) -> None:
     import argparse
     import json
 
-    from parcelkit.session import get_session
+    from parcelkit.session import cluster_conf, get_session
     ap = argparse.ArgumentParser(description="weekly appraisal batch")
     ap.add_argument("properties_csv")
     ap.add_argument("assessments_csv")
@@ -135,8 +141,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trees", type=int, default=200)
     ap.add_argument("--depth", type=int, default=10)
     ap.add_argument("--as-of", default=None)
+    ap.add_argument("--input-bytes", type=float, default=None, help="size of the inputs, for the shuffle partitions")
     a = ap.parse_args(argv)
-    spark = get_session()
+    spark = get_session(extra=cluster_conf(input_bytes=a.input_bytes))
     counts = run(spark, Paths(a.properties_csv, a.assessments_csv, a.parcels_csv, a.root),
                  trees=a.trees, depth=a.depth, as_of=a.as_of)
     print(json.dumps(counts))

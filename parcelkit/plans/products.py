@@ -39,17 +39,19 @@ def tax_year_bins(assessments: DataFrame, width: int = BIN_WIDTH, value: str = "
     return value_bins(src, value, width, by=["tax_year"])
 
 
-def latest_predictions(predictions: DataFrame, tie: Sequence[str] = ("event_id",),
+def latest_predictions(predictions: DataFrame, tie: Sequence[str] = (),
                        valid_only: bool = False) -> DataFrame:
     """Latest prediction per property; ``valid_only`` drops NULL/negative
-    values *before* ranking (the binning rule)."""
+    values *before* ranking (the binning rule).  Ties go by ``tie``, then to
+    the larger value."""
     v = F.col("predicted_value")
     where = (v.isNotNull() & (v >= 0)) if valid_only else None
-    return latest_per_key(predictions, "property_id", "predicted_at", tie=tie, where=where)
+    return latest_per_key(predictions, "property_id", "predicted_at", tie=(*tie, "predicted_value"),
+                          where=where)
 
 
 def current_bins(predictions: DataFrame, width: int = BIN_WIDTH,
-                 tie: Sequence[str] = ("event_id",)) -> DataFrame:
+                 tie: Sequence[str] = ()) -> DataFrame:
     """lower_bound, upper_bound, property_count over latest valid predictions."""
     return value_bins(latest_predictions(predictions, tie, valid_only=True),
                       "predicted_value", width)
@@ -57,13 +59,15 @@ def current_bins(predictions: DataFrame, width: int = BIN_WIDTH,
 
 def tile_info(properties: DataFrame, parcels: DataFrame, assessments: DataFrame,
               predictions: DataFrame, codes: Sequence[str] = TILE_CODES,
-              tie: Sequence[str] = ("event_id",)) -> DataFrame:
+              tie: Sequence[str] = (), check_geometry: bool = False) -> DataFrame:
     """property_id, address, zip_code, geog, current_assessed_value,
     tax_year_assessed_value.
 
     Latest tax year via scalar subquery (runtime filter on the scan);
     one property may match several parcels and several latest-year
-    assessment rows (fan-out kept, as in the source SQL)."""
+    assessment rows (fan-out kept, as in the source SQL).
+    ``check_geometry``: the parcels are raw; their geometry is parsed after
+    the category filter and the join, and invalid ones drop out."""
     la = (latest_group_rows(assessments, "year")
           .select("property_id", F.col("market_value").alias("tax_year_assessed_value")))
     cp = (latest_predictions(predictions, tie)
@@ -72,10 +76,14 @@ def tile_info(properties: DataFrame, parcels: DataFrame, assessments: DataFrame,
         "property_id", F.col("location").alias("address"), "zip_code")
     par = parcels.where(F.col("geometry").isNotNull()).select(
         "property_id", F.col("geometry").alias("geog"))
-    return (o.join(par, "property_id", "inner").join(la, "property_id", "left")
-            .join(cp, "property_id", "left")
-            .select("property_id", "address", "zip_code", "geog", "current_assessed_value",
-                    "tax_year_assessed_value"))
+    out = (o.join(par, "property_id", "inner").join(la, "property_id", "left")
+           .join(cp, "property_id", "left")
+           .select("property_id", "address", "zip_code", "geog", "current_assessed_value",
+                   "tax_year_assessed_value"))
+    if not check_geometry:
+        return out
+    return (with_polygons(out, "geog", "_polys").withColumn("geog", F.when(F.col("_polys").isNotNull(), F.col("geog")))
+            .drop("_polys").where(F.col("geog").isNotNull()))
 
 
 def tile_style_stats(tile_info_df: DataFrame, fields: Sequence[str] = TILE_FIELDS,
@@ -83,7 +91,7 @@ def tile_style_stats(tile_info_df: DataFrame, fields: Sequence[str] = TILE_FIELD
     return field_stats(tile_info_df, list(fields), 5, accuracy)
 
 
-def tile_style_metadata(tile_info_df: DataFrame, source: str = "property_tile_info",
+def tile_style_metadata(tile_info_df: DataFrame, source: str = "derived.property_tile_info",
                         run_at=None) -> DataFrame:
     return style_document(style_layers(tile_style_stats(tile_info_df)), source, run_at)
 
@@ -93,7 +101,7 @@ def tax_year_assessments(assessments: DataFrame) -> DataFrame:
                               F.col("market_value").alias("assessed_value"))
 
 
-def chart_configs(assessments: DataFrame, predictions: DataFrame,
-                  width: int = BIN_WIDTH) -> tuple[DataFrame, DataFrame]:
+def chart_configs(assessments: DataFrame, predictions: DataFrame, width: int = BIN_WIDTH,
+                  tie: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     return (bins_document(tax_year_bins(assessments, width), "tax_year"),
-            bins_document(current_bins(predictions, width), None))
+            bins_document(current_bins(predictions, width, tie), None))

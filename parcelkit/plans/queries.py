@@ -23,6 +23,7 @@ from parcelkit.operators import stats as S
 from parcelkit.operators import tiles as T
 from parcelkit.plans import fixtures as X
 from parcelkit.plans import products as P
+from parcelkit.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -34,8 +35,7 @@ PROP_BIN_WIDTH = 10          # part prices are 900-1000
 SEARCH_TEXT = "customer#00000"
 YEAR_MIN_TOTAL_FX = 1000     # orders per year are ~2,300 per 0.01 scale factor
 YEAR_SELECTABLE_FX = 2000
-RF_TREES, RF_DEPTH = 20, 8
-BUNDLE_SCOPE_SINCE = "2023-01-01"  # bundles defined by recent sales only
+PRED_TIE = ("event_id",)     # predictions of the fixture carry a row number
 
 
 def register(name: str):
@@ -90,8 +90,8 @@ def clean_sales(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tile_frame(spark: SparkSession, d: str) -> DataFrame:
-    parcels = P.core_parcel_geometry(X.fx_parcels(spark, d))
-    return P.tile_info(X.fx_search(spark, d), parcels, X.fx_assess(spark, d), X.fx_pred(spark, d))
+    return P.tile_info(X.fx_search(spark, d), X.fx_parcels(spark, d), X.fx_assess(spark, d),
+                       X.fx_pred(spark, d), tie=PRED_TIE, check_geometry=True)
 
 
 def tax_bins_fx(spark: SparkSession, d: str) -> DataFrame:
@@ -106,7 +106,7 @@ def q_tax_year_bins(spark, d):
 
 @register("current_bins")
 def q_current_bins(spark, d):
-    return P.current_bins(X.fx_pred(spark, d), PRED_BIN_WIDTH)
+    return P.current_bins(X.fx_pred(spark, d), PRED_BIN_WIDTH, PRED_TIE)
 
 
 @register("tile_info")
@@ -145,7 +145,7 @@ def q_property_profile_nested(spark, d):
 # ----------------------------------------------------------- 2.7 windows etc.
 @register("latest_per_key")
 def q_latest_per_key(spark, d):
-    out = P.latest_predictions(X.fx_pred(spark, d))
+    out = P.latest_predictions(X.fx_pred(spark, d), PRED_TIE)
     return rounded(out.withColumn("predicted_at", F.date_format("predicted_at",
                                                                 "yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
@@ -171,8 +171,10 @@ def q_bundle_anti_left(spark, d):
 @register("bundle_anti_exists")
 def q_bundle_anti_exists(spark, d):
     s = X.fx_sale(spark, d)
-    scope = F.col("sale_date") >= F.to_date(F.lit(BUNDLE_SCOPE_SINCE))
-    return rounded(D.drop_bundles(s, scope=scope).select("property_id", "sale_price", "sale_date"))
+    p = F.col("sale_price")
+    scope = ((F.col("sale_date") >= F.to_date(F.lit(FE.TRAIN_SINCE)))
+             & p.between(FE.TRAIN_PRICE_MIN, FE.TRAIN_PRICE_MAX))
+    return rounded(D.drop_bundles(s.where(scope)).select("property_id", "sale_price", "sale_date"))
 
 
 @register("bundle_window")
@@ -297,6 +299,41 @@ def q_retype_core(spark, d):
     return rounded(casts.retype(raw, ASSESSMENT_TYPES, key="property_id", key_from="parcel_number"))
 
 
+def _core_text(spark, d) -> DataFrame:
+    """Raw property rows, all text, every listed column, some cells that do not parse."""
+    t = X.table(spark, d, "lineitem")
+    line = F.col("l_linenumber")
+    day = {"sale_date": 0, "recording_date": 30, "market_value_date": 60, "assessment_date": 90}
+    number = {"market_value": "l_extendedprice", "sale_price": "l_quantity", "taxable_land": "l_tax",
+              "taxable_building": "l_discount", "exempt_land": "l_tax", "exempt_building": "l_discount",
+              "total_livable_area": "l_extendedprice", "total_area": "l_extendedprice", "depth": "l_quantity",
+              "frontage": "l_quantity", "off_street_open": "l_tax", "number_of_bathrooms": "l_discount"}
+    whole = {"garage_spaces": "l_linenumber", "number_of_bedrooms": "l_linenumber", "number_stories": "l_linenumber",
+             "year_built": "l_suppkey"}
+    cells = {c: F.when(line == 3, F.lit("n/a")).otherwise(F.col(x).cast("string")) for c, x in number.items()}
+    cells |= {c: F.when(line == 5, F.lit("none")).otherwise(F.col(x).cast("string")) for c, x in whole.items()}
+    later = {c: F.date_add("l_shipdate", n) for c, n in day.items()}
+    cells |= {c: F.when(line == 2, F.lit("soon")).when(line == 4, F.date_format(x, "yyyy-MM-dd HH:mm:ss"))
+              .otherwise(F.date_format(x, "yyyy-MM-dd")) for c, x in later.items()}
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), line.cast("string"))
+    return t.select(key.alias("parcel_number"), *[e.alias(c) for c, e in cells.items()])
+
+
+@register("core_properties")
+def q_core_properties(spark, d):
+    from parcelkit.plans.job import PROPERTY_TYPES, core_properties
+    out = core_properties(_core_text(spark, d))
+    wide = [c for c, t in PROPERTY_TYPES.items() if t == "long"]
+    return as_double(rounded(out), wide)
+
+
+@register("core_parcels")
+def q_core_parcels(spark, d):
+    from parcelkit.plans.job import core_parcels
+    return core_parcels(X.fx_parcels(spark, d).drop("property_id")).select("property_id", "brt_id", "address",
+                                                                           "geometry")
+
+
 @register("geojson_parse")
 def q_geojson_parse(spark, d):
     g = geo.with_polygons(X.fx_parcels(spark, d), "geometry", "p", type_col="geom_type")
@@ -528,6 +565,12 @@ for _v in ("v0", "v1", "v2", "v3"):
 register("feature_frame")(_feature_q("deployed"))
 
 
+@register("feature_frame_v3_predict")
+def q_feature_frame_v3_predict(spark, d):
+    return rounded(FE.feature_frame(X.fx_sale(spark, d), "v3", X.AS_OF, label=None, keep=["property_id"],
+                                    for_predict=True), 9)
+
+
 @register("target_encode")
 def q_target_encode(spark, d):
     c = clean_sales(spark, d)
@@ -553,17 +596,44 @@ def q_assessment_inputs(spark, d):
     return rounded(FE.assessment_inputs(clean_sales(spark, d), X.AS_OF))
 
 
+RF_CATS = ["zip_code", "category_code_description", "building_code_description"]
+
+
+def _forest(spark, d):
+    """The deployed forest on all training rows of the fixture, its training and held-out rows."""
+    from parcelkit.operators.model import fit_forest
+    train = FE.feature_frame(FE.training_rows(X.fx_sale(spark, d)), "deployed", X.AS_OF)
+    nums = [c for c in train.columns if c not in RF_CATS and c != "sale_price"]
+    model, held_out = fit_forest(train, nums, RF_CATS, seed=7)
+    return model, train, held_out
+
+
+def _predictions(spark, d):
+    from parcelkit.operators.model import predict
+    model, train, held_out = _forest(spark, d)
+    score = FE.feature_frame(X.fx_sale(spark, d), "deployed", X.AS_OF, label=None, keep=["property_id"],
+                             for_predict=True)
+    return predict(model, score, run_at=X.RUN_AT), model, train, held_out
+
+
 @register("rf_train_predict")
 def q_rf_train_predict(spark, d):
-    from parcelkit.operators.model import fit_forest, predict
-    s = X.fx_sale(spark, d)
-    train = FE.feature_frame(FE.training_rows(s), "deployed", X.AS_OF)
-    cats = ["zip_code", "category_code_description", "building_code_description"]
-    nums = [c for c in train.columns if c not in cats and c != "sale_price"]
-    model, _ = fit_forest(train, nums, cats, trees=RF_TREES, depth=RF_DEPTH, seed=7)
-    score = FE.feature_frame(s, "deployed", X.AS_OF, label=None, keep=["property_id"],
-                             for_predict=True)
-    return predict(model, score, run_at=X.RUN_AT)
+    return _predictions(spark, d)[0]
+
+
+@register("rf_checks")
+def q_rf_checks(spark, d):
+    """What a forest's predictions must satisfy whatever its trees: every eligible property once, a value
+    inside the training labels' range, the run's stamp, and a held-out error below a constant's."""
+    from parcelkit.operators.model import evaluate
+    preds, model, train, held_out = _predictions(spark, d)
+    label = train.agg(F.min("sale_price").alias("lo"), F.max("sale_price").alias("hi"),
+                      F.avg("sale_price").alias("mean")).first()
+    err = evaluate(model, label.mean, held_out).select((F.col("rmse") < F.col("constant_rmse")).alias("e")).scalar()
+    v = F.col("predicted_value")
+    return preds.select("property_id", (v.isNotNull() & v.between(label.lo, label.hi)).alias("in_label_range"),
+                        F.date_format("predicted_at", "yyyy-MM-dd HH:mm:ss").alias("run_at"),
+                        err.alias("beats_constant"))
 
 
 # -------------------------------------------------------------- 2.13 tiles
@@ -578,7 +648,9 @@ def q_tile_assign(spark, d):
 
 @register("tile_stats")
 def q_tile_stats(spark, d):
-    return (T.tile_stats(_parsed_parcels(spark, d), feature_text="geometry")
+    feats = sinks.geojson_features(X.fx_parcels(spark, d), "geometry", ("property_id", "address"),
+                                   carry=("geometry",))
+    return (T.tile_stats(geo.with_polygons(feats, "geometry", "polygons"))
             .withColumn("z", F.col("z").cast("bigint")))
 
 

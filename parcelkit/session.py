@@ -25,12 +25,13 @@ BASE_CONF = {
 }
 
 
-# Settings for a large cluster (hundreds of TB, ~1000 executors).  Shuffle
-# partitions start high and AQE coalesces them to ~256 MB each, so a
-# 100 TB shuffle gets ~400k partitions' worth of parallelism without tiny
-# tasks on small stages; skewed partitions (> 5x median and > 512 MB) are
-# split; scans read 256 MB splits; broadcast joins only happen under
-# Spark's own size check (no broadcast hints anywhere in the library).
+# Settings for a large cluster (hundreds of TB, ~1000 executors).  AQE merges
+# small shuffle partitions up to ~256 MB but does not split those of a plain
+# aggregate or window, so their number must fit the input: see
+# ``shuffle_partitions_for``.  Skewed join partitions (> 5x median and
+# > 512 MB) are split; scans read 256 MB splits.  Broadcast hints are only on
+# sides whose row count is fixed by arguments; all others are left to Spark's
+# own size check.
 CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
@@ -48,10 +49,18 @@ CLUSTER_CONF = {
 }
 
 
-def cluster_conf(extra: dict | None = None) -> dict:
-    """Settings to pass at submit time for a cluster run."""
+def shuffle_partitions_for(input_bytes: float, per_partition: int = 256 << 20, least: int = 200) -> int:
+    """Shuffle partitions for a job whose largest shuffle is about its input."""
+    return max(least, int(-(-input_bytes // per_partition)))
+
+
+def cluster_conf(extra: dict | None = None, input_bytes: float | None = None) -> dict:
+    """Settings to pass at submit time for a cluster run; with ``input_bytes`` the
+    number of shuffle partitions follows the input (100 TB: about 400,000)."""
     conf = dict(BASE_CONF)
     conf.update(CLUSTER_CONF)
+    if input_bytes is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes))
     conf.update(extra or {})
     return conf
 

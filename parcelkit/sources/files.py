@@ -54,8 +54,10 @@ def read_pages(spark: SparkSession, directory: str, columns: Sequence[str] | Non
     blank lines are skipped, headers of every page are dropped."""
     df = _lower(spark.read.csv(directory, header=True, escape='"', inferSchema=False))
     if columns is not None:
-        df = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
-                         for c in columns])
+        missing = [c for c in columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"listed columns are not in the export: {', '.join(missing)}")
+        df = df.select(*columns)
     return df
 
 

@@ -14,10 +14,13 @@ def write_parquet_counted(df: DataFrame, path: str,
                           partition_by: Sequence[str] = ()) -> int:
     """Overwrite ``path`` with ``df``; the row count comes from the same pass.
 
-    ``partition_by`` lays out one folder per value (no shuffle: every task
-    writes its own rows per folder), so filters on those columns, including
-    runtime scalar-subquery filters, prune whole folders at read time."""
+    ``partition_by`` lays out one folder per value, so filters on those
+    columns, including runtime scalar-subquery filters, prune whole folders at
+    read time; rows are rebalanced on them first, which gives a folder few
+    files and splits a large one."""
     obs = Observation("parquet_sink")
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -32,8 +35,9 @@ def write_jsonl_counted(df: DataFrame, path: str) -> int:
 
 
 def replace_table(spark: SparkSession, df: DataFrame, layer: str, name: str, path: str) -> DataFrame:
-    """Create-or-replace ``layer.name`` as an external Parquet table at ``path``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    """Create-or-replace ``layer.name`` as an external Parquet table at ``path``; a new layer's folder lies
+    beside it."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{path.rstrip('/').rpartition('/')[0]}/{layer}'")
     df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(f"{layer}.{name}")
     return spark.table(f"{layer}.{name}")
 
@@ -69,15 +73,20 @@ def style_document(layers: DataFrame, source: str, run_at: Column | None = None)
 
 def geojson_features(df: DataFrame, geometry: str = "geog",
                      props: Sequence[str] = ("property_id", "address", "current_assessed_value",
-                                             "tax_year_assessed_value")) -> DataFrame:
-    """One GeoJSON Feature (text) per row; decimals as floats, geometry as
-    an object (its text is embedded verbatim)."""
+                                             "tax_year_assessed_value"),
+                     carry: Sequence[str] = ()) -> DataFrame:
+    """One GeoJSON Feature (one line of text) per row; decimals as floats,
+    geometry as an object, written anew from the parsed text (so white space
+    and line breaks in it do not matter); unparsable geometry drops out."""
     cols = [F.col(p).cast("double").alias(p) if dict(df.dtypes)[p].startswith("decimal")
             else F.col(p) for p in props]
     props_json = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
-    feat = F.concat(F.lit('{"type":"Feature","geometry":'), F.col(geometry),
+    shape = F.to_json(F.try_parse_json(F.col(geometry)))
+    feat = F.concat(F.lit('{"type":"Feature","geometry":'), shape,
                     F.lit(',"properties":'), props_json, F.lit("}"))
-    return df.where(F.col(geometry).isNotNull()).select(*props, feat.alias("feature"))
+    extra = [c for c in carry if c not in props]
+    return df.where(F.col(geometry).isNotNull()).select(*props, *extra, feat.alias("feature")).where(
+        F.col("feature").isNotNull())
 
 
 def write_text(df: DataFrame, col: str, path: str, compression: str | None = None) -> None:
@@ -88,11 +97,11 @@ def write_text(df: DataFrame, col: str, path: str, compression: str | None = Non
 
 
 def records_with_strings(df: DataFrame) -> DataFrame:
-    """Record list where decimals, dates and timestamps become strings."""
+    """Record list where decimals, dates and timestamps become strings; NULL fields stay, as null."""
     cols = []
     for c, t in df.dtypes:
         if t.startswith("decimal") or t in ("date", "timestamp", "timestamp_ntz"):
             cols.append(F.col(c).cast("string").alias(c))
         else:
             cols.append(F.col(c))
-    return df.select(F.to_json(F.struct(*cols)).alias("record"))
+    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("record"))

@@ -11,7 +11,7 @@ PROP_COLS = ["PARCEL_NUMBER", "market_value", "sale_price", "taxable_land", "tax
              "number_of_bathrooms", "number_stories", "year_built", "sale_date", "recording_date",
              "market_value_date", "assessment_date", "location", "owner_1", "zip_code",
              "category_code", "category_code_description", "building_code_description",
-             "exterior_condition", "interior_condition", "unknown_extra"]
+             "exterior_condition", "interior_condition", "zoning", "fireplaces", "unknown_extra"]
 DESCS = ["SINGLE FAMILY", "MULTI FAMILY", "APARTMENTS > 4 UNITS", "MIXED USE"]
 
 
@@ -31,7 +31,7 @@ def test_job_end_to_end(spark, tmp_path):
                       str(1000 + i), "", "", "", str(i % 2), str(i % 5 + 1), "1.5", "2",
                       str(1900 + i % 100), f"2021-{i % 12 + 1:02d}-15 00:00:00", "", "", "",
                       f"{i} MAIN ST", "OWNER", str(19100 + i % 5), str(i % 3 + 1),
-                      DESCS[i % 4], "ROW", str(i % 7), str(i % 6), "x"])
+                      DESCS[i % 4], "ROW", str(i % 7), str(i % 6), "RSA5", str(i % 3), "x"])
         for y in (2023, 2024, 2025):
             assess.append([pid, str(y), str(90000 + i * 900 + (y - 2023) * 5000), "1", "2", "0", "0"])
         lon, lat = -75.2 + (i % 10) * 0.001, 39.95 + (i // 10) * 0.001
@@ -58,6 +58,11 @@ def test_job_end_to_end(spark, tmp_path):
     assert bins.groupBy().sum("property_count").collect()[0][0] == 360
     tile = spark.read.parquet(f"{out}/derived/tile_info")
     assert tile.where("geog IS NULL").count() == 0
-    assert os.path.isdir(f"{out}/public/tiles")
+    assert "event_id" not in spark.read.parquet(f"{out}/derived/current_assessments").columns
+    assert spark.read.parquet(f"{out}/derived/assessment_inputs").count() == 120
+    from parcelkit.functions.geo import with_polygons
+    from parcelkit.operators.tiles import tile_assign
+    want = tile_assign(with_polygons(tile.select("property_id", "geog"), "geog")).count()
+    assert spark.read.text(f"{out}/public/tiles").count() == want
     style = spark.read.text(f"{out}/public/style").collect()[0][0]
     assert '"layers"' in style

@@ -30,11 +30,20 @@ def test_field_stats_scans_once(spark):
     assert "Union" not in p
 
 
-def test_scan_prunes_columns_and_pushes_filters(spark):
-    p = plan_of(E.queries()["model_input_filter"](spark, SF_SMALL))
-    assert "PushedFilters" in p or "DataFilters" in p
-    assert "l_comment" not in p
-    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double" in p or "l_tax" not in p
+def test_scan_prunes_columns_and_pushes_filters(spark, tmp_path):
+    """On a written core table the model filter reaches the scan and only used columns are read."""
+    from parcelkit.operators import features as FE
+    from parcelkit.plans import fixtures as X
+    X.fx_sale(spark, SF_SMALL).write.parquet(str(tmp_path / "core"))
+    core = spark.read.parquet(str(tmp_path / "core"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    p = plan_of(core.where(FE.model_input_filter()).select("property_id", "sale_price"))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = p[p.index("PushedFilters:"):].split("ReadSchema")[0]
+    for f in ("IsNotNull(total_livable_area)", "GreaterThan(sale_price", "LessThan(sale_price", "In(category_code_desc"):
+        assert f in pushed, f
+    schema = p[p.index("ReadSchema:"):].splitlines()[0]
+    assert "zoning" not in schema and "garage_spaces" not in schema
 
 
 def test_no_python_udf_in_registered_queries(spark):
@@ -44,14 +53,33 @@ def test_no_python_udf_in_registered_queries(spark):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
-def test_medians_and_profile_avoid_single_task_percentile(spark):
+def test_quantiles_without_buffers_or_products(spark):
     qs = E.queries()
-    for name in ("median_by_year", "top_zip_median", "profile"):
+    for name in ("median_by_year", "top_zip_median", "profile", "impute", "assessment_inputs"):
         p = plan_of(qs[name](spark, SF_SMALL))
-        assert "percentile(" not in p, name
+        for bad in ("percentile(", "median(", "mode(", "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in p, (name, bad)
 
 
-def test_yoy_lag_windows_are_bucketed(spark):
-    p = plan_of(E.queries()["yoy_change"](spark, SF_SMALL))
-    # the row-level lag is partitioned by (key, bucket), never by the key alone
-    assert "_bkt" in p and "lag(" in p
+def test_sample_has_one_path(spark):
+    p = plan_of(E.queries()["sample_n"](spark, SF_SMALL))
+    assert "TakeOrderedAndProject" in p and "CartesianProduct" not in p and "NestedLoop" not in p
+
+
+def test_yoy_uses_one_lag_window(spark):
+    p = optimized_of(E.queries()["yoy_change"](spark, SF_SMALL))
+    assert p.count("Window [") == 1 and "Join" not in p
+
+
+def test_window_bundles_are_an_anti_join(spark):
+    assert "LeftAnti" in optimized_of(E.queries()["bundle_window"](spark, SF_SMALL))
+
+
+def test_geometry_is_parsed_after_the_join(spark):
+    p = optimized_of(E.queries()["tile_info"](spark, SF_SMALL))
+    assert 0 < p.lower().index("json") < p.index("Join")
+
+
+def test_correlations_are_plain_sums(spark):
+    p = plan_of(E.queries()["corr_matrix"](spark, SF_SMALL))
+    assert "corr(" not in p

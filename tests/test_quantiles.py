@@ -41,7 +41,7 @@ def test_global_and_duplicates(spark):
     assert abs(partitioned_median(big, "v").collect()[0].median_value - 50000 * 0.37) < 1e-9
 
 
-def test_other_quantiles_and_per_group_p(spark):
+def test_other_quantiles(spark):
     from parcelkit.operators.quantiles import partitioned_quantile
     vals = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0, 5.0, 3.0, 5.0]
     s = sorted(vals)
@@ -50,8 +50,23 @@ def test_other_quantiles_and_per_group_p(spark):
         pos = p * (len(s) - 1)
         lo, hi = int(pos // 1), -int(-pos // 1)
         return s[lo] + (pos - lo) * (s[hi] - s[lo])
-    rows = [(p, v) for p in (0.0, 0.25, 0.9, 1.0) for v in vals]
-    df = spark.createDataFrame(rows, "p double, v double")
-    got = {r.p: r.quantile_value for r in partitioned_quantile(df, "v", ["p"], "p").collect()}
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
     for p in (0.0, 0.25, 0.9, 1.0):
-        assert abs(got[p] - interp(p)) < 1e-12
+        assert abs(partitioned_quantile(df, "v", p=p).first().quantile_value - interp(p)) < 1e-12
+
+
+def test_brackets_follow_ranks_not_values(spark):
+    from parcelkit.operators.quantiles import group_quantiles
+    df = spark.range(0, 200000).select((F.col("id") * 5.0).alias("v")).unionAll(
+        spark.sql("SELECT 1e15 AS v UNION ALL SELECT 1e11"))
+    q = group_quantiles(df, {"a": ("v", 0.5), "b": ("v", 0.01)})
+    row = q.first()
+    assert row.a == 0.5 * 200001 * 5.0 and abs(row.b - 0.01 * 200001 * 5.0) < 1e-6
+    plan = q._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_modes(spark):
+    from parcelkit.operators.quantiles import group_modes
+    df = spark.createDataFrame([(1.0, None), (2.0, 5.0), (2.0, 4.0), (1.0, 4.0), (None, 5.0)], "x double, y double")
+    assert tuple(group_modes(df, ["x", "y"]).first()) == (1.0, 4.0)

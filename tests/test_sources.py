@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from parcelkit.sources import files, sinks
 
 NULLS = files.NULL_SPELLINGS
@@ -50,9 +52,11 @@ def test_pages_skip_every_header(spark, tmp_path):
     write(d / "p1.csv", "objectid,address\n1,a\n2,b\n")
     write(d / "p2.csv", "objectid,address\n3,c\n\n4,d\n")
     write(d / "p3.csv", "objectid,address\n")            # header only
-    df = files.read_pages(spark, str(d), ["objectid", "address", "geometry"])
+    df = files.read_pages(spark, str(d), ["objectid", "address"])
     assert sorted(r.objectid for r in df.collect()) == ["1", "2", "3", "4"]
-    assert df.columns == ["objectid", "address", "geometry"]
+    assert df.columns == ["objectid", "address"]
+    with pytest.raises(ValueError, match="geometry"):       # a listed column that vanished is an error
+        files.read_pages(spark, str(d), ["objectid", "address", "geometry"])
 
 
 def test_parquet_sink_count_and_bins_document(spark, tmp_path):
