@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 from parcelkit.llm.common import prepare, stored
 from parcelkit.llm.components import connected_components, local_roots
 
-CELL_ROWS = 1024          # classes per cell, about
+CELL_ROWS = 640          # classes per cell, about
 MAX_CENTRES = 4096
 APART = 0.7               # centres of a label are less alike than this, so a dense group has one cell
-OVERLAP = 3
-SHARD_ROWS = 2048         # a larger cell is split into blocks of half of this
+OVERLAP = 2
+SHARD_ROWS = 3072         # a larger cell is split into blocks of half of this
 DEGREE = 16
 CANDIDATES = 48
 LONG_EDGES = 2
