@@ -114,20 +114,30 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
+HASH_BASE = 0xD1342543DE82EF95
+_POWERS = [np.ones(1, U64), np.ones(1, U64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the hash base and of its inverse modulo 2**64 (kept, and grown as needed)."""
+    if len(_POWERS[0]) < n:
+        with np.errstate(over="ignore"):
+            for i, base in enumerate((HASH_BASE, pow(HASH_BASE, -1, 1 << 64))):
+                all_ = np.full(max(n, 2 * len(_POWERS[i])), base, U64)
+                all_[0] = 1
+                _POWERS[i] = np.multiply.accumulate(all_)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit multilinear hash of each word (byte code x position key)."""
+    """A 64-bit hash of each word: prefix polynomial sums of substituted bytes, taken relative to the word."""
     if not len(start):
         return np.zeros(0, U64)
-    size = end - start
-    keys = stream(7919, int(size.max())) | U64(1)
-    total = np.cumsum(size)
-    begin = total - size
-    inside = np.arange(int(total[-1]), dtype=np.int64) - np.repeat(begin, size)
-    at = inside + np.repeat(start, size)
+    up, down = powers(len(data) + 1)
     with np.errstate(over="ignore"):
-        terms = BYTE_CODE[data[at]] * keys[inside]
-        sums = np.add.reduceat(terms, begin)
-        return mixed(sums + size.astype(U64) * U64(0xD6E8FEB86659FD93))
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(BYTE_CODE[data] * up[:-1], dtype=U64)])
+        value = (sums[end] - sums[start]) * down[start]
+        return mixed(value + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
 def pack(*arrays: np.ndarray) -> bytes:

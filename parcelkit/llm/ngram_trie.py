@@ -52,6 +52,11 @@ START, END = U64(0x5BD1E9955BD1E995), U64(0x27D4EB2F165667C5)
 STEP, LOWEST = 0.04, -10.0   # quantisation: code k >= 1 stands for 10 ** (LOWEST + STEP * k)
 
 
+# place of the k-th set bit of each octet
+BIT_AT = np.array([[[b for b in range(8) if v >> b & 1][k] if k < v.bit_count() else 0 for k in range(8)]
+                   for v in range(256)], dtype=np.int64)
+
+
 class EliasFano:
     """A non-decreasing sequence below 2**62: low bits packed, high parts in unary."""
 
@@ -92,9 +97,15 @@ class EliasFano:
         for start in range(0, len(k), 1 << 15):
             s = slice(start, start + (1 << 15))
             word = np.searchsorted(before, k[s], "right") - 1
-            bits = np.unpackbits(self.high[word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            count = np.cumsum(bits == 0 if zero else bits, axis=1, dtype=np.uint8)
-            out[s] = 64 * word + (count <= (k[s] - before[word])[:, None]).sum(axis=1)
+            octets = self.high[word].view(np.uint8).reshape(-1, 8)
+            if zero:
+                octets = ~octets
+            count = np.cumsum(np.bitwise_count(octets), axis=1, dtype=np.uint8)
+            left = (k[s] - before[word]).astype(np.uint8)
+            octet = (count <= left[:, None]).sum(axis=1)
+            row = np.arange(len(word))
+            left -= np.where(octet > 0, count[row, octet - 1], 0).astype(np.uint8)
+            out[s] = 64 * word + 8 * octet + BIT_AT[octets[row, octet], left]
         return out
 
     def at(self, i: np.ndarray) -> np.ndarray:
@@ -210,19 +221,22 @@ class Block:
         context = np.empty(len(h), np.int64)
         context[1:] = self.ids[:-1]
         context[np.cumsum(self.per) - self.per] = start
-        pairs, self.pair_of = np.unique(context * n + self.ids, return_inverse=True)
-        seen = np.bincount(self.pair_of[learned], minlength=len(pairs))
-        self.left, self.right = pairs // n, pairs % n
+        # pairs by bucket, context, follower
         self.home = (self.words % U64(buckets)).astype(np.int64)
         follower = (self.words >> U64(24)).astype(np.int64)
-        to = np.where(np.isin(self.words, hot)[self.left], follower[self.right] % buckets, self.home[self.left])
-        self.order = np.argsort(to, kind="stable")       # pairs by bucket, context, follower
-        entry = np.unique(np.concatenate([self.home * n + np.arange(n), to * n + self.left]))
-        self.entry_bucket, self.entry_word = entry // n, entry % n
-        of_pair = (to * n + self.left)[self.order]
+        to = self.home[context]
+        split = np.isin(self.words, hot)[context]
+        to[split] = follower[self.ids[split]] % buckets
+        pairs, self.pair_of = np.unique((to * n + context) * n + self.ids, return_inverse=True)
+        of_pair, self.right = np.divmod(pairs, n)
+        self.pair_bucket, self.left = np.divmod(of_pair, n)
+        self.seen = np.bincount(self.pair_of[learned], minlength=len(pairs))
+        self.follower = follower[self.right]
+        asked = of_pair[np.concatenate(([True], of_pair[1:] != of_pair[:-1]))[:len(of_pair)]]
+        entry = np.union1d(self.home * n + np.arange(n), asked)
+        self.entry_bucket, self.entry_word = np.divmod(entry, n)
         self.entry_pairs = np.diff(np.searchsorted(of_pair, np.append(entry, np.iinfo(np.int64).max)))
         self.is_home = self.entry_bucket == self.home[self.entry_word]
-        self.pair_bucket, self.follower, self.seen = to[self.order], follower[self.right[self.order]], seen[self.order]
 
     def requests(self):
         """(bucket, payload) of each bucket."""
@@ -305,14 +319,14 @@ def _score(t: pa.Table, answers: pa.Table, hot, hot_count, buckets: int, n_train
     if not t.num_rows:
         return SCORES.empty_table()
     block = _block(t, hot, buckets)
-    total, code = np.zeros(len(block.words), np.int64), np.zeros(len(block.order), np.uint8)
+    total, code = np.zeros(len(block.words), np.int64), np.zeros(len(block.left), np.uint8)
     for bucket, data in zip(answers["bucket"].to_pylist(), answers["data"], strict=True):
         counts, codes = unpack(data.as_py(), "u4", "u1")
         i = slice(*np.searchsorted(block.entry_bucket, [bucket, bucket + 1]))
         home = block.is_home[i]
         total[block.entry_word[i][home]] = counts[home]
         j = slice(*np.searchsorted(block.pair_bucket, [bucket, bucket + 1]))
-        code[block.order[j]] = codes
+        code[j] = codes
     followed = total.copy()
     place = np.searchsorted(hot, block.words)
     ok = place < len(hot)
