@@ -64,6 +64,19 @@ def test_merge_equals_tiktoken(tik):
     assert byte_bpe.merge([b"\xff\xfe" * 40], byte_bpe.Pairs(ranks))
 
 
+def test_latin_split_equals_the_pattern():
+    import regex
+    e = byte_bpe.Encoder(BYTE, P.PATTERN)
+    rng = random.Random(8)
+    letters = "aZé ß'st\n\t\r  12²¾.,-_«»µªÿ¡|"
+    for _ in range(3000):
+        t = "".join(rng.choices(letters, k=rng.randint(0, 30)))
+        assert e.latin(t) and e.split(t) == regex.findall(P.PATTERN, t)
+    for t in ("a\x85b", "x\x1c y", "\u3000a", "日本 語"):
+        assert not e.latin(t) and e.split(t) == regex.findall(P.PATTERN, t)
+    assert byte_bpe.latin_pattern(r"\p{Lu}+") is None
+
+
 def test_byte_bpe_query(spark, odd_docs, no_docs, tik):
     for df in (odd_docs, small(spark)):
         want = []
