@@ -110,6 +110,14 @@ def address_key(address: str | Column) -> Column:
     return F.upper(F.array_join(F.slice(words, 1, 2), " "))
 
 
+def street_key(house: str | Column, street: str | Column, typed: str | Column) -> Column:
+    """Search key of a geocoder's answer: the house number (if it gives none, the one that was typed) and the
+    street's first word, upper-cased; an empty part is left out."""
+    number = F.coalesce(F.nullif(_c(house), F.lit("")), house_number(typed), F.lit(""))
+    word = F.coalesce(F.split(_c(street), " ")[0], F.lit(""))
+    return F.upper(F.array_join(F.filter(F.array(number, word), lambda x: x != ""), " "))
+
+
 def zip_valid(z: str | Column) -> Column:
     return F.coalesce(_c(z).rlike(r"^\d{5}$"), F.lit(False))
 

@@ -75,12 +75,13 @@ def chart_bins(bins: DataFrame, year_col: str | None = "tax_year", year: int | N
 
 
 def year_overview(bins: DataFrame, year_col: str = "tax_year") -> DataFrame:
-    """Per year: total over non-empty bins, binned median, and the year's
-    position among all years (1 = most recent)."""
+    """Per year: total over non-empty bins, binned median, the year's
+    position among all years (1 = most recent) and the number of years."""
     med = binned_median(bins, by=[year_col])
     return med.select(year_col, "property_total", "median_value",
                       F.dense_rank().over(Window.orderBy(F.col(year_col).desc()))
-                      .alias("recency_rank"))
+                      .alias("recency_rank"),
+                      F.count(F.lit(1)).over(Window.partitionBy()).alias("year_count"))
 
 
 def significant_years(bins: DataFrame, year_col: str = "tax_year",

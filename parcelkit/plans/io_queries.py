@@ -60,14 +60,16 @@ def q_sink_parquet(spark, d):
 @register("src_parquet")
 def q_src_parquet(spark, d):
     return files.read_parquet_table(spark, f"{d.rstrip('/')}/orders*.parquet").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", F.round("o_totalprice", 6).alias("o_totalprice"))
+        "o_orderkey", "o_custkey", "o_orderstatus", F.round("o_totalprice", 6).alias("o_totalprice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderpriority")
 
 
 @register("src_jsonl")
 def q_src_jsonl(spark, d):
     out = shared_dir(spark, "jsonl-search")
-    sinks.write_jsonl_counted(X.fx_search(spark, d).select("property_id", "location", "zip_code"), out)
-    return files.read_jsonl_strings(spark, out, ["property_id", "location", "zip_code"])
+    cols = ["property_id", "location", "owner_1", "year_built", "number_of_bedrooms", "category_code", "zip_code"]
+    sinks.write_jsonl_counted(X.fx_search(spark, d).select(*cols), out)
+    return files.read_jsonl_strings(spark, out, cols)
 
 
 @register("ctas_roundtrip")
@@ -93,10 +95,16 @@ def q_geojson_features(spark, d):
     return sinks.geojson_features(tile_frame(spark, d))
 
 
+def _sale_records(spark, d) -> DataFrame:
+    """A decimal, a date and a column with NULLs."""
+    return sinks.records_with_strings(X.fx_sale(spark, d).select(
+        "property_id", F.col("sale_price").cast("decimal(12,2)").alias("sale_price"), "sale_date",
+        "total_livable_area"))
+
+
 @register("records_json")
 def q_records_json(spark, d):
-    return sinks.records_with_strings(X.fx_sale(spark, d).select("property_id", "sale_price",
-                                                                  "sale_date"))
+    return _sale_records(spark, d)
 
 
 def _write_tiles(spark, d) -> str:
@@ -176,8 +184,6 @@ def q_geojson_feature_props(spark, d):
 
 @register("records_json_items")
 def q_records_json_items(spark, d):
-    r = sinks.records_with_strings(X.fx_sale(spark, d).select("property_id", "sale_price",
-                                                               "sale_date"))
-    j = r.select(F.from_json("record", "struct<property_id:string,sale_price:double,"
-                                       "sale_date:string>").alias("j"))
+    j = _sale_records(spark, d).select(F.from_json(
+        "record", "struct<property_id:string,sale_price:string,sale_date:string,total_livable_area:double>").alias("j"))
     return rounded(j.select("j.*"))

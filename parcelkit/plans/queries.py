@@ -251,7 +251,8 @@ def q_address_key(spark, d):
     p = X.fx_prop(spark, d)
     addr = F.concat(F.col("year_built").cast("string"), F.lit(" "), F.col("location"))
     return p.select("property_id", scalar.address_key(addr).alias("search_key"),
-                    scalar.house_number(addr).alias("house_number"))
+                    scalar.house_number(addr).alias("house_number"),
+                    scalar.street_key(F.lit(None).cast("string"), "location", addr).alias("street_key"))
 
 
 @register("safe_cast_int")
@@ -496,7 +497,7 @@ def q_chart_bins(spark, d):
 def q_market_shift(spark, d):
     ov = B.year_overview(tax_bins_fx(spark, d))
     lay = S.style_layers(P.tile_style_stats(tile_frame(spark, d)))
-    return rounded(B.market_shift(ov, B.layer_model_median(lay)).drop("recency_rank"))
+    return rounded(B.market_shift(ov, B.layer_model_median(lay)).drop("recency_rank", "year_count"))
 
 
 @register("yoy_change")
