@@ -47,8 +47,8 @@ from parcelkit.llm.common import (
 
 K = 32                    # bytes of a gram
 HOT = 4096                # occurrences of a gram that one bucket sorts
-CHUNK_BYTES = 1 << 20     # text that is hashed at a time
-TURN_BYTES = 2 << 20      # region bytes that are sorted at a time
+CHUNK_BYTES = 1 << 19     # text that is hashed at a time
+TURN_BYTES = 1 << 20      # region bytes that are sorted at a time
 BUCKET_TEXT = 24 << 20    # corpus bytes per bucket
 LAST = (1 << 63) - 1
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
