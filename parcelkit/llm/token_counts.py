@@ -35,7 +35,7 @@ from parcelkit.llm.common import prepare, steady
 
 SAMPLE_DOCS = 512       # documents that tier one is fitted on
 FREQUENT = 32_768       # entries of the broadcast table
-CACHE = 600_000         # entries of one generation of a worker's cache
+CACHE = 400_000         # entries of one generation of a worker's cache
 LONG_CHUNK = 256        # chunks of more characters are not cached
 
 _WORKER: dict = {}
