@@ -8,7 +8,7 @@ Kernel
     Punctuation inside a word is dropped and runs of three or more single
     letters are joined (``i.d.i.o.t``, ``i d i o t``).  Occurrences are scaled
     by the word's own weight, a function of its length alone, which keeps the
-    kernel positive definite; its square is the word kernel.
+    kernel positive definite; its ``POWER`` is the word kernel.
 Sentences and documents
     A sentence's similarity to a landmark is that of its closest word, a
     document's that of its closest sentence (the multiple-instance maximum);
@@ -44,13 +44,13 @@ from parcelkit.llm.common import prepare, steady, stored
 
 GAP = 3                 # places from one letter of a subsequence to the next, at most
 DECAY = 0.7
-FLOOR = 0.5             # similarities below this count as none
+FLOOR = 0.4             # similarities below this count as none
 LANDMARKS = 160
-POWER = 2               # the word kernel is this power of the scaled subsequence kernel
+POWER = 3               # the word kernel is this power of the scaled subsequence kernel
 TRAIN_DOCS = 20_000     # labelled rows that are learned from, at most
 LEAST_DOCS = 2          # toxic documents a landmark is found in, at least
 PENALTY = 0.01
-CACHE = 500_000         # words in a worker's cache
+CACHE = 300_000         # words in a worker's cache
 TURN_WORDS = 1024       # words whose similarities are computed at a time
 LONG_WORD = 64          # longer words are compared in overlapping windows of this length
 STEPS = [(a, b, DECAY ** (a + b + 1)) for a in range(1, GAP + 1) for b in range(1, GAP + 1)]
