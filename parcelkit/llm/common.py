@@ -15,8 +15,12 @@ from __future__ import annotations
 
 import gc
 import math
+import os
+import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +37,29 @@ _WS = np.zeros(256, dtype=bool)
 _WS[[0x20, *range(0x09, 0x0E)]] = True
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once per application: their Python finds it wherever
+    the driver was started.  The archive is a file of the driver, from which Spark itself distributes it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix="parcelkit-")
+    archive = os.path.join(folder, f"{root.name}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def prepare(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of long texts stays small."""
+    """Make the package known to the executors, and bound the rows of an Arrow batch, so that a batch of
+    long texts stays small."""
+    ship_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > ARROW_ROWS:
