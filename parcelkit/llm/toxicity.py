@@ -44,13 +44,13 @@ from parcelkit.llm.common import prepare, steady, stored
 
 GAP = 3                 # places from one letter of a subsequence to the next, at most
 DECAY = 0.7
-FLOOR = 0.4             # similarities below this count as none
+FLOOR = 0.5             # similarities below this count as none
 LANDMARKS = 160
 POWER = 3               # the word kernel is this power of the scaled subsequence kernel
 TRAIN_DOCS = 20_000     # labelled rows that are learned from, at most
 LEAST_DOCS = 2          # toxic documents a landmark is found in, at least
 PENALTY = 0.01
-CACHE = 300_000         # words in a worker's cache
+CACHE = 400_000         # words in a worker's cache
 TURN_WORDS = 1024       # words whose similarities are computed at a time
 LONG_WORD = 64          # longer words are compared in overlapping windows of this length
 STEPS = [(a, b, DECAY ** (a + b + 1)) for a in range(1, GAP + 1) for b in range(1, GAP + 1)]
