@@ -43,13 +43,14 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from parcelkit.llm.common import (
-    BLOCK_BYTES, BYTE_CODE, U64, mixed, pack, parts, prepare, shuffle_partitions, spans, split_by, text_bytes, unpack)
+    BYTE_CODE, U64, frugal, mixed, pack, parts, prepare, shuffle_partitions, spans, split_by, text_bytes, unpack)
 
 K = 32                    # bytes of a gram
 HOT = 4096                # occurrences of a gram that one bucket sorts
 CHUNK_BYTES = 1 << 19     # text that is hashed at a time
 TURN_BYTES = 1 << 20      # region bytes that are sorted at a time
-BUCKET_TEXT = 24 << 20    # corpus bytes per bucket
+BLOCK_BYTES = 4 << 20     # text bytes per block
+BUCKET_TEXT = 12 << 20    # corpus bytes per bucket
 LAST = (1 << 63) - 1
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 RESULT = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(),
@@ -473,6 +474,16 @@ def _rewrite(left: pa.Table, right: pa.Table, names: list[str], types: list, tex
                                  for n, t in zip(names, types, strict=True)], names=names)
 
 
+def one(group):
+    run = frugal(group)
+    return lambda t: run(t)
+
+
+def two(group):
+    run = frugal(group)
+    return lambda a, b: run(a, b)
+
+
 def _marked(docs: DataFrame, passed: list[str], length: int, doc_id: str, text: str):
     """The documents by block, and beside them their copies and marks."""
     spark = docs.sparkSession
@@ -495,10 +506,10 @@ def _marked(docs: DataFrame, passed: list[str], length: int, doc_id: str, text:
     def beside(answers: DataFrame):
         return grouped.cogroup(answers.groupBy("block"))
 
-    keys = beside(copies).applyInArrow(lambda a, b: _send_keys(a, b, length, buckets), KEYS_DDL)
+    keys = beside(copies).applyInArrow(two(lambda a, b: _send_keys(a, b, length, buckets)), KEYS_DDL)
     repeats = keys.groupBy("bucket").applyInArrow(_find_repeats, ANSWERS_DDL)
-    regions = beside(copies.unionAll(repeats)).applyInArrow(lambda a, b: _send_regions(a, b, length, buckets), REGIONS_DDL)
-    marks = regions.groupBy("bucket").applyInArrow(lambda t: _sort_bucket(t, length), ANSWERS_DDL)
+    regions = beside(copies.unionAll(repeats)).applyInArrow(two(lambda a, b: _send_regions(a, b, length, buckets)), REGIONS_DDL)
+    marks = regions.groupBy("bucket").applyInArrow(one(lambda t: _sort_bucket(t, length)), ANSWERS_DDL)
     return beside(copies.unionAll(marks))
 
 
@@ -514,7 +525,8 @@ def suffix_dedup(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", tex
     fields += [T.StructField(n, t) for n, t in RESULT.items() if with_bytes or n != "kept"]
     schema = T.StructType(fields)
     names, types = _arrow(schema)
-    return _marked(docs, passed, length, doc_id, text).applyInArrow(lambda a, b: _cut(a, b, names, types), schema)
+    return _marked(docs, passed, length, doc_id, text).applyInArrow(
+        two(lambda a, b: _cut(a, b, names, types)), schema)
 
 
 def drop_repeats(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -522,4 +534,4 @@ def drop_repeats(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", tex
     goes whole) and, if there is an ``n_chars``, that column set anew where the text changed."""
     names, types = _arrow(docs.schema)
     return _marked(docs, docs.columns, length, doc_id, text).applyInArrow(
-        lambda a, b: _rewrite(a, b, names, types, text), docs.schema)
+        two(lambda a, b: _rewrite(a, b, names, types, text)), docs.schema)
