@@ -51,6 +51,7 @@ TRAIN_DOCS = 20_000     # labelled rows that are learned from, at most
 LEAST_DOCS = 2          # toxic documents a landmark is found in, at least
 PENALTY = 0.01
 CACHE = 400_000         # words in a worker's cache
+LEARN_WORDS = 1 << 15   # words that are looked up in the landmarks' table at a time
 TURN_WORDS = 1024       # words whose similarities are computed at a time
 LONG_WORD = 64          # longer words are compared in overlapping windows of this length
 STEPS = [(a, b, DECAY ** (a + b + 1)) for a in range(1, GAP + 1) for b in range(1, GAP + 1)]
@@ -159,47 +160,69 @@ class Scorer:
 
     def learn(self, words: list[str]) -> None:
         """Place of each word's row, -1 for a word that reaches no landmark."""
-        if len(self.place) + len(words) > CACHE:
-            self.clear()
         place, parts = self.place, {}
         for w in words:
             s = letters(w)
             parts[w] = [s] if len(s) <= LONG_WORD else [
                 s[a:a + LONG_WORD] for a in range(0, len(s) - LONG_WORD // 2, LONG_WORD // 2)]
         fresh = list({p for ps in parts.values() for p in ps if p not in place})
-        near, sims = self.landmarks.similar(fresh, FLOOR)
-        kept = np.flatnonzero(sims.max(axis=1, initial=0) >= FLOOR)
-        while self.used + len(kept) + len(words) > len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        place.update(dict.fromkeys(fresh, -1))
-        place.update(zip([fresh[i] for i in near[kept].tolist()], range(self.used, self.used + len(kept)), strict=True))
-        sims = sims[kept]
-        self.rows[self.used:self.used + len(kept)] = np.where(sims >= FLOOR, sims, 0)
-        self.used += len(kept)
+        for start in range(0, len(fresh), LEARN_WORDS):
+            some = fresh[start:start + LEARN_WORDS]
+            near, sims = self.landmarks.similar(some, FLOOR)
+            kept = np.flatnonzero(sims.max(axis=1, initial=0) >= FLOOR)
+            self.grow(len(kept))
+            place.update(dict.fromkeys(some, -1))
+            place.update(zip([some[i] for i in near[kept].tolist()], range(self.used, self.used + len(kept)), strict=True))
+            sims = sims[kept]
+            self.rows[self.used:self.used + len(kept)] = np.where(sims >= FLOOR, sims, 0)
+            self.used += len(kept)
         for w, ps in parts.items():
             at = {place[p] for p in ps} - {-1}
             if len(at) > 1:
+                self.grow(1)
                 self.rows[self.used] = self.rows[list(at)].max(axis=0)
                 at = {self.used}
                 self.used += 1
             place[w] = at.pop() if at else -1
 
+    def grow(self, more: int) -> None:
+        while self.used + more > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+
+    def turns(self, texts: list[str]) -> Iterator[list[tuple[int, set[str]]]]:
+        """Words of the texts by number, in turns of at most CACHE words; a text of more words is in several."""
+        turn, held = [], 0
+        for i, t in enumerate(texts):
+            words = words_of(t)
+            cuts = [words]
+            if len(words) > CACHE:
+                every = list(words)
+                cuts = [set(every[a:a + CACHE]) for a in range(0, len(every), CACHE)]
+            for s in cuts:
+                if turn and (len(turn) == 64 or held + len(s) > CACHE):
+                    yield turn
+                    turn, held = [], 0
+                turn.append((i, s))
+                held += len(s)
+        if turn:
+            yield turn
+
     def features(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), len(self.landmarks.words)))
-        for start in range(0, len(texts), 64):
-            sets = [words_of(t) for t in texts[start:start + 64]]
-            every = set().union(*sets)
+        for turn in self.turns(texts):
+            every = set().union(*(s for _, s in turn))
             lost = every.difference(self.place)
+            if lost and len(self.place) + len(lost) > CACHE:
+                self.clear()
+                lost = every
             if lost:
                 self.learn(list(lost))
-                if gone := every.difference(self.place):
-                    self.learn(list(gone))
             get = self.place.get
-            for i, s in enumerate(sets, start):
+            for i, s in turn:
                 at = set(map(get, s))
                 at.discard(-1)
                 if at:
-                    out[i] = self.rows[list(at)].max(axis=0)
+                    out[i] = np.maximum(out[i], self.rows[list(at)].max(axis=0))
         return np.minimum(out, 1) ** POWER
 
 

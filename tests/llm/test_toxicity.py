@@ -57,3 +57,18 @@ def test_without_labels_or_with_one_class(spark, odd_docs, no_docs):
         model = tox.train(odd_docs, labels)
         assert {r.score for r in tox.score(odd_docs, model).collect()} == {want}
         assert tox.score(no_docs, model).count() == 0
+
+
+def test_more_distinct_words_than_the_cache_holds(monkeypatch):
+    marks = tox.Landmarks(["idiot", "worthless"])
+    calm = [f"w{i}q" for i in range(300)]
+    texts = ["calm idxiot words", " ".join(["calm", *calm[:90], "idiot"]), " ".join([*calm, "worthles", "calm", "idiot"]),
+             " ".join(f"{w * 30}idiot{w * 30}" for w in calm[:70]), "", "calm words"]
+    want = tox.Scorer(marks).features(texts)
+    assert want[2].min() > 0 and not want[4:].any()
+    for cache in (40, 90, 100):
+        monkeypatch.setattr(tox, "CACHE", cache)
+        scorer = tox.Scorer(marks)
+        scorer.features(["calm and idiot"])
+        for _ in range(2):
+            assert np.allclose(scorer.features(texts), want)
