@@ -53,6 +53,7 @@ PENALTY = 0.01
 CACHE = 400_000         # words in a worker's cache
 LEARN_WORDS = 1 << 15   # words that are looked up in the landmarks' table at a time
 TURN_WORDS = 1024       # words whose similarities are computed at a time
+TABLE_BITS = 7          # letter codes up to this size find their triples in a table
 LONG_WORD = 64          # longer words are compared in overlapping windows of this length
 STEPS = [(a, b, DECAY ** (a + b + 1)) for a in range(1, GAP + 1) for b in range(1, GAP + 1)]
 
@@ -81,7 +82,7 @@ def weight(n: np.ndarray) -> np.ndarray:
     return np.sqrt(sum(np.maximum(0, n - a - b) * d * d for a, b, d in STEPS))
 
 
-def occurrences(words: list[str], code: dict[str, int]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+def occurrences(words: list[str], code: dict[str, int], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """For each step pair: word numbers, codes of the letter triple, weight of the span."""
     size = np.fromiter(map(len, words), np.int64, len(words))
     get = code.get
@@ -92,7 +93,7 @@ def occurrences(words: list[str], code: dict[str, int]) -> Iterator[tuple[np.nda
         if n <= 0:
             continue
         i = np.flatnonzero((of[:n] == of[a + b:]) & (flat[:n] > 0) & (flat[a:a + n] > 0) & (flat[a + b:] > 0))
-        yield of[i], flat[i] << 12 | flat[i + a] << 6 | flat[i + a + b], d
+        yield of[i], flat[i] << 2 * bits | flat[i + a] << bits | flat[i + a + b], d
 
 
 @dataclass
@@ -101,31 +102,44 @@ class Landmarks:
 
     words: list[str]
     code: dict[str, int] = field(init=False)
-    row_of: np.ndarray = field(init=False)
+    bits: int = field(init=False)               # of a letter's code: every letter of the landmarks has one
+    keys: np.ndarray = field(init=False)
+    row_of: np.ndarray | None = field(init=False)
     rows: np.ndarray = field(init=False)
     best: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
-        common = Counter(c for w in self.words for c in w).most_common(63)
-        self.code = {c: i + 1 for i, (c, _) in enumerate(common)}
-        self.row_of = np.zeros(1 << 18, np.int64)
-        found = list(occurrences(self.words, self.code))
-        keys = np.unique(np.concatenate([k for _, k, _ in found])) if found else np.zeros(0, np.int64)
-        self.row_of[keys] = np.arange(1, len(keys) + 1)
+        self.code = {c: i + 1 for i, c in enumerate(sorted({c for w in self.words for c in w}))}
+        self.bits = len(self.code).bit_length()
+        found = list(occurrences(self.words, self.code, self.bits))
+        keys = self.keys = np.unique(np.concatenate([k for _, k, _ in found])) if found else np.zeros(0, np.int64)
+        self.row_of = None
+        if self.bits <= TABLE_BITS:
+            self.row_of = np.zeros(1 << 3 * self.bits, np.int64)
+            self.row_of[keys] = np.arange(1, len(keys) + 1)
         self.rows = np.zeros((len(keys) + 1, len(self.words)))
         own = weight(np.array([len(w) for w in self.words]))
         for of, k, d in found:
-            np.add.at(self.rows, (self.row_of[k], of), d / own[of])
+            np.add.at(self.rows, (self.row(k), of), d / own[of])
         self.best = self.rows.max(axis=1, initial=0)
         self.rows = self.rows.astype(np.float32)
 
+    def row(self, k: np.ndarray) -> np.ndarray:
+        """Rows of triples, 0 for those of no landmark: a table for small alphabets, else a binary search."""
+        if self.row_of is not None:
+            return self.row_of[k]
+        if not len(self.keys):
+            return np.zeros(len(k), np.int64)
+        i = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
+        return np.where(self.keys[i] == k, i + 1, 0)
+
     def similar(self, words: list[str], floor: float) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the words that may reach ``floor``, and their similarities to the landmarks."""
         own = weight(np.fromiter(map(len, words), np.int64, len(words)))
         bound = np.zeros(len(words))
         kept = []
-        for of, k, d in occurrences(words, self.code):
-            row = self.row_of[k]
+        for of, k, d in occurrences(words, self.code, self.bits):
+            row = self.row(k)
             hit = np.flatnonzero(row)
             of, row = of[hit], row[hit]
             bound += np.bincount(of, self.best[row] * d, len(words))

@@ -72,3 +72,15 @@ def test_more_distinct_words_than_the_cache_holds(monkeypatch):
         scorer.features(["calm and idiot"])
         for _ in range(2):
             assert np.allclose(scorer.features(texts), want)
+
+
+def test_landmarks_of_any_alphabet():
+    latin = [chr(97 + i) + chr(97 + j) + "xidiot" for i in range(26) for j in range(3)]
+    for first, n in ((0x430, 60), (0x4E00, 300)):
+        rare = ["".join(chr(first + i + k) for k in range(4)) for i in range(0, n, 4)]
+        marks = tox.Landmarks([*latin, *rare])
+        words = [*rare, "".join((rare[0][:2], "x", rare[0][2:])), "idxiot", "calm"]
+        near, got = marks.similar(words, 0.0)
+        full = np.zeros((len(words), len(marks.words)))
+        full[near] = got
+        assert np.allclose(full, [[kernel(w, l) for l in marks.words] for w in words], atol=1e-6)
