@@ -44,13 +44,13 @@ from parcelkit.llm.common import prepare, steady, stored
 
 GAP = 3                 # places from one letter of a subsequence to the next, at most
 DECAY = 0.7
-FLOOR = 0.5             # similarities below this count as none
-LANDMARKS = 160
+FLOOR = 0.4             # similarities below this count as none
+LANDMARKS = 256
 POWER = 3               # the word kernel is this power of the scaled subsequence kernel
 TRAIN_DOCS = 20_000     # labelled rows that are learned from, at most
 LEAST_DOCS = 2          # toxic documents a landmark is found in, at least
 PENALTY = 0.01
-CACHE = 400_000         # words in a worker's cache
+CACHE = 300_000         # words in a worker's cache
 LEARN_WORDS = 1 << 15   # words that are looked up in the landmarks' table at a time
 TURN_WORDS = 1024       # words whose similarities are computed at a time
 TABLE_BITS = 7          # letter codes up to this size find their triples in a table
