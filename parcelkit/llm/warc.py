@@ -54,14 +54,16 @@ NAMES = [x.split()[0] for x in RECORD.split(", ")]
 HIDDEN = "script|style|noscript|template|svg|iframe"
 LINE_ENDS = frozenset("""address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2
 h3 h4 h5 h6 header hr li main nav ol option p pre section table tbody td th thead title tr ul""".split())
-# A tag's rest: every character is taken once, and a quoted value (which may hold ">") is looked for no further
-# than QUOTED characters, so broken markup costs no backtracking.
-QUOTED = 2000
-REST = rf"(?:[^>=]++|=\s*+\"[^\"]{{0,{QUOTED}}}+\"|=\s*+'[^']{{0,{QUOTED}}}+'|=)*+"
+# Their content is never markup: without an end tag it goes on to the end of the page.  The others without one are empty.
+RAW = frozenset(("script", "style"))
+# A tag's rest.  Every character is taken once: pages are searched up to their last ">", before which every quote that
+# is looked for ends, so a tag that begins also ends, and only the last quote of a kind is looked for in vain.
+REST = r"(?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=\s*+(?P<bare>[^\s\"'>][^\s>]*+)|=)*+"
 MARKUP = re.compile(
-    rf"<!--(?:(?!-->).)*+(?:-->|\Z)|<(?P<hidden>{HIDDEN})\b{REST}>(?:(?!</(?P=hidden)\b).)*+"
-    rf"|<[!?][^>]*+>?|<(?P<close>/?)(?P<name>[a-z][^\s/>=]*+)(?P<rest>{REST})>", re.S | re.I)
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+    rf"<!--(?:(?!-->).)*+(?:-->|\Z)|<[!?][^>]*+>?|<(?P<close>/?)(?P<name>[a-z][^\s/>=]*+)(?P<rest>{REST})>", re.S | re.I)
+ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in HIDDEN.split("|")}
+ATTRIBUTE = re.compile(
+    r"(?<![^\s=\"'/>])([^\s=\"'/>]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*))")
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 BLANK = re.compile(r"[^\S\n]+")
 LINES = re.compile(r" ?\n[ \n]*")
@@ -70,14 +72,26 @@ LINES = re.compile(r" ?\n[ \n]*")
 def parse_html(source: str, base: str) -> tuple[str, str, str, str, list[str]]:
     """Text, title, language, robots rule and absolute links of a page."""
     out, title, lang, robots, links = [], [], "", "", []
-    at, in_title = 0, False
-    for m in MARKUP.finditer(source, 0, source.rfind(">") + 1):   # nothing is a tag beyond the last bracket
+    at, in_title, stop = 0, False, source.rfind(">") + 1   # nothing is a tag beyond the last bracket
+    endless = set()                                        # hidden elements that have no end tag any more
+    while m := MARKUP.search(source, at, stop):
         if m.start() > at:
             (title if in_title else out).append(source[at:m.start()])
         at = m.end()
         name = (m["name"] or "").lower()
         if not name:
             continue
+        if name in ENDS and not m["close"]:
+            closed = m["rest"].endswith("/") and m.end("bare") != m.end("rest")
+            if not closed and name not in endless:
+                end = ENDS[name].search(source, at, stop)
+                if end:
+                    at = end.start()
+                elif name in RAW:
+                    at = len(source)
+                else:
+                    endless.add(name)
+            continue
         if name == "title":
             in_title = not m["close"]
         if name in LINE_ENDS:

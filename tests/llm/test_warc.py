@@ -127,3 +127,26 @@ def test_archives_round_trip(spark, tmp_path):
         else:
             lines = bytes(r.block).decode().split("\r\n")
             assert {"source-header: Server: s", "title: T", "language: en", "outlink: http://h/x"} <= set(lines)
+
+
+def test_long_values_and_hidden_elements_without_end(spark):
+    inner = "<b>" + "y" * 3000 + "</b>"
+    alike = [f'<p>one</p><a data-x="{inner}" href="/z">l</a> two', f"<a onclick='{inner}' href=/z>l</a><p>two",
+             '<p>one</p><svg class="i"/><p>two <a href="/x">l</a></p>', "<svg/>a<svg>no</svg>b<script src='x'/>c",
+             "<p>a</p><script>var b = '<p>c</p>'; <a href=d>", "<svg-icon>a</svg-icon><template-card>b <a href=c>d</a>",
+             "<a href=/s?q=\"x>one</a><p title=\"y\">two", f"<iframe srcdoc=\"{inner * 3}\"></iframe>after"]
+    rows = [(i, "http://a/b", x) for i, x in enumerate(alike)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    check(warc.build(warc.responses(df)).collect(), source(df))
+    for name in ("svg", "noscript", "template", "iframe"):
+        text, _, _, _, links = warc.parse_html(f"<p>one</p><{name} class=i><p>two <a href='/x'>l</a><{name}>", "http://a")
+        assert (text, links) == ("one\ntwo l", ["http://a/x"])
+
+
+def test_broken_quotes_and_hidden_elements_are_linear():
+    for bad in ("<a href=\"" * 40000 + ">", "<a b='" * 40001 + ">\"", "<svg>" * 60000, "<a x=\"'" * 40000 + "'>",
+                "<noscript><svg>" * 30000, "<a<a" * 50000 + "=\">\"", "<a " + "= " * 100000 + ">", "<svg x=/>" * 40000,
+                "<a " + "y" * 200000 + ">"):
+        began = time.time()
+        warc.parse_html(bad, "http://a")
+        assert time.time() - began < 5
