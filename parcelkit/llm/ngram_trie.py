@@ -1,8 +1,9 @@
 """Language-model scores from Elias-Fano n-gram tries.
 
-Model: interpolated bigrams over words and one end token,
+Model: interpolated bigrams, or trigrams above them, over words and one end token,
 ``p(w | c) = n(c, w) / (n(c) + MU) + MU / (n(c) + MU) * p0(w)`` with the
-add-one base ``p0(w) = (n(w) + 1) / (N + V + 1)``.
+add-one base ``p0(w) = (n(w) + 1) / (N + V + 1)``.  Of order 3 a word after two others (the first may be
+the text's start) scores ``n(b, c, w) / (n(b, c) + MU) + MU / (n(b, c) + MU) * p(w | c)``.
 
 Trie: contexts are dealt to buckets by hash, and each bucket holds its
 contexts' part of the trie in compact levels that are written to a file and
@@ -12,7 +13,8 @@ Elias-Fano coding, and beside each follower one byte, the quantised logarithm
 of its smoothed share ``n(c, w) / (n(c) + MU)``.  Followers are numbered
 relative to their context (context number times vocabulary size plus rank), so
 that one sequence is monotone; a bigram is looked up by a successor search in
-its context's range.
+its context's range.  The second level is of the same form: its contexts are the
+hashes of two words in order, its entries the trigrams.
 
 Work: blocks of documents (see ``common``) send the words and bigrams that
 they hold to the buckets, each once, with its count in the block's training
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelkit.llm.common import (
-    U64, pack, parts, prepare, shuffle_partitions, split_by, steady, stored,
+    U64, frugal, mixed, pack, parts, prepare, shuffle_partitions, split_by, steady, stored,
     text_bytes, unpack, word_bounds, word_hashes)
 
 MU = 2.0
@@ -48,6 +50,8 @@ LM_BLOCK = 16 << 20       # text bytes per block
 LM_BUCKET = 16 << 20      # corpus bytes per bucket
 HELD_WORDS = 4_000_000    # word counts that a task of the first pass holds
 TURN_BYTES = 1 << 20      # text that is hashed at a time
+LM_BLOCK_3 = 4 << 20      # both for order 3, whose contexts and pairs are about three times as many
+LM_BUCKET_3 = 3 << 20
 START, END = U64(0x5BD1E9955BD1E995), U64(0x27D4EB2F165667C5)
 STEP, LOWEST = 0.04, -10.0   # quantisation: code k >= 1 stands for 10 ** (LOWEST + STEP * k)
 
@@ -208,26 +212,40 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(counts)
 
 
+def after_two(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the tokens that do not begin a text, and the hash of the two before each."""
+    before = np.empty_like(h)
+    before[1:] = h[:-1]
+    before[begin] = START
+    inner = np.delete(np.arange(len(h)), begin)
+    return inner, mixed(before[inner - 1] * U64(0x9E3779B97F4A7C15) + before[inner])
+
+
 class Block:
-    """Words and bigrams of a block, in the order in which buckets are asked."""
+    """Words, bigrams and, of order 3, trigrams of a block, in the order in which buckets are asked."""
 
-    def __init__(self, texts: list[bytes], train: np.ndarray, hot: np.ndarray, buckets: int):
+    def __init__(self, texts: list[bytes], train: np.ndarray, hot: np.ndarray, buckets: int, order: int = 2):
         h, self.per = tokens(texts)
-        self.words, ids = np.unique(np.concatenate([h, np.array([START, END])]), return_inverse=True)
-        self.ids, start = ids[:-2], ids[-2]
+        begin = np.cumsum(self.per) - self.per
+        self.inner, two = after_two(h, begin) if order == 3 else (np.zeros(0, np.int64), np.zeros(0, U64))
+        self.words, ids = np.unique(np.concatenate([h, two, np.array([START, END])]), return_inverse=True)
+        self.ids, self.two, start = ids[:len(h)], ids[len(h):-2], ids[-2]
         learned = np.repeat(train, self.per)
+        learned = np.concatenate([learned, learned[self.inner]])
         n = len(self.words)
-        self.count = np.bincount(self.ids[learned], minlength=n)
+        self.count = np.bincount(ids[:-2][learned], minlength=n)
         context = np.empty(len(h), np.int64)
         context[1:] = self.ids[:-1]
-        context[np.cumsum(self.per) - self.per] = start
+        context[begin] = start
+        context = np.concatenate([context, self.two])
+        right = np.concatenate([self.ids, self.ids[self.inner]])
         # pairs by bucket, context, follower
         self.home = (self.words % U64(buckets)).astype(np.int64)
         follower = (self.words >> U64(24)).astype(np.int64)
         to = self.home[context]
         split = np.isin(self.words, hot)[context]
-        to[split] = follower[self.ids[split]] % buckets
-        pairs, self.pair_of = np.unique((to * n + context) * n + self.ids, return_inverse=True)
+        to[split] = follower[right[split]] % buckets
+        pairs, self.pair_of = np.unique((to * n + context) * n + right, return_inverse=True)
         of_pair, self.right = np.divmod(pairs, n)
         self.pair_bucket, self.left = np.divmod(of_pair, n)
         self.seen = np.bincount(self.pair_of[learned], minlength=len(pairs))
@@ -267,17 +285,16 @@ def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
-def _block(t: pa.Table, hot: np.ndarray, buckets: int) -> Block:
-    order = pa.compute.sort_indices(t, [("rowkey", "ascending")])
-    t = t.take(order)
-    block = Block(t["data"].to_pylist(), t["train"].to_numpy(), hot, buckets)
+def _block(t: pa.Table, hot: np.ndarray, buckets: int, order: int) -> Block:
+    t = t.take(pa.compute.sort_indices(t, [("rowkey", "ascending")]))
+    block = Block(t["data"].to_pylist(), t["train"].to_numpy(), hot, buckets, order)
     block.rows = t
     return block
 
 
-def _ask(t: pa.Table, hot: np.ndarray, buckets: int) -> pa.Table:
+def _ask(t: pa.Table, hot: np.ndarray, buckets: int, order: int) -> pa.Table:
     number = t["block"][0].as_py()
-    return _table(ROWS, [(b, number, data) for b, data in _block(t, hot, buckets).requests()])
+    return _table(ROWS, [(b, number, data) for b, data in _block(t, hot, buckets, order).requests()])
 
 
 def _answer(t: pa.Table, hot: np.ndarray, hot_count: np.ndarray) -> pa.Table:
@@ -314,11 +331,12 @@ def _answer(t: pa.Table, hot: np.ndarray, hot_count: np.ndarray) -> pa.Table:
     return _table(ROWS, out)
 
 
-def _score(t: pa.Table, answers: pa.Table, hot, hot_count, buckets: int, n_train: int, n_words: int) -> pa.Table:
+def _score(t: pa.Table, answers: pa.Table, hot, hot_count, buckets: int, order: int, n_train: int,
+           n_words: int) -> pa.Table:
     """Add up the documents' scores from the answers of all buckets."""
     if not t.num_rows:
         return SCORES.empty_table()
-    block = _block(t, hot, buckets)
+    block = _block(t, hot, buckets, order)
     total, code = np.zeros(len(block.words), np.int64), np.zeros(len(block.left), np.uint8)
     for bucket, data in zip(answers["bucket"].to_pylist(), answers["data"], strict=True):
         counts, codes = unpack(data.as_py(), "u4", "u1")
@@ -335,9 +353,11 @@ def _score(t: pa.Table, answers: pa.Table, hot, hot_count, buckets: int, n_train
     p0 = (total + 1) / (n_train + n_words + 1)
     share = np.where(code > 0, 10.0 ** (LOWEST + STEP * code.astype(float)), 0)
     rest = MU / (followed + MU)
-    p = np.log10(share + rest[block.left] * p0[block.right])
+    n = len(block.ids)
+    p = (share + rest[block.left] * p0[block.right])[block.pair_of[:n]]     # of each token after one word
+    p[block.inner] = share[block.pair_of[n:]] + rest[block.two] * p[block.inner]
     first = np.cumsum(block.per) - block.per
-    score = np.add.reduceat(p[block.pair_of], first)
+    score = np.add.reduceat(np.log10(p), first)
     base = np.add.reduceat(np.log10(p0)[block.ids], first)
     known = np.add.reduceat((total > 0)[block.ids].astype(np.int64), first)
     rows = block.rows
@@ -396,13 +416,18 @@ def _vocabulary(train: DataFrame, buckets: int) -> tuple[int, int, np.ndarray, n
     return row.n or 0, row.v or 0, hashes[by], counts[by]
 
 
-def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, doc_id: str = "doc_id", text: str = "text",
+                order: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``; the
-    model learns from the rows whose crc32 of the id does not leave ``held_out`` modulo ``folds``."""
+    model, of ``order`` 2 or 3, learns from the rows whose crc32 of the id does not leave ``held_out`` modulo
+    ``folds``."""
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: 2 or 3")
     spark = docs.sparkSession
     prepare(spark)
     size, tasks = text_bytes(docs, text), shuffle_partitions(spark)
-    blocks, buckets = parts(size, LM_BLOCK, tasks), parts(size, LM_BUCKET, tasks)
+    per_block, per_bucket = (LM_BLOCK, LM_BUCKET) if order == 2 else (LM_BLOCK_3, LM_BUCKET_3)
+    blocks, buckets = parts(size, per_block, tasks), parts(size, per_bucket, tasks)
     fold = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (fold == held_out).alias("held_out"),
                        (fold != held_out).alias("train"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("data"))
@@ -410,7 +435,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, doc_id: str
     n_train, n_words, hot, hot_count = _vocabulary(rows.where("train"), buckets)
     rows = rows.withColumn("block", F.pmod("rowkey", F.lit(blocks)).cast("int"))
     grouped = rows.groupBy("block")
-    answers = (grouped.applyInArrow(lambda t: _ask(t, hot, buckets), ROWS_DDL)
-               .groupBy("bucket").applyInArrow(lambda t: _answer(t, hot, hot_count), ROWS_DDL))
+    answers = (grouped.applyInArrow(lambda t: frugal(_ask)(t, hot, buckets, order), ROWS_DDL)
+               .groupBy("bucket").applyInArrow(lambda t: frugal(_answer)(t, hot, hot_count), ROWS_DDL))
     return grouped.cogroup(answers.groupBy("block")).applyInArrow(
-        lambda a, b: _score(a, b, hot, hot_count, buckets, n_train, n_words), SCORES_DDL)
+        lambda a, b: frugal(_score)(a, b, hot, hot_count, buckets, order, n_train, n_words), SCORES_DDL)

@@ -44,7 +44,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_trie.score_texts(table(spark, sf_dir, "documents"), folds=7, held_out=2)
+    return ngram_trie.score_texts(table(spark, sf_dir, "documents"), folds=7, held_out=2, order=3)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from parcelkit.llm import ngram_trie as nt
+from parcelkit.llm import queries
 from tests.conftest import SF_SMALL
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -90,3 +91,48 @@ def test_trie_codes():
     assert (np.abs(nt.LOWEST + nt.STEP * codes - np.log10(share)) <= nt.STEP / 2 + 1e-9).all()
     assert not trie.look_up(contexts[:50], np.full(50, 12345)).any()
     assert not trie.look_up(np.array([3, 5], nt.U64), follower[:2]).any()
+
+
+def brute_3(rows):
+    """Scores of order 3 by id and number of tokens."""
+    texts = [(i, ["<s>", *WORD.findall((t or "").encode().lower()), None]) for i, t in rows]
+    learn = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2 for i, _ in texts]
+    counts, after = Counter(), Counter()
+    for (_, ws), l in zip(texts, learn):
+        for k in range(1, len(ws)) if l else ():
+            for n in range(min(k, 2) + 1):
+                counts[tuple(ws[k - n:k + 1])] += 1
+                after[tuple(ws[k - n:k])] += 1
+    words = sum(len(k) == 1 for k in counts)
+    out = []
+    for i, ws in texts:
+        score = 0.0
+        for k in range(1, len(ws)):
+            p = (counts[(ws[k],)] + 1) / (after[()] + words + 1)
+            for n in range(1, min(k, 2) + 1):
+                c = tuple(ws[k - n:k])
+                p = (counts[(*c, ws[k])] + nt.MU * p) / (after[c] + nt.MU)
+            score += math.log10(p)
+        out.append((str(i), len(ws) - 1, score))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("hot", [64, 3])
+def test_order_3_equals_brute_force(spark, odd_docs, no_docs, monkeypatch, hot):
+    monkeypatch.setattr(nt, "HOT_WORDS", hot)
+    for df in (spark.read.parquet(f"{SF_SMALL}/documents.parquet"), odd_docs):
+        got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in nt.score_texts(df, order=3).collect())
+        want = brute_3([(r.doc_id, r.text) for r in df.collect()])
+        assert len(got) == len(want)
+        for g, w in zip(got, want):
+            assert g[:2] == w[:2] and abs(g[2] - w[2]) <= 0.5 * nt.STEP * w[1] + 1e-6
+    assert nt.score_texts(no_docs, order=3).count() == 0
+
+
+def test_query_is_of_order_3(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    two, three = (sum(r.score for r in x.where("held_out").collect())
+                  for x in (nt.score_texts(df), queries.op7_ngram_scores(spark, SF_SMALL)))
+    print("held-out log10 probability", two, three)
+    assert abs(two - three) > 1
+    assert three == pytest.approx(sum(r.score for r in nt.score_texts(df, order=3).where("held_out").collect()))
