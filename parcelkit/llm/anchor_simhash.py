@@ -157,7 +157,7 @@ def near_links(anchor: np.ndarray, fp: np.ndarray, threshold: int) -> tuple[np.n
 
 
 def links(classes: DataFrame, threshold: int) -> DataFrame:
-    """src, dst: links that join the classes (fp, rep) within ``threshold`` bits."""
+    """src, dst: links that join the fingerprints ``fp`` within ``threshold`` bits."""
     spark = classes.sparkSession
     reach = (threshold + 1) // 2
     buckets = parts(classes.count() * 16 ** reach, BUCKET_ROWS, shuffle_partitions(spark))
@@ -165,19 +165,17 @@ def links(classes: DataFrame, threshold: int) -> DataFrame:
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).view(U64)
-            rep = batch.column(1).to_numpy(zero_copy_only=False)
             row, anchor = anchors(fp, reach)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view(np.int64)), pa.array(fp[row].view(np.int64)), pa.array(rep[row])],
-                names=["anchor", "fp", "rep"])
+                [pa.array(anchor.view(np.int64)), pa.array(fp[row].view(np.int64))], names=["anchor", "fp"])
 
     def join(t: pd.DataFrame) -> pd.DataFrame:
-        rep = t["rep"].to_numpy()
-        a, b = near_links(t["anchor"].to_numpy().view(U64), t["fp"].to_numpy().view(U64), threshold)
-        node, root = local_roots(rep[a], rep[b]) if len(a) else (np.zeros(0, np.int64),) * 2
+        fp = t["fp"].to_numpy()
+        a, b = near_links(t["anchor"].to_numpy().view(U64), fp.view(U64), threshold)
+        node, root = local_roots(fp[a], fp[b]) if len(a) else (np.zeros(0, np.int64),) * 2
         return pd.DataFrame({"src": node, "dst": root})
 
-    return (classes.select("fp", "rep").mapInArrow(spread, "anchor long, fp long, rep long")
+    return (classes.select("fp").mapInArrow(spread, "anchor long, fp long")
             .withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)).cast("int"))
             .repartition(buckets, "bucket").groupBy("bucket").applyInPandas(join, "src long, dst long"))
 
@@ -186,10 +184,12 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, doc
                        text: str = "text") -> DataFrame:
     """doc_id, fingerprint (hex), component_id and kept of every row of ``docs``."""
     fps = stored(fingerprints(docs, shingle, doc_id, text), "fingerprints")
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep is not null")
+    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     found = connected_components(links(classes, max_bits))
-    of_class = classes.join(found, classes.rep == found.node, "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
+    of_class = stored(classes.join(found, classes.fp == found.node, "left").select(
+        "fp", "rep", F.coalesce("component", "fp").alias("component")), "classes")
+    least = of_class.groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_class = of_class.join(least, "component").select("fp", "component_id")
     return (fps.join(of_class, "fp", "left")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")))
@@ -197,8 +197,19 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, doc
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 2, doc_id: str = "doc_id",
                      text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose id is not the smallest of its component.
-    Rows with a null id stay."""
-    gone = (simhash_components(docs, shingle, max_bits, doc_id, text)
-            .where("doc_id is not null and not kept").select(F.col("doc_id").alias(doc_id)).distinct())
-    return docs.join(gone, doc_id, "left_anti")
+    """``docs`` without the rows whose id is not the smallest of their component.  Rows with a null id stay; of an
+    id with several texts each row is judged by its own text."""
+    rows = simhash_components(docs, shingle, max_bits, doc_id, text).where("doc_id is not null")
+    ids = (rows.groupBy(F.col("doc_id").alias("_id")).agg(F.bool_or("kept").alias("_some"), F.bool_and("kept").alias("_all"))
+           .where("not _all").select("_id", "_some"))
+    gone = rows.where("not kept").select(F.col("doc_id").alias("_gone"), F.col("fingerprint").alias("_fp")).distinct()
+
+    @F.pandas_udf("string")
+    def hexes(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else f"{fingerprint(t, shingle):016x}")
+
+    own = F.col(doc_id).cast("long")
+    left = docs.join(ids, own == F.col("_id"), "left").where("_some is null or _some")
+    left = left.withColumn("_own", hexes(F.when(F.col("_some"), F.coalesce(text, F.lit("")))))
+    return (left.join(gone, (F.col("_own") == F.col("_fp")) & (F.col("_id") == F.col("_gone")), "left_anti")
+            .drop("_id", "_some", "_own"))

@@ -105,3 +105,20 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(links).collect()}
     assert got == {i: want[i] for i in linked}
     assert connected_components(links.limit(0)).count() == 0
+
+
+def test_links_through_rows_without_id_and_ids_of_two_texts(spark):
+    words = [f"word{i}" for i in range(40)]
+    texts = [" ".join([*words[:k], f"other{j}", *words[k + 1:]]) for k in (0, 20, 39) for j in range(60)]
+    fps = [sh.fingerprint(t, 3) for t in texts]
+    near = [[j for j, y in enumerate(fps) if 0 < (x ^ y).bit_count() <= 2] for x in fps]
+    a, b, c = next((texts[i], texts[j], texts[k]) for j in range(len(fps)) for i in near[j] for k in near[j]
+                   if (fps[i] ^ fps[k]).bit_count() > 2)
+    apart = "some quite other text about boats and the sea"
+    rows = [(9, a), (None, b), (5, c), (None, apart + " far away"), (7, apart), (7, a), (8, apart + " in winter time")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, sh.simhash_components(df).collect()), key=str)
+    assert got == brute(rows)
+    assert {r[2] for r in got if r[0] in (5, 9)} == {5}
+    kept = [tuple(r) for r in sh.drop_near_copies(df).collect()]
+    assert sorted(kept, key=str) == sorted([r for r in rows if r[0] is None or r[0] in (5, 8) or r == (7, apart)], key=str)
