@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelkit.llm import (
-    anchor_simhash, byte_bpe, embed_dedup, ngram_trie, packing, pivot_topk, suffix_dedup, token_counts, toxicity, warc)
+    anchor_simhash, byte_bpe, embed_dedup, lexical_bpa, ngram_trie, packing, pivot_topk, suffix_dedup, token_counts,
+    toxicity, warc)
 from parcelkit.llm.common import prepare, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -60,9 +61,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_bpa.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_embedding_dedup, op2_exact_topk, op3_suffix_dedup, op4_byte_bpe, op5_packing, op6_token_counts, op7_ngram_scores,
-    op8_simhash, op9_warc, op10_toxicity)}
+    op8_simhash, op9_warc, op10_toxicity, op13_lexical_search)}
 
 # Brute force: every label's pairs, and the links' closure by a recursive query.
 _OP1_SQL = """
@@ -95,7 +100,27 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op1_embedding_dedup": _OP1_SQL, "op2_exact_topk": _OP2_SQL}
+_OP13_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+tf AS (SELECT row, doc_id, term, count(*) AS tf FROM d GROUP BY row, doc_id, term),
+len AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY row),
+tot AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM len),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM tf, tot GROUP BY term),
+m AS (SELECT row, 75 + (25 * n * docs) // terms AS m FROM len, tot),
+q AS (SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+s AS (SELECT item, item_id, row, doc_id,
+             CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (row) GROUP BY item, item_id, row, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+             doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {"op1_embedding_dedup": _OP1_SQL, "op2_exact_topk": _OP2_SQL, "op13_lexical_search": _OP13_SQL}
 
 
 def queries() -> dict:
