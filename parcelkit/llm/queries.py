@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelkit.llm import (
-    anchor_simhash, byte_bpe, embed_dedup, lexical_bpa, ngram_trie, packing, pivot_topk, suffix_dedup, token_counts,
-    toxicity, warc)
+    anchor_simhash, byte_bpe, embed_dedup, lexical_bpa, ngram_trie, packing, periodic_runs, pivot_topk, secret_novelty,
+    suffix_dedup, token_counts, toxicity, warc)
 from parcelkit.llm.common import prepare, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -61,13 +61,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_periodic_tails(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs, least=6, power=4))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_novelty.digests(secret_novelty.scan(table(spark, sf_dir, "documents")))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_bpa.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
 REGISTRY = {f.__name__: f for f in (
     op1_embedding_dedup, op2_exact_topk, op3_suffix_dedup, op4_byte_bpe, op5_packing, op6_token_counts, op7_ngram_scores,
-    op8_simhash, op9_warc, op10_toxicity, op13_lexical_search)}
+    op8_simhash, op9_warc, op10_toxicity, op11_periodic_runs, op12_secret_scan, op13_lexical_search)}
 
 # Brute force: every label's pairs, and the links' closure by a recursive query.
 _OP1_SQL = """
