@@ -6,7 +6,8 @@ method adds ``novel`` spans:
 
 1. *Identifier dictionary.*  All documents are scanned once for words (runs of
    letters, in lower case); those that most documents hold, at most
-   ``DICTIONARY_WORDS``, become the content of a zstandard dictionary.  Tasks count before
+   ``DICTIONARY_WORDS``, become the content of a zstandard dictionary: all down to a number of
+   documents, in bands of about 1/16, so that no ties are cut and no task ranks them.  Tasks count before
    the shuffle; only the dictionary, bounded by ``DICTIONARY_WORDS`` times ``WORD_BYTES``,
    passes through the driver.  Values with digits, signs or capital letters
    never stand in it as they are, however many copies of a document hold them.
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelkit.llm.common import prepare, steady
+from parcelkit.llm.common import prepare, steady, stored
 
 KINDS = ("assign", "access", "hex", "novel")
 DICTIONARY_WORDS = 16_384  # words of the identifier dictionary
@@ -64,6 +65,8 @@ SPANS = ("doc_id long, spans array<struct<kind: string, start: int, end: int, by
 _SPAN = [pa.field("kind", pa.string()), pa.field("start", pa.int32()), pa.field("end", pa.int32()),
          pa.field("bytes", pa.int32())]
 
+# Bands of counts, about 1/16 wide (their bit length and first five bits): some 2,000 whatever the corpus.
+BAND = "length(bin(n)) * 32 + shiftright(n, greatest(length(bin(n)) - 5, 0))"
 _LETTERS = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256)).lower()
 
 
@@ -86,10 +89,18 @@ def identifier_words(docs: DataFrame, words: int = DICTIONARY_WORDS, text: str =
                     seen.clear()
         yield counts()
 
-    found = (docs.select(F.col(text).cast("binary").alias("text")).filter("text is not null")
-             .mapInArrow(held, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-             .orderBy(F.col("n").desc(), "word").limit(words))
-    return [bytes(r.word) for r in found.collect()][::-1]
+    counts = stored(docs.select(F.col(text).cast("binary").alias("text")).filter("text is not null")
+                    .mapInArrow(held, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+                    .withColumn("band", F.expr(BAND)), "word-counts")
+    # The lowest band that leaves at most ``words``: a band more would be too many.
+    sizes, total, lowest = counts.groupBy("band").count().collect(), 0, 1 << 20
+    for r in sorted(sizes, reverse=True):
+        total += r["count"]
+        if total > words:
+            break
+        lowest = r.band
+    found = counts.filter(F.col("band") >= lowest).select("n", "word").collect()
+    return [w for _, w in sorted(((r.n, bytes(r.word)) for r in found), key=lambda x: (x[0], x[1]))]
 
 
 class Novelty:

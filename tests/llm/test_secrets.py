@@ -53,7 +53,15 @@ def held_words(texts, n=sn.DICTIONARY_WORDS):
         low = "".join(c if c.isalpha() or ord(c) > 127 else " " for c in (t or ""))
         low = "".join(c.lower() if c.isascii() else c for c in low)
         seen.update({w.encode() for w in low.split(" ") if 5 <= len(w.encode()) <= 32})
-    return [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:n]][::-1]
+    bands = {}
+    for w, f in seen.items():
+        bands.setdefault((f.bit_length(), f >> max(f.bit_length() - 5, 0)), []).append((f, w))
+    kept = []
+    for b in sorted(bands, reverse=True):
+        if len(kept) + len(bands[b]) > n:
+            break
+        kept += bands[b]
+    return [w for _, w in sorted(kept)]
 
 
 def brute(rows):
