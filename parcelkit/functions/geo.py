@@ -5,7 +5,8 @@ Geometry is kept as GeoJSON text next to a parsed
 Polygon and MultiPolygon share one shape.  Validity checked: JSON parses,
 type is Polygon or MultiPolygon, every ring has >= 4 positions and is
 closed, every position has >= 2 numbers inside lon [-180, 180] and
-lat [-90, 90].  Self-intersection is *not* checked.
+lat [-90, 90], and the shape keeps the rules of ``functions.shapes`` (simple
+rings, holes inside their shell, parts apart).
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parcelkit.functions.shapes import valid_only
+
 # Fixed value: latitude at which the square web map ends.
 MERCATOR_LIMIT = 85.0511287798066
 
@@ -24,8 +27,9 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def geojson_polygons(text: str | Column) -> Column:
-    """Parsed polygons of a GeoJSON geometry, NULL when invalid.
+def geojson_polygons(text: str | Column, check_shapes: bool = True) -> Column:
+    """Parsed polygons of a GeoJSON geometry, NULL when invalid.  ``check_shapes=False`` leaves out how rings
+    and parts lie to each other: for text that a check has already passed.
 
     Each intermediate (the parsed variant, the raw coordinates) is bound
     once through a one-element ``transform`` / ``filter`` lambda, so the
@@ -35,7 +39,8 @@ def geojson_polygons(text: str | Column) -> Column:
     """
     parsed = F.array(F.try_parse_json(_c(text)))
     raw = F.try_element_at(F.transform(parsed, _raw_from_variant), F.lit(1))
-    return F.try_element_at(F.filter(F.array(raw), _valid_polys), F.lit(1))
+    whole = F.filter(F.array(raw), _valid_polys)
+    return F.try_element_at(valid_only(whole) if check_shapes else whole, F.lit(1))
 
 
 def _raw_from_variant(v: Column) -> Column:
@@ -49,9 +54,9 @@ def _valid_polys(polys: Column) -> Column:
             & F.coalesce(F.forall(polys, _poly_ok), F.lit(False)))
 
 
-def with_polygons(df, text: str, out: str = "polygons", type_col: str | None = None):
+def with_polygons(df, text: str, out: str = "polygons", type_col: str | None = None, check_shapes: bool = True):
     """Add parsed polygons (and optionally the GeoJSON type) to ``df``."""
-    out_df = df.withColumn(out, geojson_polygons(text))
+    out_df = df.withColumn(out, geojson_polygons(text, check_shapes))
     if type_col:
         out_df = out_df.withColumn(type_col, geojson_type(text))
     return out_df

@@ -134,16 +134,21 @@ def _fmt6(micro: Column) -> Column:
                     F.lpad((a % 1000000).cast("string"), 6, "0"))
 
 
-def _square(lon: Column, lat: Column, closed: bool = True) -> Column:
-    """GeoJSON ring text of a 0.001-degree square; corners in micro-degrees.
+def _ring(lon: Column, lat: Column, corners: list[tuple]) -> Column:
+    """GeoJSON ring text of corners given as micro-degrees from (lon, lat).
 
     One small lambda over the corner offsets keeps the expression (and
     its generated code) the same size whatever the number of corners."""
-    offs = [(0, 0), (1000, 0), (1000, 1000), (0, 1000)] + ([(0, 0)] if closed else [])
-    corners = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in offs])
-    pts = F.transform(corners, lambda c: F.concat(
+    offs = F.array(*[F.struct(F.lit(dx).cast("bigint").alias("dx"), F.lit(dy).cast("bigint").alias("dy")) for dx, dy in corners])
+    pts = F.transform(offs, lambda c: F.concat(
         F.lit("["), _fmt6(lon + c["dx"]), F.lit(","), _fmt6(lat + c["dy"]), F.lit("]")))
-    return F.concat(F.lit("[["), F.array_join(pts, ","), F.lit("]]"))
+    return F.concat(F.lit("["), F.array_join(pts, ","), F.lit("]"))
+
+
+def _square(lon: Column, lat: Column, closed: bool = True) -> Column:
+    """A 0.001-degree square."""
+    corners = [(0, 0), (1000, 0), (1000, 1000), (0, 1000)] + ([(0, 0)] if closed else [])
+    return F.concat(F.lit("["), _ring(lon, lat, corners), F.lit("]"))
 
 
 def fx_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,3 +169,36 @@ def fx_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k % 13 == 0, open_ring).otherwise(poly))
     return c.select(_s(k).alias("property_id"), _s(k).alias("brt_id"),
                     F.col("c_name").alias("address"), geom.alias("geometry"))
+
+
+# Corners, in units of 100 micro-degrees, of the shapes below.
+SHELL = [(6, 0), (3, 5), (-3, 5), (-6, 0), (-3, -5), (3, -5)]
+HOLE = [(2, 0), (-1, 2), (-1, -2)]
+SECOND_PART = [(8, -3), (13, -3), (13, 3), (8, 3)]
+
+
+def fx_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parcels of all kinds of shapes from customers: a hexagon, for two keys in three with a triangle for a
+    hole, for two in five with a square for a second part.  Every corner is moved by digits of a number
+    made of key and balance, so that some rings cross themselves, some holes leave their shell, and some parts meet."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    number = F.expr("(c_custkey * 48271 + CAST(round(abs(c_acctbal) * 100) AS BIGINT) * 69621) % 2147483647")
+    far = F.when(k % 4 == 0, 3).otherwise(1)
+
+    def digit(i: int) -> Column:
+        return F.expr(f"CAST(m DIV {5 ** (i % 13)} AS BIGINT) % 5 - 2")
+
+    def ring(template: list, first: int, scale) -> Column:
+        corners = [((F.lit(x) + digit(first + i) * scale) * 100, (F.lit(y) + digit(first + i + 5) * scale) * 100)
+                   for i, (x, y) in enumerate(template)]
+        return _ring(F.col("lon"), F.col("lat"), [*corners, corners[0]])
+
+    one = F.concat(F.lit("["), ring(SHELL, 0, far), F.when(k % 3 != 0, F.concat(F.lit(","), ring(HOLE, 2, F.lit(1))))
+                   .otherwise(F.lit("")), F.lit("]"))
+    two = F.concat(F.lit("["), ring(SECOND_PART, 7, F.lit(1)), F.lit("]"))
+    shape = (F.when(k % 5 < 2, F.concat(F.lit('{"type":"MultiPolygon","coordinates":['), one, F.lit(","), two, F.lit("]}")))
+             .otherwise(F.concat(F.lit('{"type":"Polygon","coordinates":'), one, F.lit("}"))))
+    placed = c.select("c_custkey", "c_name", number.alias("m"), (F.lit(-75280000) + (k % 100) * F.lit(3000)).alias("lon"),
+                      (F.lit(39870000) + (F.expr("c_custkey div 100") % 100) * F.lit(2000)).alias("lat"))
+    return placed.select(_s(k).alias("brt_id"), F.col("c_name").alias("address"), shape.alias("geometry"))

@@ -110,7 +110,7 @@ def q_records_json(spark, d):
 def _write_tiles(spark, d) -> str:
     out = shared_dir(spark, "tiles")
     feats = sinks.geojson_features(tile_frame(spark, d), carry=("geog",))
-    write_tiles(with_polygons(feats, "geog"), out)
+    write_tiles(with_polygons(feats, "geog", check_shapes=False), out)
     return out
 
 

@@ -123,7 +123,7 @@ def run(spark: SparkSession, paths: Paths, trees: int = 200, depth: int = 10,
     write_text(cur_doc, "document", f"{out}/public/current_bins")
     feats_df = geojson_features(ti, carry=("geog",))
     write_text(feats_df, "feature", f"{out}/public/features")
-    write_tiles(with_polygons(feats_df, "geog"), f"{out}/public/tiles")
+    write_tiles(with_polygons(feats_df, "geog", check_shapes=False), f"{out}/public/tiles")
     return counts
 
 

@@ -335,6 +335,13 @@ def q_core_parcels(spark, d):
                                                                            "geometry")
 
 
+@register("core_parcel_shapes")
+def q_core_parcel_shapes(spark, d):
+    """The core step on shapes of which some cross themselves, have a hole outside or parts that overlap."""
+    from parcelkit.plans.job import core_parcels
+    return core_parcels(X.fx_shapes(spark, d)).select("property_id", "brt_id", "address", "geometry")
+
+
 @register("geojson_parse")
 def q_geojson_parse(spark, d):
     g = geo.with_polygons(X.fx_parcels(spark, d), "geometry", "p", type_col="geom_type")
