@@ -171,16 +171,17 @@ def fx_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_name").alias("address"), geom.alias("geometry"))
 
 
-# Corners, in units of 100 micro-degrees, of the shapes below.
+# Corners, in units of some micro-degrees, of the shapes below.
 SHELL = [(6, 0), (3, 5), (-3, 5), (-6, 0), (-3, -5), (3, -5)]
 HOLE = [(2, 0), (-1, 2), (-1, -2)]
 SECOND_PART = [(8, -3), (13, -3), (13, 3), (8, 3)]
 
 
-def fx_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fx_shapes(spark: SparkSession, sf_dir: str, unit: int = 100) -> DataFrame:
     """Parcels of all kinds of shapes from customers: a hexagon, for two keys in three with a triangle for a
     hole, for two in five with a square for a second part.  Every corner is moved by digits of a number
-    made of key and balance, so that some rings cross themselves, some holes leave their shell, and some parts meet."""
+    made of key and balance, so that some rings cross themselves, some holes leave their shell, and some parts meet.
+    ``unit`` is their scale in micro-degrees."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     number = F.expr("(c_custkey * 48271 + CAST(round(abs(c_acctbal) * 100) AS BIGINT) * 69621) % 2147483647")
@@ -190,7 +191,7 @@ def fx_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.expr(f"CAST(m DIV {5 ** (i % 13)} AS BIGINT) % 5 - 2")
 
     def ring(template: list, first: int, scale) -> Column:
-        corners = [((F.lit(x) + digit(first + i) * scale) * 100, (F.lit(y) + digit(first + i + 5) * scale) * 100)
+        corners = [((F.lit(x) + digit(first + i) * scale) * unit, (F.lit(y) + digit(first + i + 5) * scale) * unit)
                    for i, (x, y) in enumerate(template)]
         return _ring(F.col("lon"), F.col("lat"), [*corners, corners[0]])
 

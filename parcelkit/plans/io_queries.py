@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelkit.functions.geo import with_polygons
-from parcelkit.operators.tiles import write_tiles
+from parcelkit.operators.tiles import read_tiles, write_tiles
 from parcelkit.plans import fixtures as X
 from parcelkit.plans import products as P
 from parcelkit.plans.queries import PRED_BIN_WIDTH, PRED_TIE, register, rounded, tile_frame
-from parcelkit.session import shared_dir
+from parcelkit.session import shared_dir, stored
 from parcelkit.sources import files, sinks
 from parcelkit.streaming.ingest import prepare_stream
 
@@ -109,26 +109,35 @@ def q_records_json(spark, d):
 
 def _write_tiles(spark, d) -> str:
     out = shared_dir(spark, "tiles")
-    feats = sinks.geojson_features(tile_frame(spark, d), carry=("geog",))
+    feats = stored(sinks.geojson_features(tile_frame(spark, d), carry=("geog",)), "features")
     write_tiles(with_polygons(feats, "geog", check_shapes=False), out)
     return out
 
 
 @register("tile_write")
 def q_tile_write(spark, d):
-    return spark.read.text(_write_tiles(spark, d))
+    return read_tiles(spark, _write_tiles(spark, d)).select("value", F.col("z").cast("bigint").alias("z"), "x")
 
 
 @register("tile_write_items")
 def q_tile_write_items(spark, d):
     schema = ("struct<layer:string,y:bigint,feature:struct<type:string,geometry:struct<type:string>,properties:struct<"
               "property_id:string,address:string,current_assessed_value:double,tax_year_assessed_value:double>>>")
-    t = spark.read.text(_write_tiles(spark, d)).select("z", "x", F.from_json("value", schema).alias("j"))
+    t = read_tiles(spark, _write_tiles(spark, d)).select("z", "x", F.from_json("value", schema).alias("j"))
     return rounded(t.select(F.col("z").cast("bigint").alias("z"), F.col("x").cast("bigint").alias("x"), "j.y", "j.layer",
                             F.col("j.feature.type").alias("feature_type"),
                             F.col("j.feature.geometry.type").alias("geometry_type"), "j.feature.properties.*"))
 
 
+@register("tile_objects")
+def q_tile_objects(spark, d):
+    """The objects of a written tile tree and the features in each: one row for each file."""
+    lines = spark.read.option("recursiveFileLookup", True).text(_write_tiles(spark, d))
+    name = F.regexp_extract(F.col("_metadata.file_path"), "([0-9]+/[0-9]+/[0-9]+)[.]jsonl", 1)
+    return lines.groupBy(name.alias("tile"), F.col("_metadata.file_path")).agg(F.count("value").alias("feature_count")).select(
+        "tile", "feature_count")
+
+
 @register("chart_config_current_items")
 def q_chart_config_current_items(spark, d):
     _, cur_doc = P.chart_configs(X.fx_assess(spark, d), X.fx_pred(spark, d), PRED_BIN_WIDTH, PRED_TIE)

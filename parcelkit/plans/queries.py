@@ -35,6 +35,7 @@ PROP_BIN_WIDTH = 10          # part prices are 900-1000
 SEARCH_TEXT = "customer#00000"
 YEAR_MIN_TOTAL_FX = 1000     # orders per year are ~2,300 per 0.01 scale factor
 YEAR_SELECTABLE_FX = 2000
+TILE_CAP_FX = 9000           # bytes: a tile of zoom 12 holds some 60 parcels of 250 bytes per 0.01 scale factor
 PRED_TIE = ("event_id",)     # predictions of the fixture carry a row number
 
 
@@ -659,10 +660,36 @@ def q_tile_assign(spark, d):
 
 @register("tile_stats")
 def q_tile_stats(spark, d):
-    feats = sinks.geojson_features(X.fx_parcels(spark, d), "geometry", ("property_id", "address"),
-                                   carry=("geometry",))
-    return (T.tile_stats(geo.with_polygons(feats, "geometry", "polygons"))
-            .withColumn("z", F.col("z").cast("bigint")))
+    return T.tile_stats(_parcel_features(spark, d)).withColumn("z", F.col("z").cast("bigint"))
+
+
+def _parcel_features(spark, d) -> DataFrame:
+    feats = sinks.geojson_features(X.fx_parcels(spark, d), "geometry", ("property_id", "address"), carry=("geometry",))
+    return geo.with_polygons(feats, "geometry", "polygons")
+
+
+@register("tile_cover")
+def q_tile_cover(spark, d):
+    """Tiles of slanted shapes with holes and second parts, ten times the size of a parcel."""
+    shapes = geo.with_polygons(X.fx_shapes(spark, d, 1000).withColumnRenamed("brt_id", "property_id"), "geometry", "polygons")
+    return T.tile_assign(shapes).withColumn("z", F.col("z").cast("bigint"))
+
+
+def _budget(spark, d) -> tuple[DataFrame, DataFrame]:
+    rows = T.tile_rows(_parcel_features(spark, d))
+    return rows, T.tile_cuts(rows, TILE_CAP_FX)
+
+
+@register("tile_budget")
+def q_tile_budget(spark, d):
+    """What each tile keeps and drops under the cap."""
+    return T.tile_report(*_budget(spark, d)).withColumn("z", F.col("z").cast("bigint"))
+
+
+@register("tile_budget_rows")
+def q_tile_budget_rows(spark, d):
+    """Which features stay in each tile under the cap."""
+    return T.capped(*_budget(spark, d)).select("property_id", F.col("z").cast("bigint").alias("z"), "x", "y")
 
 
 def queries() -> dict[str, Query]:

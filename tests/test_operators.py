@@ -270,7 +270,7 @@ def test_tile_tree_holds_each_feature_row_once_per_tile(spark, tmp_path):
     import json
 
     from parcelkit.functions import geo
-    from parcelkit.operators.tiles import tile_assign, write_tiles
+    from parcelkit.operators.tiles import read_tiles, tile_assign, write_tiles
     from parcelkit.sources.sinks import geojson_features
     square = '{"type":"Polygon",\n "coordinates":[[[0,0],[0.001,0],[0.001,0.001],[0,0.001],[0,0]]]}'
     rows = [("k", "a", square, 1.0, 2.0), ("k", "a", square, None, 3.0), ("m", "b", None, 1.0, 1.0)]
@@ -278,7 +278,7 @@ def test_tile_tree_holds_each_feature_row_once_per_tile(spark, tmp_path):
                                      "current_assessed_value double, tax_year_assessed_value double")
     feats = geo.with_polygons(geojson_features(df, carry=("geog",)), "geog")
     write_tiles(feats, str(tmp_path / "t"))
-    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "t")).collect()]
+    lines = [json.loads(r.value) for r in read_tiles(spark, str(tmp_path / "t")).collect()]
     assert len(lines) == tile_assign(feats).count() and len(lines) % 2 == 0
     assert {x["layer"] for x in lines} == {"property_tile_info"}
     assert all(x["feature"]["geometry"]["type"] == "Polygon" for x in lines)
