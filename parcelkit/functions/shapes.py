@@ -81,7 +81,7 @@ def _ring(edges: str) -> str:
         last = f"greatest(CAST(floor((size({edges}) - 1) / {each}) AS INT), 0)"
         return _fn("transform", f"sequence(0, {last})", lambda k: group(k, each))
 
-    grouped = _let(f"greatest(CAST(ceil(sqrt(size({edges}))) AS INT), 1)", groups)
+    grouped = _let(f"greatest(CAST(ceil(sqrt(size({edges}))) AS INT), 8)", groups)
     return _let(grouped, lambda g: f"struct(size({edges}) AS count, {g} AS groups, {_span(g)})")
 
 
@@ -96,7 +96,7 @@ def _cross(a: str, x: str, y: str) -> str:
 def _side(a: str, x: str, y: str) -> str:
     """1 left of the edge's line, -1 right of it, 0 on it."""
     near = f"{_EPS} * greatest(abs({a}.x2 - {a}.x1), abs({a}.y2 - {a}.y1))"
-    return _let(_cross(a, x, y), lambda c: f"CASE WHEN {c} > {near} THEN 1 WHEN {c} < -({near}) THEN -1 ELSE 0 END")
+    return f"IF(abs({_cross(a, x, y)}) > {near}, sign({_cross(a, x, y)}), 0D)"
 
 
 def _on(a: str, x: str, y: str) -> str:
@@ -144,10 +144,11 @@ def _any_two(items: str, test: Text) -> str:
 
 def _ring_is_simple(ring: str) -> str:
     def bad(a: str, b: str) -> str:
-        folded = f"{_on(a, f'{b}.x2', f'{b}.y2')} OR {_on(b, f'{a}.x1', f'{a}.y1')}"
-        closing = f"{_on(a, f'{b}.x1', f'{b}.y1')} OR {_on(b, f'{a}.x2', f'{a}.y2')}"
-        return (f"CASE WHEN {b}.i = {a}.i + 1 THEN {folded} WHEN {a}.i = 1 AND {b}.i = {ring}.count THEN {closing} "
-                f"ELSE {_share_a_point(a, b)} END")
+        # Neighbours share an end: they meet elsewhere only if one folds back along the other.
+        next_, closing = f"{b}.i = {a}.i + 1", f"({a}.i = 1 AND {b}.i = {ring}.count)"
+        back = f"({a}.x2 - {a}.x1) * ({b}.x2 - {b}.x1) + ({a}.y2 - {a}.y1) * ({b}.y2 - {b}.y1) < 0"
+        far = _side(a, f"IF({next_}, {b}.x2, {b}.x1)", f"IF({next_}, {b}.y2, {b}.y1)")
+        return f"IF({next_} OR {closing}, {back} AND {far} = 0, {_share_a_point(a, b)})"
     return f"({ring}.count >= 3 AND NOT {_any_pair(ring, ring, bad, once=True)})"
 
 
@@ -189,45 +190,41 @@ def _any_piece(ring: str, others: str, test: Text) -> str:
         "exists", _pieces(a, others), lambda m: test(f"{m}.x", f"{m}.y"))))
 
 
-def _polygon_is_valid(rings: str) -> str:
+def _holes_stay_inside(rings: str) -> str:
     """Shell first, then its holes; each ring is simple."""
-    shell, holes = f"{rings}[0]", f"slice({rings}, 2, size({rings}))"
-
     def leaves(hole: str) -> str:
+        shell = f"{rings}[0]"
         outside = _any_piece(hole, f"array({shell})", lambda x, y: f"NOT {_in_ring(shell, x, y)} AND NOT {_on_ring(shell, x, y)}")
         return f"({_any_pair(shell, hole, _cross_or_run_along)} OR {outside})"
-
-    def enters(a: str, b: str) -> str:
-        return _any_piece(a, f"array({b})", lambda x, y: f"{_in_ring(b, x, y)} AND NOT {_on_ring(b, x, y)}")
-
-    def clash(a: str, b: str) -> str:
-        return f"({_boxes_meet(a, b)} AND ({_any_pair(a, b, _cross_or_run_along)} OR {enters(a, b)} OR {enters(b, a)}))"
-
-    return f"(size({rings}) = 1 OR (NOT {_fn('exists', holes, leaves)} AND NOT {_any_two(holes, clash)}))"
+    return f"(size({rings}) = 1 OR NOT {_fn('exists', f'slice({rings}, 2, size({rings}))', leaves)})"
 
 
-def _parts_are_apart(parts: str) -> str:
+def _are_apart(parts: str) -> str:
+    """Whether no two polygons (shell and holes each) share more than points."""
     def interior(part: str, x: str, y: str) -> str:
         on = _fn("exists", part, lambda r: _on_ring(r, x, y))
-        in_hole = _fn("exists", f"slice({part}, 2, size({part}))", lambda hole: _in_ring(hole, x, y))
-        return f"{_in_ring(f'{part}[0]', x, y)} AND NOT {on} AND NOT {in_hole}"
+        rings = _fn("transform", part, lambda r: _in_ring(r, x, y))
+        return _let(rings, lambda i: f"{i}[0] AND NOT {on} AND NOT exists(slice({i}, 2, size({i})), h -> h)")
 
-    def enters(a: str, b: str) -> str:
-        return _any_piece(f"{a}[0]", b, lambda x, y: interior(b, x, y))
+    def enters(pair: str) -> str:
+        return _any_piece(f"{pair}.a[0]", f"{pair}.b", lambda x, y: interior(f"{pair}.b", x, y))
 
     def clash(a: str, b: str) -> str:
         met = _fn("exists", a, lambda r: _fn("exists", b, lambda s: (
             f"{_boxes_meet(r, s)} AND {_any_pair(r, s, _cross_or_run_along)}")))
-        return f"({_boxes_meet(f'{a}[0]', f'{b}[0]')} AND ({met} OR {enters(a, b)} OR {enters(b, a)}))"
+        both = f"array(struct({a} AS a, {b} AS b), struct({b} AS a, {a} AS b))"
+        return f"({_boxes_meet(f'{a}[0]', f'{b}[0]')} AND ({met} OR {_fn('exists', both, enters)}))"
 
-    return f"(size({parts}) = 1 OR NOT {_any_two(parts, clash)})"
+    return f"(size({parts}) < 2 OR NOT {_any_two(parts, clash)})"
 
 
 def _valid(polys: str) -> str:
     parts = _fn("transform", polys, lambda p: _fn("transform", p, lambda ring: _let(_edges(ring), _ring)))
+    # Holes of one polygon must be apart as parts must be: each hole counts as a polygon.
+    holes = lambda q: _fn("transform", q, lambda p: f"transform(slice({p}, 2, size({p})), h -> array(h))")
     return _let(parts, lambda q: " AND ".join([
-        _fn("forall", q, lambda p: _fn("forall", p, _ring_is_simple)), _fn("forall", q, _polygon_is_valid),
-        _parts_are_apart(q)]))
+        _fn("forall", q, lambda p: _fn("forall", p, _ring_is_simple)), _fn("forall", q, _holes_stay_inside),
+        _fn("forall", f"concat(array({q}), {holes(q)})", _are_apart)]))
 
 
 def valid_only(shapes: Column) -> Column:

@@ -1,7 +1,8 @@
 """Map tiles: exact cover, statistics, byte budget and the tile tree.
 
 A tile is taken when an edge of the feature passes through it or its middle
-lies inside.  The tiles are found from above: a tile's four children are tested
+lies inside.  The tiles are found from above, beginning at the
+deepest one that holds the whole feature: a tile's four children are tested
 only if the tile itself was taken, and only against the edges that still
 matter there, so the work follows a feature's outline and no array holds the tiles of its box.
 Longitudes and latitudes are projected first; edges are straight in the projection, as a map draws them.
@@ -44,15 +45,16 @@ def _edges(polys: str) -> str:
     return f"flatten(flatten(transform(`{polys}`, p -> transform(p, ring -> {ring}))))"
 
 
-def _root(min_zoom: int) -> str:
-    """The deepest tile down to ``min_zoom`` that holds all of the edges ``near``."""
+def _start(min_zoom: int, max_zoom: int) -> str:
+    """The deepest tile that holds all of the edges ``near``, and the tiles above it from ``min_zoom`` on, as done."""
     box = ", ".join(f"array_{f}(transform(near, e -> {g}(e.{c}1, e.{c}2))) AS {c}{n}"
                     for c in "xy" for n, f, g in ((0, "min", "least"), (1, "max", "greatest")))
     same = " AND ".join(f"floor(b.{c}0 * pow(2D, z)) = floor(b.{c}1 * pow(2D, z))" for c in "xy")
-    zoom = f"element_at(filter(sequence({min_zoom}, 0, -1), z -> {same}), 1)"
+    zoom = f"element_at(filter(sequence({max_zoom}, 0, -1), z -> {same}), 1)"
     at = f"transform(array(struct({box})), b -> struct(b.x0 AS x0, b.y0 AS y0, {zoom} AS z))"
-    node = _node("v.z", "floor(v.x0 * pow(2D, v.z))", "floor(v.y0 * pow(2D, v.z))", "near", "false")
-    return f"element_at(transform({at}, v -> {node}), 1)"
+    tile = _node("u", "floor(v.x0 * pow(2D, u))", "floor(v.y0 * pow(2D, u))", "IF(u = v.z, near, filter(near, e -> false))", "false",
+                 "u < v.z")
+    return f"flatten(transform({at}, v -> transform(sequence(least({min_zoom}, v.z), v.z), u -> {tile})))"
 
 
 def _node(z: str, x: str, y: str, near: str, odd: str, done: str = "false") -> str:
@@ -76,10 +78,10 @@ def _children(node: str) -> str:
     def turn(x: str, y: str) -> str:
         return f"(e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1)"
 
-    corners = ", ".join(turn(f"k.t.{x}", f"k.t.{y}") for x in ("x0", "x1") for y in ("y0", "y1"))
-    passes = ("exists(k.near, e -> least(e.x1, e.x2) < k.t.x1 AND greatest(e.x1, e.x2) >= k.t.x0 AND least(e.y1, e.y2) < k.t.y1 "
-              f"AND greatest(e.y1, e.y2) >= k.t.y0 AND least({corners}) <= 0 AND greatest({corners}) >= 0)")
     mx, my = "(k.t.x0 + k.t.x1) / 2", "(k.t.y0 + k.t.y1) / 2"
+    # The line has corners on both sides if its distance from the middle is within the tile's half, put as turns.
+    passes = ("exists(k.near, e -> least(e.x1, e.x2) < k.t.x1 AND greatest(e.x1, e.x2) >= k.t.x0 AND least(e.y1, e.y2) < k.t.y1 "
+              f"AND greatest(e.y1, e.y2) >= k.t.y0 AND abs({turn(mx, my)}) <= (abs(e.x2 - e.x1) + abs(e.y2 - e.y1)) * (k.t.x1 - k.t.x0) / 2)")
     before = f"size(filter(k.near, e -> (e.y1 > {my}) <> (e.y2 > {my}) AND ({turn(mx, my)} < 0) = (e.y2 > e.y1))) % 2 = 1"
     taken = f"filter({tiles}, k -> {passes} OR k.odd <> ({before}))"
     return f"transform({taken}, k -> {_node(f'{node}.z + 1', 'k.t.x', 'k.t.y', 'k.near', 'k.odd')})"
@@ -103,7 +105,8 @@ def tile_assign(df: DataFrame, key: str = "property_id", polys: str = "polygons"
     shuffled.  ``carry`` keeps extra columns on every tile row.  NULL polygons give no rows."""
     # No filter on the polygons: a pushed-down ``IS NOT NULL`` would repeat the parse.
     edges = df.select(key, *carry, F.expr(_edges(polys)).alias("near"))
-    nodes = edges.select(key, *carry, F.explode(F.expr(f"IF(size(near) > 0, array({_root(min_zoom)}), NULL)")).alias("node"))
+    start = F.expr(f"IF(size(near) > 0, {_start(min_zoom, max_zoom)}, NULL)")
+    nodes = edges.select(key, *carry, F.explode(start).alias("node"))
     for to in [*range(min_zoom, 0, -STEP)][::-1] + [*range(min_zoom + STEP, max_zoom, STEP), max_zoom]:
         nodes = nodes.select(key, *carry, F.explode(F.expr(_descend(to, min_zoom))).alias("node"))
     return nodes.where(F.col("node.z") >= min_zoom).select(key, "node.z", "node.x", "node.y", *carry)

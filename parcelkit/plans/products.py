@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelkit.functions.geo import with_polygons
+from parcelkit.functions.geo import geojson_polygons
 from parcelkit.operators.bins import BIN_WIDTH, value_bins
 from parcelkit.operators.dedupe import latest_group_rows, latest_per_key
 from parcelkit.operators.features import TILE_CODES
@@ -27,9 +27,7 @@ TILE_FIELDS = ["current_assessed_value", "tax_year_assessed_value"]
 def core_parcel_geometry(parcels: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Core parcels: geometry text kept only where it parses as a valid
     Polygon / MultiPolygon (safe parse: invalid -> NULL).  Parsed once."""
-    checked = with_polygons(parcels, geometry, "_polys")
-    return checked.withColumn(geometry, F.when(F.col("_polys").isNotNull(), F.col(geometry))
-                              ).drop("_polys")
+    return parcels.withColumn(geometry, F.when(geojson_polygons(geometry).isNotNull(), F.col(geometry)))
 
 
 def tax_year_bins(assessments: DataFrame, width: int = BIN_WIDTH, value: str = "market_value",
@@ -82,8 +80,9 @@ def tile_info(properties: DataFrame, parcels: DataFrame, assessments: DataFrame,
                    "tax_year_assessed_value"))
     if not check_geometry:
         return out
-    return (with_polygons(out, "geog", "_polys").withColumn("geog", F.when(F.col("_polys").isNotNull(), F.col("geog")))
-            .drop("_polys").where(F.col("geog").isNotNull()))
+    # An explode, not a filter: a filter would be pushed below the join, onto every parcel.
+    valid = F.explode(F.when(geojson_polygons("geog").isNotNull(), F.array("geog")))
+    return out.select(*[valid.alias(c) if c == "geog" else F.col(c) for c in out.columns])
 
 
 def tile_style_stats(tile_info_df: DataFrame, fields: Sequence[str] = TILE_FIELDS,

@@ -119,7 +119,8 @@ def test_value_breakdown_flag(spark):
 def test_geometry_parse_cases(spark):
     sq = "[[[-75.1,39.9],[-75.0,39.9],[-75.0,40.0],[-75.1,40.0],[-75.1,39.9]]]"
     rows = [("poly", '{"type":"Polygon","coordinates":%s}' % sq),
-            ("multi", '{"type":"MultiPolygon","coordinates":[%s,%s]}' % (sq, sq.replace("-75.1", "-75.2"))),
+            ("multi", '{"type":"MultiPolygon","coordinates":[%s,%s]}' % (sq, sq.replace("-75.1", "-75.3").replace("-75.0", "-75.2"))),
+            ("overlap", '{"type":"MultiPolygon","coordinates":[%s,%s]}' % (sq, sq.replace("-75.1", "-75.2"))),
             ("bad", '{"type":"Polygon","coordinates":[[[1,2]'),
             ("open", '{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,1]]]}'),
             ("three", '{"type":"Polygon","coordinates":[[[0,0],[1,0],[0,0]]]}'),
@@ -129,9 +130,9 @@ def test_geometry_parse_cases(spark):
     out = {r.k: r for r in geo.with_polygons(df, "g", "p").select(
         "k", "p", geo.bbox("p").alias("b")).collect()}
     assert out["poly"].p is not None and out["multi"].p is not None
-    assert all(out[k].p is None for k in ("bad", "open", "three", "lon200", "null"))
+    assert all(out[k].p is None for k in ("overlap", "bad", "open", "three", "lon200", "null"))
     assert tuple(out["poly"].b) == (-75.1, 39.9, -75.0, 40.0)
-    assert out["multi"].b.west == -75.2
+    assert out["multi"].b.west == -75.3
 
 
 def test_tile_assignment_covers_bbox(spark):
