@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelkit.functions.casts import safe_double
@@ -187,6 +187,29 @@ def target_encode(df: DataFrame, col: str, label: str, out: str | None = None) -
             .withColumn(out, F.coalesce(F.col("_te"), glob)).drop("_te"))
 
 
+def target_encode_cv(df: DataFrame, col: str, label: str, key: str, folds: int = 5, smoothing: float = 10.0,
+                     out: str | None = None) -> DataFrame:
+    """Mean label of a row's category over the *other* folds, drawn to their overall mean by ``smoothing`` rows:
+    no row's own label is in its code.  Folds go by a hash of ``key``, which SQL can repeat.
+
+    One partial aggregate over (category, fold); the sums of the other folds are totals less the fold's own, so the
+    table is not passed once for each fold.  A NULL category, or one that no other fold has, gets the overall mean."""
+    out = out or f"{col}_te"
+    fold = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 6), 16, 10).cast("int") % folds
+    rows = df.withColumn("_fold", fold)
+    y = F.col(label).cast("double")
+    part = rows.groupBy(col, "_fold").agg(F.sum(y).alias("s"), F.count(y).alias("n"))
+    every = Window.partitionBy(F.lit(None).cast("int"))
+    by_fold = part.groupBy("_fold").agg(F.sum("s").alias("fs"), F.sum("n").alias("fn")).select(
+        "_fold", ((F.sum("fs").over(every) - F.col("fs")) / F.nullif(F.sum("fn").over(every) - F.col("fn"), F.lit(0))).alias("_mean"))
+    total = part.where(F.col(col).isNotNull()).groupBy(col).agg(F.sum("s").alias("ts"), F.sum("n").alias("tn"))
+    others = F.col("ts") - F.coalesce("s", F.lit(0.0)) + F.lit(smoothing) * F.col("_mean")
+    codes = part.join(total, col).join(by_fold, "_fold").select(
+        col, "_fold", F.try_divide(others, F.col("tn") - F.col("n") + F.lit(smoothing)).alias("_te"))
+    return (rows.join(codes, [col, "_fold"], "left").join(by_fold, "_fold", "left")
+            .withColumn(out, F.coalesce("_te", "_mean")).select(*df.columns, out))
+
+
 # The imputation plan of the feature notes.
 IMPUTE_PLAN = {
     "garage_spaces": ("zero", None),

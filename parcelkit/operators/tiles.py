@@ -4,7 +4,8 @@ A tile is taken when an edge of the feature passes through it or its middle
 lies inside.  The tiles are found from above, beginning at the
 deepest one that holds the whole feature: a tile's four children are tested
 only if the tile itself was taken, and only against the edges that still
-matter there, so the work follows a feature's outline and no array holds the tiles of its box.
+matter there, so the work follows a feature's outline and no array holds the tiles of its box
+(but for a feature that is small at the last zoom, whose few tiles are tested at once).
 Longitudes and latitudes are projected first; edges are straight in the projection, as a map draws them.
 """
 
@@ -22,6 +23,7 @@ TILE_BYTE_CAP = 2000000
 
 TILE = ["z", "x", "y"]
 STEP = 4        # zooms that one explode goes down: at most 340 tiles in an array
+FEW = 64        # a feature whose box has as many tiles at the last zoom is not worth a descent
 BANDS = 16      # size bands of the priority, for each doubling of a feature's box
 
 _PI = "3.141592653589793D"
@@ -45,51 +47,66 @@ def _edges(polys: str) -> str:
     return f"flatten(flatten(transform(`{polys}`, p -> transform(p, ring -> {ring}))))"
 
 
+def _node(z: str, x: str, y: str, near: str, odd: str, done: str = "false") -> str:
+    return f"struct({z} AS z, {x} AS x, {y} AS y, {near} AS near, {odd} AS odd, {done} AS done)"
+
+
+_NONE = "filter({0}, e -> false)"
+
+
+def _frame(x: str, y: str, h: str) -> str:
+    return f"struct({x} AS x, {y} AS y, {x} * {h} AS x0, ({x} + 1) * {h} AS x1, {y} * {h} AS y0, ({y} + 1) * {h} AS y1)"
+
+
+def _touches(t: str, near: str, odd: str) -> str:
+    """Whether an edge passes through a tile, or its middle has an odd number of edges to its left."""
+    mx, my = f"({t}.x0 + {t}.x1) / 2", f"({t}.y0 + {t}.y1) / 2"
+    turn = f"(e.x2 - e.x1) * ({my} - e.y1) - (e.y2 - e.y1) * ({mx} - e.x1)"
+    # The line has corners on both sides if its distance from the middle is within the tile's half, put as turns.
+    passes = (f"exists({near}, e -> least(e.x1, e.x2) < {t}.x1 AND greatest(e.x1, e.x2) >= {t}.x0 AND least(e.y1, e.y2) < {t}.y1 "
+              f"AND greatest(e.y1, e.y2) >= {t}.y0 AND abs({turn}) <= (abs(e.x2 - e.x1) + abs(e.y2 - e.y1)) * ({t}.x1 - {t}.x0) / 2)")
+    left = f"size(filter({near}, e -> (e.y1 > {my}) <> (e.y2 > {my}) AND ({turn} < 0) = (e.y2 > e.y1))) % 2 = 1"
+    return f"({passes} OR {odd} <> ({left}))"
+
+
 def _start(min_zoom: int, max_zoom: int) -> str:
-    """The deepest tile that holds all of the edges ``near``, and the tiles above it from ``min_zoom`` on, as done."""
+    """A feature's first nodes.  If its box has ``FEW`` tiles at most at the last zoom: its tiles, each tested by
+    itself.  Else the deepest tile that holds all of the edges ``near``, and the tiles above it, as done."""
     box = ", ".join(f"array_{f}(transform(near, e -> {g}(e.{c}1, e.{c}2))) AS {c}{n}"
                     for c in "xy" for n, f, g in ((0, "min", "least"), (1, "max", "greatest")))
-    same = " AND ".join(f"floor(b.{c}0 * pow(2D, z)) = floor(b.{c}1 * pow(2D, z))" for c in "xy")
-    zoom = f"element_at(filter(sequence({max_zoom}, 0, -1), z -> {same}), 1)"
-    at = f"transform(array(struct({box})), b -> struct(b.x0 AS x0, b.y0 AS y0, {zoom} AS z))"
-    tile = _node("u", "floor(v.x0 * pow(2D, u))", "floor(v.y0 * pow(2D, u))", "IF(u = v.z, near, filter(near, e -> false))", "false",
-                 "u < v.z")
-    return f"flatten(transform({at}, v -> transform(sequence(least({min_zoom}, v.z), v.z), u -> {tile})))"
-
-
-def _node(z: str, x: str, y: str, near: str, odd: str, done: str = "false") -> str:
-    return f"struct({z} AS z, {x} AS x, {y} AS y, {near} AS near, {odd} AS odd, {done} AS done)"
+    at = {k: f"floor(b.{k} * pow(2D, z))" for k in ("x0", "x1", "y0", "y1")}
+    zoom = f"element_at(filter(sequence({max_zoom}, 0, -1), z -> {at['x0']} = {at['x1']} AND {at['y0']} = {at['y1']}), 1)"
+    first = (f"transform(array({zoom}), v -> transform(sequence(least({min_zoom}, v), v), z -> "
+             + _node("z", at["x0"], at["y0"], f"IF(z = v, near, {_NONE.format('near')})", "false", "z < v") + "))[0]")
+    frames = (f"flatten(transform(sequence({at['x0']}, {at['x1']}), x -> transform(sequence({at['y0']}, {at['y1']}), y -> "
+              f"{_frame('x', 'y', 'pow(2D, -z)')})))")
+    tested = f"filter({frames}, t -> {_touches('t', 'near', 'false')})"
+    each = (f"flatten(transform(sequence({min_zoom}, {max_zoom}), z -> transform({tested}, t -> "
+            + _node("z", "t.x", "t.y", _NONE.format("near"), "false", "true") + ")))")
+    side = "(floor(b.{0}1 * {1}D) - floor(b.{0}0 * {1}D) + 1)"
+    few = f"{side.format('x', 2.0 ** max_zoom)} * {side.format('y', 2.0 ** max_zoom)} <= {FEW}"
+    return f"transform(array(struct({box})), b -> IF({few}, {each}, {first}))[0]"
 
 
 def _children(node: str) -> str:
     """Those of a tile's four children that the feature touches.
 
     ``near`` are the edges that meet a tile's rows and do not lie right of it; an edge to the left that
-    spans all its rows only counts (``odd``).  So the middle is inside when edges to its left are odd in number."""
-    h = f"pow(2D, -1 - {node}.z)"
+    spans all its rows only counts (``odd``)."""
     x, y = f"({node}.x * 2 + c % 2)", f"({node}.y * 2 + c DIV 2)"
-    frame = (f"struct({x} AS x, {y} AS y, {x} * {h} AS x0, ({x} + 1) * {h} AS x1, {y} * {h} AS y0, ({y} + 1) * {h} AS y1)")
     left = "greatest(e.x1, e.x2) < t.x0 AND least(e.y1, e.y2) < t.y0 AND greatest(e.y1, e.y2) >= t.y1"
     near = (f"filter({node}.near, e -> least(e.y1, e.y2) < t.y1 AND greatest(e.y1, e.y2) >= t.y0 AND least(e.x1, e.x2) < t.x1 "
             f"AND NOT ({left}))")
     odd = f"{node}.odd <> (size(filter({node}.near, e -> {left})) % 2 = 1)"
-    tiles = f"transform(transform(sequence(0, 3), c -> {frame}), t -> struct(t AS t, {near} AS near, {odd} AS odd))"
-
-    def turn(x: str, y: str) -> str:
-        return f"(e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1)"
-
-    mx, my = "(k.t.x0 + k.t.x1) / 2", "(k.t.y0 + k.t.y1) / 2"
-    # The line has corners on both sides if its distance from the middle is within the tile's half, put as turns.
-    passes = ("exists(k.near, e -> least(e.x1, e.x2) < k.t.x1 AND greatest(e.x1, e.x2) >= k.t.x0 AND least(e.y1, e.y2) < k.t.y1 "
-              f"AND greatest(e.y1, e.y2) >= k.t.y0 AND abs({turn(mx, my)}) <= (abs(e.x2 - e.x1) + abs(e.y2 - e.y1)) * (k.t.x1 - k.t.x0) / 2)")
-    before = f"size(filter(k.near, e -> (e.y1 > {my}) <> (e.y2 > {my}) AND ({turn(mx, my)} < 0) = (e.y2 > e.y1))) % 2 = 1"
-    taken = f"filter({tiles}, k -> {passes} OR k.odd <> ({before}))"
+    frames = f"transform(sequence(0, 3), c -> {_frame(x, y, f'pow(2D, -1 - {node}.z)')})"
+    tiles = f"transform({frames}, t -> struct(t AS t, {near} AS near, {odd} AS odd))"
+    taken = f"filter({tiles}, k -> {_touches('k.t', 'k.near', 'k.odd')})"
     return f"transform({taken}, k -> {_node(f'{node}.z + 1', 'k.t.x', 'k.t.y', 'k.near', 'k.odd')})"
 
 
 def _descend(to: int, min_zoom: int) -> str:
     """``node`` taken down to zoom ``to``; its tiles on the way from ``min_zoom`` on stay, marked as done."""
-    done = _node("n.z", "n.x", "n.y", "filter(n.near, e -> false)", "false", "true")
+    done = _node("n.z", "n.x", "n.y", _NONE.format("n.near"), "false", "true")
     grown = f"concat(filter(array({done}), d -> d.z >= {min_zoom}), {_children('n')})"
     level = f"flatten(transform(open, n -> IF(n.done, array(n), {grown})))"
     return (f"IF(node.z < {to} AND NOT node.done, aggregate(sequence(node.z, {to - 1}), array(node), (open, z) -> {level}), "

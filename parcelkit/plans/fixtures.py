@@ -203,3 +203,24 @@ def fx_shapes(spark: SparkSession, sf_dir: str, unit: int = 100) -> DataFrame:
     placed = c.select("c_custkey", "c_name", number.alias("m"), (F.lit(-75280000) + (k % 100) * F.lit(3000)).alias("lon"),
                       (F.lit(39870000) + (F.expr("c_custkey div 100") % 100) * F.lit(2000)).alias("lat"))
     return placed.select(_s(k).alias("brt_id"), F.col("c_name").alias("address"), shape.alias("geometry"))
+
+
+def fx_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A parcel export with all of its listed columns, from customers."""
+    p = fx_parcels(spark, sf_dir).drop("property_id").withColumnRenamed("geometry", "g")
+    k = F.col("brt_id").cast("bigint")
+    return p.select(
+        _s(k + 100).alias("objectid"), _s(k * 3).alias("parcelid"), F.lpad(F.col("brt_id"), 10, "0").alias("tencode"), "address",
+        F.concat(F.lit('O, "'), F.col("address"), F.lit('"')).alias("owner1"), F.when(k % 3 == 0, F.lit("JOINT")).alias("owner2"),
+        _s(k % 5).alias("bldg_code"), F.concat(F.lit("CLASS "), _s(k % 5)).alias("bldg_desc"), "brt_id", F.lit("1").alias("num_brt"),
+        _s(k % 2 + 1).alias("num_accounts"), _s(k * 10).alias("gross_area"), _s(k + 1000000).alias("pin"),
+        _s(k * 7).alias("parcel_id"), F.col("g").alias("geometry"))
+
+
+def fx_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales with a prediction beside the price."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat(_s(F.col("l_orderkey")), F.lit("-"), _s(F.col("l_linenumber"))).alias("property_id"),
+        (F.col("l_quantity") * 1000).alias("sale_price"), _s(F.col("l_suppkey") % 60 + 19100).alias("zip_code"),
+        (F.col("l_quantity") * 1000 * (F.lit(1.0) + F.col("l_discount") - F.col("l_tax"))).alias("predicted_value"))

@@ -4,21 +4,27 @@ back through the operator under test, so the work grows with the table."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelkit.functions.geo import with_polygons
+from parcelkit.operators import lookup as L
 from parcelkit.operators.tiles import read_tiles, write_tiles
 from parcelkit.plans import fixtures as X
 from parcelkit.plans import products as P
 from parcelkit.plans.queries import PRED_BIN_WIDTH, PRED_TIE, register, rounded, tile_frame
 from parcelkit.session import shared_dir, stored
-from parcelkit.sources import files, sinks
+from parcelkit.sources import files, layers, sinks
 from parcelkit.streaming.ingest import prepare_stream
 
 
 # Fixed value: rows per page of an export.
 PAGE_ROWS = 50000
+# Fixture scale: pages of the parcel export, and texts searched for.
+EXPORT_PAGE_ROWS = 400
+SEARCHES = ["customer#00000", " Customer#0000012", "customer#0%9", "customer#00000_2", "nowhere"]
 
 
 def _land_csv(df: DataFrame, path: str) -> None:
@@ -74,9 +80,45 @@ def q_src_jsonl(spark, d):
 
 @register("ctas_roundtrip")
 def q_ctas_roundtrip(spark, d):
-    path = shared_dir(spark, "derived-tax-year-bins")
-    return sinks.replace_table(spark, P.tax_year_bins(X.fx_assess(spark, d)), "derived",
-                               "tax_year_assessment_bins", path)
+    """A derived table, created and then replaced by its rows."""
+    layers.create_layers(spark, shared_dir(spark, "layers"))
+    bins = P.tax_year_bins(X.fx_assess(spark, d))
+    layers.publish(bins.where("tax_year % 2 = 0"), "derived", "tax_year_assessment_bins")
+    layers.publish(bins, "derived", "tax_year_assessment_bins")
+    return spark.table("derived.tax_year_assessment_bins")
+
+
+@register("layer_tables")
+def q_layer_tables(spark, d):
+    """Text rows in the source layer, typed ones in core, bins in derived: each step reads the layer before by name."""
+    from parcelkit.plans.job import core_assessments
+    layers.create_layers(spark, shared_dir(spark, "layers"), "weekly_")
+    a = X.fx_assess(spark, d).drop("property_id", "assessment_id")
+    layers.publish(a.select(*[F.col(c).cast("string").alias(c) for c in a.columns]), "weekly_source", "assessments")
+    layers.publish(core_assessments(spark.table("weekly_source.assessments")), "weekly_core", "assessments", ["year"])
+    layers.publish(P.tax_year_bins(spark.table("weekly_core.assessments")), "weekly_derived", "tax_year_bins")
+    return spark.table("weekly_derived.tax_year_bins")
+
+
+@register("indexed_search")
+def q_indexed_search(spark, d):
+    """Address searches through the index: with and without wildcards, and without a match."""
+    layers.create_layers(spark, shared_dir(spark, "layers"))
+    L.write_search_index(X.fx_search(spark, d), "derived", "property_search")
+    index = spark.table("derived.property_search")
+    found = [L.indexed_search(index, t).select(F.lit(t).alias("asked"), "property_id", "location", "owner_1", "market_value")
+             for t in SEARCHES]
+    return rounded(reduce(DataFrame.unionByName, found))
+
+
+@register("src_parcel_pages")
+def q_src_parcel_pages(spark, d):
+    """An export of parcels with all listed columns, in pages of ``EXPORT_PAGE_ROWS`` rows, the last one short."""
+    path = shared_dir(spark, "land-export")
+    rows = X.fx_export(spark, d).coalesce(1)
+    (rows.select(*[F.col(c).cast("string").alias(c.upper()) for c in rows.columns]).write.mode("overwrite")
+     .option("header", True).option("maxRecordsPerFile", EXPORT_PAGE_ROWS).option("escape", '"').csv(path))
+    return files.read_pages(spark, path, files.PARCEL_COLUMNS, page_rows=EXPORT_PAGE_ROWS)
 
 
 @register("chart_config_json")

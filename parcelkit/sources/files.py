@@ -49,10 +49,23 @@ def read_text_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return df.na.fill("")
 
 
-def read_pages(spark: SparkSession, directory: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_pages(spark: SparkSession, directory: str, columns: Sequence[str] | None = None,
+               page_rows: int | None = None) -> DataFrame:
     """Page files of one export (each with its header) read as one table;
-    blank lines are skipped, headers of every page are dropped."""
-    df = _lower(spark.read.csv(directory, header=True, escape='"', inferSchema=False))
+    blank lines are skipped, headers of every page are dropped.
+
+    With ``page_rows`` the pages, in order of their file names, end at the first short or empty one, as a
+    reader would that asks for page after page; a header alone counts as empty.  Rows are counted by page in
+    one pass, combined before the shuffle."""
+    raw = spark.read.csv(directory, header=True, escape='"', inferSchema=False)
+    page = F.col("_metadata.file_name")
+    if page_rows is not None:
+        held = raw.groupBy(page.alias("page")).agg(F.count(F.lit(1)).alias("n"))
+        pages = spark.read.format("binaryFile").load(directory).select(page.alias("page"))
+        short = F.coalesce(F.col("n"), F.lit(0)) < page_rows
+        last = pages.join(held, "page", "left").agg(F.min(F.when(short, F.col("page")))).scalar()
+        raw = raw.where(page <= F.coalesce(last, page))
+    df = _lower(raw)
     if columns is not None:
         missing = [c for c in columns if c not in df.columns]
         if missing:

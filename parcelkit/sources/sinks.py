@@ -1,4 +1,4 @@
-"""Writers (I5, I6, I9, I11-I14).  Counts come from an ``Observation`` on
+"""Writers (I5, I6, I11-I14).  Counts come from an ``Observation`` on
 the same pass as the write; JSON documents are built by aggregates over
 already-small frames (bins, per-field statistics)."""
 
@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -34,14 +34,6 @@ def write_jsonl_counted(df: DataFrame, path: str) -> int:
     return int(obs.get["rows"])
 
 
-def replace_table(spark: SparkSession, df: DataFrame, layer: str, name: str, path: str) -> DataFrame:
-    """Create-or-replace ``layer.name`` as an external Parquet table at ``path``; a new layer's folder lies
-    beside it."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{path.rstrip('/').rpartition('/')[0]}/{layer}'")
-    df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(f"{layer}.{name}")
-    return spark.table(f"{layer}.{name}")
-
-
 def bins_document(bins: DataFrame, year_col: str | None = "tax_year") -> DataFrame:
     """One-row frame holding the ordered JSON array of bins.
 
