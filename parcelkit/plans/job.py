@@ -4,13 +4,16 @@ raw CSV pages -> all-string Parquet -> typed core tables -> training
 rows -> forest -> predictions -> bins, tile table, style metadata,
 chart documents, tile tree.  Training rows are rebuilt *before* the
 model is trained (the source workflow trains on last week's rows).
-Every product is written whole (overwrite) under ``root``; lineage is
-cut at each written table, so a lost executor only recomputes the stage
-it was running.
+Every table of the layers source, core and derived is written whole as a new
+version and then switched to in one step (``sources.layers``): a run that
+dies leaves last week's tables, and every step reads the layer before by
+name.  Lineage is cut at each written table, so a lost executor only
+recomputes the stage it was running.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +22,13 @@ from pyspark.sql import functions as F
 from parcelkit.functions.casts import retype
 from parcelkit.functions.geo import with_polygons
 from parcelkit.operators.features import assessment_inputs, feature_frame, training_rows
-from parcelkit.operators.model import fit_forest, predict
+from parcelkit.operators.lookup import write_key_index, write_search_index
+from parcelkit.operators.model import evaluate, fit_version, predict
 from parcelkit.operators.tiles import write_tiles
 from parcelkit.plans import products
 from parcelkit.sources.files import read_raw_csv, read_text_csv
-from parcelkit.sources.sinks import geojson_features, write_parquet_counted, write_text
+from parcelkit.sources.layers import create_layers, publish
+from parcelkit.sources.sinks import geojson_features, write_text
 
 # Typed columns of the core tables.
 PROPERTY_TYPES = {
@@ -47,6 +52,7 @@ class Paths:
     assessments_csv: str
     parcels_csv: str
     root: str
+    prefix: str = ""        # of the layers' names
 
 
 def core_properties(raw: DataFrame) -> DataFrame:
@@ -67,63 +73,60 @@ def core_parcels(raw: DataFrame) -> DataFrame:
     return products.core_parcel_geometry(keyed)
 
 
-def run(spark: SparkSession, paths: Paths, trees: int = 200, depth: int = 10,
+def run(spark: SparkSession, paths: Paths, trees: int | None = None, depth: int | None = None,
         as_of: str | None = None) -> dict[str, int]:
-    out = paths.root.rstrip("/")
+    out, version = paths.root.rstrip("/"), uuid.uuid4().hex[:12]
     counts: dict[str, int] = {}
+    create_layers(spark, out, paths.prefix)
+
+    def put(layer: str, name: str, df: DataFrame, parts: tuple[str, ...] = ()) -> DataFrame:
+        counts[f"{layer}.{name}"] = publish(df, f"{paths.prefix}{layer}", name, parts)
+        return table(layer, name)
+
+    def table(layer: str, name: str) -> DataFrame:
+        return spark.table(f"`{paths.prefix}{layer}`.`{name}`")
+
     # prepare: all-string Parquet (splittable CSV for properties and
     # assessments, quoted newlines allowed for parcels)
-    counts["source.properties"] = write_parquet_counted(
-        read_raw_csv(spark, paths.properties_csv), f"{out}/source/properties")
-    counts["source.assessments"] = write_parquet_counted(
-        read_raw_csv(spark, paths.assessments_csv), f"{out}/source/assessments")
-    counts["source.parcels"] = write_parquet_counted(
-        read_text_csv(spark, paths.parcels_csv), f"{out}/source/parcels")
+    put("source", "properties", read_raw_csv(spark, paths.properties_csv))
+    put("source", "assessments", read_raw_csv(spark, paths.assessments_csv))
+    put("source", "parcels", read_text_csv(spark, paths.parcels_csv))
     # core
     # assessments are laid out by year: the tile table's "latest tax year"
     # scalar subquery then prunes to one folder at run time
-    for name, fn, parts in (("properties", core_properties, ()),
-                            ("assessments", core_assessments, ("year",)),
-                            ("parcels", core_parcels, ())):
-        src = spark.read.parquet(f"{out}/source/{name}")
-        counts[f"core.{name}"] = write_parquet_counted(fn(src), f"{out}/core/{name}", parts)
-    props = spark.read.parquet(f"{out}/core/properties")
-    assess = spark.read.parquet(f"{out}/core/assessments").withColumn(
-        "year", F.col("year").cast("bigint"))
-    parcels = spark.read.parquet(f"{out}/core/parcels")
-    # training rows, then model, then predictions
-    counts["derived.training"] = write_parquet_counted(training_rows(props), f"{out}/derived/training")
-    train = feature_frame(spark.read.parquet(f"{out}/derived/training"), "deployed", as_of)
-    feats = [c for c in train.columns if c != "sale_price"]
-    cats = ["zip_code", "category_code_description", "building_code_description"]
-    model, _ = fit_forest(train, [c for c in feats if c not in cats], cats,
-                          trees=trees, depth=depth)
+    props = put("core", "properties", core_properties(table("source", "properties")))
+    assess = put("core", "assessments", core_assessments(table("source", "assessments")), ("year",))
+    parcels = put("core", "parcels", core_parcels(table("source", "parcels")))
+    # for lookups: the same rows sorted by address, and by key
+    counts["derived.property_search"] = write_search_index(props, f"{paths.prefix}derived", "property_search")
+    counts["derived.property_keys"] = write_key_index(props, f"{paths.prefix}derived", "property_keys")
+    counts["derived.assessment_keys"] = write_key_index(assess, f"{paths.prefix}derived", "assessment_keys", ["year"])
+    # training rows, then model, its error on held-out rows, then predictions
+    training = put("derived", "training", training_rows(props))
+    train = feature_frame(training, "deployed", as_of, keep=["property_id"])
+    model, held = fit_version(train, "deployed", trees=trees, depth=depth)
     model.write().overwrite().save(f"{out}/derived/model")
+    mean = train.agg(F.avg("sale_price")).first()[0]
+    put("derived", "model_metrics", evaluate(model, held, mean, groups={"zip_code": F.col("zip_code")}))
     scoring = feature_frame(props, "deployed", as_of, label=None, keep=["property_id"],
                             for_predict=True)
-    preds = predict(model, scoring)
-    counts["derived.current_assessments"] = write_parquet_counted(
-        preds, f"{out}/derived/current_assessments")
-    preds = spark.read.parquet(f"{out}/derived/current_assessments")
+    preds = put("derived", "current_assessments", predict(model, scoring))
     # products
-    counts["derived.tax_year_bins"] = write_parquet_counted(
-        products.tax_year_bins(assess), f"{out}/derived/tax_year_bins")
-    counts["derived.current_bins"] = write_parquet_counted(
-        products.current_bins(preds), f"{out}/derived/current_bins")
-    counts["derived.tax_year_assessments"] = write_parquet_counted(
-        products.tax_year_assessments(assess), f"{out}/derived/tax_year_assessments")
-    counts["derived.assessment_inputs"] = write_parquet_counted(
-        assessment_inputs(props, as_of), f"{out}/derived/assessment_inputs")
-    ti = products.tile_info(props, parcels, assess, preds)
-    counts["derived.tile_info"] = write_parquet_counted(ti, f"{out}/derived/tile_info")
-    ti = spark.read.parquet(f"{out}/derived/tile_info")
+    put("derived", "tax_year_bins", products.tax_year_bins(assess))
+    put("derived", "current_bins", products.current_bins(preds))
+    put("derived", "tax_year_assessments", products.tax_year_assessments(assess))
+    put("derived", "assessment_inputs", assessment_inputs(props, as_of))
+    ti = put("derived", "tile_info", products.tile_info(props, parcels, assess, preds))
     write_text(products.tile_style_metadata(ti), "document", f"{out}/public/style")
     tax_doc, cur_doc = products.chart_configs(assess, preds)
     write_text(tax_doc, "document", f"{out}/public/tax_year_bins")
     write_text(cur_doc, "document", f"{out}/public/current_bins")
     feats_df = geojson_features(ti, carry=("geog",))
     write_text(feats_df, "feature", f"{out}/public/features")
-    write_tiles(with_polygons(feats_df, "geog", check_shapes=False), f"{out}/public/tiles")
+    # a fresh tree of tiles; the table of its objects, with the tree's folder, becomes the current one in one step
+    tree = f"{out}/public/tiles/{version}"
+    put("derived", "tiles", write_tiles(with_polygons(feats_df, "geog", check_shapes=False), tree)
+        .withColumn("tree", F.lit(tree)))
     return counts
 
 
@@ -138,13 +141,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("assessments_csv")
     ap.add_argument("parcels_csv")
     ap.add_argument("root")
-    ap.add_argument("--trees", type=int, default=200)
-    ap.add_argument("--depth", type=int, default=10)
+    ap.add_argument("--trees", type=int, default=None, help="instead of the deployed version's")
+    ap.add_argument("--depth", type=int, default=None)
+    ap.add_argument("--prefix", default="", help="of the layers' names")
     ap.add_argument("--as-of", default=None)
     ap.add_argument("--input-bytes", type=float, default=None, help="size of the inputs, for the shuffle partitions")
     a = ap.parse_args(argv)
     spark = get_session(extra=cluster_conf(input_bytes=a.input_bytes))
-    counts = run(spark, Paths(a.properties_csv, a.assessments_csv, a.parcels_csv, a.root),
+    counts = run(spark, Paths(a.properties_csv, a.assessments_csv, a.parcels_csv, a.root, a.prefix),
                  trees=a.trees, depth=a.depth, as_of=a.as_of)
     print(json.dumps(counts))
 

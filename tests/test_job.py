@@ -47,22 +47,35 @@ def test_job_end_to_end(spark, tmp_path):
                                      "taxable_building", "exempt_land", "exempt_building"], assess)
     _write(d / "parcels" / "g.csv", ["objectid", "BRT_ID", "address", "geometry"], parcels)
     out = str(tmp_path / "out")
-    counts = run(spark, Paths(str(d / "props"), str(d / "assess"), str(d / "parcels"), out),
+    counts = run(spark, Paths(str(d / "props"), str(d / "assess"), str(d / "parcels"), out, "job_"),
                  trees=3, depth=3, as_of="2026-06-30")
     assert counts["core.properties"] == 120 and counts["core.assessments"] == 360
-    core = spark.read.parquet(f"{out}/core/properties")
+    core = spark.table("job_core.properties")
     assert dict(core.dtypes)["sale_price"].startswith("decimal")
     assert "unknown_extra" in core.columns and core.columns[0] == "property_id"
     assert counts["derived.current_assessments"] > 0
-    bins = spark.read.parquet(f"{out}/derived/tax_year_bins")
+    bins = spark.table("job_derived.tax_year_bins")
     assert bins.groupBy().sum("property_count").collect()[0][0] == 360
-    tile = spark.read.parquet(f"{out}/derived/tile_info")
+    tile = spark.table("job_derived.tile_info")
     assert tile.where("geog IS NULL").count() == 0
-    assert "event_id" not in spark.read.parquet(f"{out}/derived/current_assessments").columns
-    assert spark.read.parquet(f"{out}/derived/assessment_inputs").count() == 120
+    assert "event_id" not in spark.table("job_derived.current_assessments").columns
+    assert spark.table("job_derived.assessment_inputs").count() == 120
     from parcelkit.functions.geo import with_polygons
     from parcelkit.operators.tiles import tile_assign
     want = tile_assign(with_polygons(tile.select("property_id", "geog"), "geog")).count()
-    assert spark.read.text(f"{out}/public/tiles").count() == want
+    tiles = spark.table("job_derived.tiles")
+    (tree,) = {r.tree for r in tiles.select("tree").distinct().collect()}
+    assert tree.startswith(f"{out}/public/tiles/") and spark.read.option("recursiveFileLookup", True).text(tree).count() == want
+    assert tiles.agg({"kept_count": "sum"}).first()[0] == want
+    metrics = {(r.grouping, r.value): r for r in spark.table("job_derived.model_metrics").collect()}
+    assert metrics["all", "all"].n_rows > 0 and metrics["all", "all"].rmse > 0
+    from parcelkit.operators.lookup import indexed_search, prefix_search, profile_of
+    props = spark.table("job_core.properties")
+    for text in ("1", "1%", ""):
+        got = indexed_search(spark.table("job_derived.property_search"), text).collect()
+        assert [r.property_id for r in got] == [r.property_id for r in prefix_search(props, text).collect()]
+    key = props.first().property_id
+    (one,) = profile_of([key], spark.table("job_derived.property_keys"), spark.table("job_derived.assessment_keys")).collect()
+    assert one.property_id == key and len(one.assessments) == 3
     style = spark.read.text(f"{out}/public/style").collect()[0][0]
     assert '"layers"' in style
