@@ -200,16 +200,19 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 2, doc_i
     """``docs`` without the rows whose id is not the smallest of their component.  Rows with a null id stay; of an
     id with several texts each row is judged by its own text."""
     rows = simhash_components(docs, shingle, max_bits, doc_id, text).where("doc_id is not null")
-    ids = (rows.groupBy(F.col("doc_id").alias("_id")).agg(F.bool_or("kept").alias("_some"), F.bool_and("kept").alias("_all"))
-           .where("not _all").select("_id", "_some"))
-    gone = rows.where("not kept").select(F.col("doc_id").alias("_gone"), F.col("fingerprint").alias("_fp")).distinct()
+    taken = {c.lower() for c in docs.columns}
+    id_, some, gone_id, gone_fp, own_fp = (f"_{'x' * max(map(len, taken))}{c}" for c in "abcde")    # longer than any column's name
+    ids = (rows.groupBy(F.col("doc_id").alias(id_)).agg(F.bool_or("kept").alias(some), F.bool_and("kept").alias("whole"))
+           .where("not whole").select(id_, some))
+    gone = rows.where("not kept").select(F.col("doc_id").alias(gone_id), F.col("fingerprint").alias(gone_fp)).distinct()
 
     @F.pandas_udf("string")
     def hexes(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else f"{fingerprint(t, shingle):016x}")
 
     own = F.col(doc_id).cast("long")
-    left = docs.join(ids, own == F.col("_id"), "left").where("_some is null or _some")
-    left = left.withColumn("_own", hexes(F.when(F.col("_some"), F.coalesce(text, F.lit("")))))
-    return (left.join(gone, (F.col("_own") == F.col("_fp")) & (F.col("_id") == F.col("_gone")), "left_anti")
-            .drop("_id", "_some", "_own"))
+    left = docs.join(ids, own == F.col(id_), "left").where(F.col(some).isNull() | F.col(some))
+    left = left.withColumn(own_fp, hexes(F.when(F.col(some), F.coalesce(text, F.lit("")))))
+    # Nearly all rows have no fingerprint here: they match nothing, and are dealt by id, or by text without an id.
+    apart = (F.coalesce(own_fp, F.lit("")) == F.col(gone_fp)) & (F.coalesce(own, F.xxhash64(text)) == F.col(gone_id))
+    return left.join(gone, apart, "left_anti").select(*docs.columns)

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from parcelkit.llm import anchor_simhash as sh
 from parcelkit.llm.components import connected_components, local_roots
@@ -122,3 +123,13 @@ def test_links_through_rows_without_id_and_ids_of_two_texts(spark):
     assert {r[2] for r in got if r[0] in (5, 9)} == {5}
     kept = [tuple(r) for r in sh.drop_near_copies(df).collect()]
     assert sorted(kept, key=str) == sorted([r for r in rows if r[0] is None or r[0] in (5, 8) or r == (7, apart)], key=str)
+
+
+def test_clashing_names_and_rows_without_fingerprint_are_dealt_apart(spark, odd_docs):
+    odd = odd_docs.withColumnsRenamed({"n_tokens": "_id", "ids": "_own"}).withColumns({c: F.lit(1) for c in ("_some", "_fp", "whole", "kept")})
+    got = sh.drop_near_copies(odd)
+    assert got.columns == odd.columns
+    assert sorted(r.doc_id for r in got.collect() if r.doc_id is not None) == [0, 1, 4, 4, 5]
+    assert sum(r.doc_id is None for r in got.collect()) == 1
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "coalesce" in plan.split("LeftAnti")[1].split("\n")[0]
