@@ -136,3 +136,78 @@ def test_query_is_of_order_3(spark):
     print("held-out log10 probability", two, three)
     assert abs(two - three) > 1
     assert three == pytest.approx(sum(r.score for r in nt.score_texts(df, order=3).where("held_out").collect()))
+
+
+def test_trigrams_of_frequent_bigrams_are_split(spark, monkeypatch):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    plain = {r.doc_id: r.score for r in nt.score_texts(df, order=3).collect()}
+    monkeypatch.setattr(nt, "COPIES", 400.0)
+    monkeypatch.setattr(nt, "PAIR_STEP", 3)
+    split = {r.doc_id: r.score for r in nt.score_texts(df, order=3).collect()}
+    assert split.keys() == plain.keys()
+    assert all(split[k] == pytest.approx(plain[k], rel=1e-12) for k in plain)
+
+
+def test_a_block_splits_and_names_its_trigrams():
+    words = [b"a b c%d" % k for k in range(300)]
+    a, b = nt.tokens([b"a b"])[0][:2]
+    hot = nt.Hot(np.array([nt.START]), np.array([1]), np.array([nt.pair_hash(a, b)]), np.array([5]))
+    block = nt.Block(words, np.ones(300, bool), hot, 8, 3)
+    mine = np.flatnonzero((block.words[block.left] == a) & (block.words[block.right] == b))
+    assert len(mine) == 5 == len(set(block.pair_bucket[mine].tolist()))
+    assert block.seen[mine].tolist() == [300] * 5 and (block.pair_tris[mine] > 0).all()
+    assert block.pair_tris[mine].sum() == 300
+    got = [(n, nt.Request(data, hot)) for n, data in block.requests()]
+    assert sum(len(r.third) for _, r in got) == len(block.tri_pair) == sum(int(r.tris.sum()) for _, r in got)
+    assert sum(int(r.tri_seen.sum()) for _, r in got) == 900
+    assert sum(int(r.count.sum()) for _, r in got) == 1200
+
+
+def test_trie_leads_from_bigrams_to_trigrams():
+    rng = np.random.default_rng(6)
+    contexts = np.unique(rng.integers(0, 2**62, 40).astype(nt.U64) * nt.U64(4))
+    words = np.unique(rng.integers(0, 2**40, 50))
+    two = np.unique(rng.integers(0, len(contexts) * len(words), 500))
+    three = np.unique(rng.integers(0, len(two) * len(words), 3000))
+    share = rng.random(len(three))
+    trie = nt.Trie(contexts, two // len(words), words[two % len(words)], np.ones(len(two)),
+                   three // len(words), words[three % len(words)], share)
+    number = trie.vocabulary.find(words)
+    place = trie.bigrams(contexts, two // len(words), number[two % len(words)])
+    assert place.tolist() == list(range(len(two)))
+    every = np.arange(len(two) * len(words))
+    at = trie.trigrams(place, every // len(words), number[every % len(words)])
+    assert every[at >= 0].tolist() == three.tolist()
+    codes = nt.code_at(trie.third_codes, at)
+    assert (np.abs(nt.LOWEST + nt.STEP * codes[at >= 0] - np.log10(share)) <= nt.STEP / 2 + 1e-9).all()
+    assert not codes[at < 0].any()
+    assert (trie.trigrams(np.full(5, -1), np.arange(5), number[:5]) == -1).all()
+    assert (trie.trigrams(place, np.arange(5), np.full(5, -1)) == -1).all()
+
+
+def test_counts_of_any_size():
+    v = np.array([0, 1, 254, 255, 256, 2**40])
+    assert nt.large(*nt.small(v)).tolist() == v.tolist()
+
+
+def test_followers_named_by_rank():
+    rng = np.random.default_rng(7)
+    words = rng.integers(0, 2**63, 400).astype(nt.U64)
+    hot = nt.Hot(words[:3], np.ones(3), np.zeros(0, nt.U64), np.zeros(0, np.int64), words[:100])
+    followers = (words >> nt.U64(24)).astype(np.int64)[rng.integers(0, 400, 5000)]
+    code = hot.code(followers)
+    rest = followers[code == 0xFFFF]
+    named = (words[:100] >> nt.U64(24)).astype(np.int64)
+    assert (code == 0xFFFF).tolist() == (~np.isin(followers, named)).tolist() and 0 < len(rest) < 5000
+    got = hot.unname(code, (rest & 0xFFFFFFFF).astype(np.uint32), (rest >> 32).astype(np.uint8))
+    assert got.tolist() == followers.tolist()
+    assert len(hot.code(followers[:0])) == 0
+
+
+@pytest.mark.parametrize("top", [3, 1000, 2**62])
+def test_ranked_is_unique(top):
+    for n in (0, 1, 700):
+        x = np.random.default_rng(n).integers(0, top, n)
+        keys, number = nt.ranked(x)
+        want, of = np.unique(x, return_inverse=True)
+        assert keys.tolist() == want.tolist() and number.tolist() == of.tolist()
