@@ -50,6 +50,7 @@ from parcelkit.llm.common import (
 MU = 2.0
 HOT_WORDS = (1 << 16) - 1  # most entries of either list of frequent words and bigrams
 HOT_EACH = 4096           # of these, from one bucket
+LEAST = 1 << 22           # a word is looked at for that list if it holds more than one token in so many
 DEAL_BYTES = 32 << 20     # text that is dealt to blocks at a time
 PAIR_STEP = 64            # every how manieth token is looked at for frequent bigrams
 COPIES = 1.0              # buckets that a frequent bigram's trigrams get for each bucket's share of tokens
@@ -607,7 +608,7 @@ def _vocabulary(train: DataFrame, buckets: int) -> tuple[int, int, Hot]:
             "t.n", "t.h").where(F.col("n") > least).orderBy(F.desc("n"), "h").limit(HOT_WORDS).collect()
         return np.array([r.h for r in found], np.int64).astype(U64), np.array([r.n for r in found], np.int64)
 
-    word, count = frequent("top_n", "top_h", 0)
+    word, count = frequent("top_n", "top_h", (row.n or 0) / LEAST)      # fewer than LEAST words, whatever the corpus
     pair, seen = frequent("pair_n", "pair_h", (row.looked or 0) / (COPIES * buckets))
     split = (count > (row.n or 0) / (4 * buckets)) & (word != END)
     copies = np.clip(np.ceil(seen / max(row.looked or 0, 1) * COPIES * buckets), 1, buckets).astype(np.int64)
