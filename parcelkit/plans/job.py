@@ -105,6 +105,8 @@ def run(spark: SparkSession, paths: Paths, trees: int | None = None, depth: int
     training = put("derived", "training", training_rows(props))
     train = feature_frame(training, "deployed", as_of, keep=["property_id"])
     model, held = fit_version(train, "deployed", trees=trees, depth=depth)
+    if model is None:
+        raise ValueError("no training rows: last week's model and predictions stay")
     model.write().overwrite().save(f"{out}/derived/model")
     mean = train.agg(F.avg("sale_price")).first()[0]
     put("derived", "model_metrics", evaluate(model, held, mean, groups={"zip_code": F.col("zip_code")}))

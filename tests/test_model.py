@@ -44,3 +44,35 @@ def test_unseen_category_and_null_numeric(spark):
         "total_area", F.lit(None).cast("double")).withColumn("property_id", F.lit("x"))
     out = predict(m, row).collect()
     assert len(out) == 1 and out[0].predicted_value is not None
+
+
+def _all_bundles(spark, folder):
+    """A lineitem table in which every sale shares its price and date with another one."""
+    rows = spark.range(400).selectExpr(
+        "id DIV 7 AS l_orderkey", "id * 31 % 200 AS l_partkey", "id % 10 AS l_suppkey", "CAST(id % 7 + 1 AS INT) AS l_linenumber",
+        "20D AS l_quantity", "30000D + id AS l_extendedprice", "0.05D AS l_discount", "0.02D AS l_tax", "'N' AS l_returnflag",
+        "'O' AS l_linestatus", "TIMESTAMP'1996-09-13' AS l_shipdate")
+    rows.write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_without_training_rows_every_property_is_listed(spark, tmp_path):
+    from parcelkit.plans.queries import REGISTRY
+    d = _all_bundles(spark, tmp_path / "t")
+    assert REGISTRY["training_data"](spark, d).count() == 0
+    s = X.fx_sale(spark, d)
+    score = FE.feature_frame(s, "deployed", X.AS_OF, label=None, keep=["property_id"], for_predict=True)
+    want = sorted(r.property_id for r in score.collect())
+    preds = REGISTRY["rf_train_predict"](spark, d).collect()
+    assert want and sorted(r.property_id for r in preds) == want and {r.predicted_value for r in preds} == {None}
+    checks = REGISTRY["rf_checks"](spark, d).collect()
+    assert sorted(r.property_id for r in checks) == want
+    assert {r.in_label_range for r in checks} == {False} and not any(r.beats_constant for r in checks)
+
+
+def test_numeric_column_without_values_is_left_out(spark):
+    _, train, nums = _train(spark)
+    empty = train.withColumn("total_area", F.lit(None).cast("double"))
+    m, _ = fit_forest(empty, nums, CATS, trees=2, depth=3, seed=1, eval_fraction=0)
+    out = predict(m, train.limit(1).withColumn("property_id", F.lit("x"))).collect()
+    assert len(out) == 1 and out[0].predicted_value is not None
