@@ -77,8 +77,8 @@ def geojson_features(df: DataFrame, geometry: str = "geog",
     feat = F.concat(F.lit('{"type":"Feature","geometry":'), shape,
                     F.lit(',"properties":'), props_json, F.lit("}"))
     extra = [c for c in carry if c not in props]
-    return df.where(F.col(geometry).isNotNull()).select(*props, *extra, feat.alias("feature")).where(
-        F.col("feature").isNotNull())
+    # Not a filter, which would be pushed down below a shuffle and parse the text a second time.
+    return df.select(*props, *extra, F.explode(F.filter(F.array(feat), lambda f: f.isNotNull())).alias("feature"))
 
 
 def write_text(df: DataFrame, col: str, path: str, compression: str | None = None) -> None:

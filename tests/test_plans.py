@@ -83,3 +83,23 @@ def test_geometry_is_parsed_after_the_join(spark):
 def test_correlations_are_plain_sums(spark):
     p = plan_of(E.queries()["corr_matrix"](spark, SF_SMALL))
     assert "corr(" not in p
+
+
+def test_geometry_is_parsed_in_many_tasks(spark, tmp_path):
+    """One row group of short rows makes one scan task; the parse must not stay in it, not even as a filter."""
+    from parcelkit.operators import tiles as T
+    from parcelkit.plans import queries as Q
+    d = str(tmp_path / "t")
+    (spark.range(1, 400).selectExpr("id AS c_custkey", "concat('C', id) AS c_name", "CAST(id % 5 AS INT) AS c_nationkey",
+                                    "id * 1.25D AS c_acctbal", "'X' AS c_mktsegment").coalesce(1).write.parquet(f"{d}/customer.parquet"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert n > 1
+    made = {q: Q.REGISTRY[q](spark, d) for q in ("geo_bbox", "geojson_parse", "core_parcels", "core_parcel_shapes", "tile_assign",
+                                                 "tile_cover")}
+    made |= {"features": Q._parcel_features(spark, d)}
+    for name, df in made.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        above, below = plan.split("Exchange RoundRobinPartitioning", 1)
+        assert "parseJson" in above and "parseJson" not in below, name
+        assert df.rdd.getNumPartitions() == n, name
+    assert len(T.tile_rows(made["features"]).inputFiles()) == n      # no reader has to take a single large row group
