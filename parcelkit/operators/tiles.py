@@ -55,12 +55,19 @@ _NONE = "filter({0}, e -> false)"
 
 
 def _frame(x: str, y: str, h: str) -> str:
-    return f"struct({x} AS x, {y} AS y, {x} * {h} AS x0, ({x} + 1) * {h} AS x1, {y} * {h} AS y0, ({y} + 1) * {h} AS y1)"
+    return (f"struct({x} AS x, {y} AS y, {x} * {h} AS x0, ({x} + 1) * {h} AS x1, {y} * {h} AS y0, ({y} + 1) * {h} AS y1, "
+            f"({x} * {h} + ({x} + 1) * {h}) / 2 AS mx, ({y} * {h} + ({y} + 1) * {h}) / 2 AS my)")
+
+
+def _quarters(node: str, h: str) -> str:
+    """Frames of a tile's four children, of height ``h``."""
+    at = f"transform(sequence(0, 3), c -> struct({node}.x * 2 + c % 2 AS x, {node}.y * 2 + c DIV 2 AS y, {h} AS h))"
+    return f"transform({at}, q -> {_frame('q.x', 'q.y', 'q.h')})"
 
 
 def _touches(t: str, near: str, odd: str) -> str:
     """Whether an edge passes through a tile, or its middle has an odd number of edges to its left."""
-    mx, my = f"({t}.x0 + {t}.x1) / 2", f"({t}.y0 + {t}.y1) / 2"
+    mx, my = f"{t}.mx", f"{t}.my"
     turn = f"(e.x2 - e.x1) * ({my} - e.y1) - (e.y2 - e.y1) * ({mx} - e.x1)"
     # The line has corners on both sides if its distance from the middle is within the tile's half, put as turns.
     passes = (f"exists({near}, e -> least(e.x1, e.x2) < {t}.x1 AND greatest(e.x1, e.x2) >= {t}.x0 AND least(e.y1, e.y2) < {t}.y1 "
@@ -93,24 +100,36 @@ def _children(node: str) -> str:
 
     ``near`` are the edges that meet a tile's rows and do not lie right of it; an edge to the left that
     spans all its rows only counts (``odd``)."""
-    x, y = f"({node}.x * 2 + c % 2)", f"({node}.y * 2 + c DIV 2)"
     left = "greatest(e.x1, e.x2) < t.x0 AND least(e.y1, e.y2) < t.y0 AND greatest(e.y1, e.y2) >= t.y1"
     near = (f"filter({node}.near, e -> least(e.y1, e.y2) < t.y1 AND greatest(e.y1, e.y2) >= t.y0 AND least(e.x1, e.x2) < t.x1 "
             f"AND NOT ({left}))")
     odd = f"{node}.odd <> (size(filter({node}.near, e -> {left})) % 2 = 1)"
-    frames = f"transform(sequence(0, 3), c -> {_frame(x, y, f'pow(2D, -1 - {node}.z)')})"
+    frames = _quarters(node, f"pow(2D, -1 - {node}.z)")
     tiles = f"transform({frames}, t -> struct(t AS t, {near} AS near, {odd} AS odd))"
     taken = f"filter({tiles}, k -> {_touches('k.t', 'k.near', 'k.odd')})"
     return f"transform({taken}, k -> {_node(f'{node}.z + 1', 'k.t.x', 'k.t.y', 'k.near', 'k.odd')})"
 
 
-def _descend(to: int, min_zoom: int) -> str:
+def _leaves(node: str, zoom: int) -> str:
+    """``_children`` at the last zoom.  None is taken further, so each is tested against the tile's own edges as
+    they are: those that do not matter there neither pass through it nor change the count to its left."""
+    taken = f"filter({_quarters(node, f'{2.0 ** -zoom!r}D')}, t -> {_touches('t', f'{node}.near', f'{node}.odd')})"
+    return f"transform({taken}, t -> {_node(str(zoom), 't.x', 't.y', _NONE.format(f'{node}.near'), 'false', 'true')})"
+
+
+def _descend(to: int, min_zoom: int, max_zoom: int) -> str:
     """``node`` taken down to zoom ``to``; its tiles on the way from ``min_zoom`` on stay, marked as done."""
     done = _node("n.z", "n.x", "n.y", _NONE.format("n.near"), "false", "true")
-    grown = f"concat(filter(array({done}), d -> d.z >= {min_zoom}), {_children('n')})"
-    level = f"flatten(transform(open, n -> IF(n.done, array(n), {grown})))"
-    return (f"IF(node.z < {to} AND NOT node.done, aggregate(sequence(node.z, {to - 1}), array(node), (open, z) -> {level}), "
-            "array(node))")
+
+    def level(children: str) -> str:
+        grown = f"concat(filter(array({done}), d -> d.z >= {min_zoom}), {children})"
+        return f"flatten(transform(open, n -> IF(n.done, array(n), {grown})))"
+    last = to - (to == max_zoom)
+    zooms = f"filter(sequence(node.z, greatest(node.z, {last - 1})), z -> z < {last})"
+    below = f"aggregate({zooms}, array(node), (open, z) -> {level(_children('n'))})"
+    if to == max_zoom:
+        below = f"transform(array({below}), open -> {level(_leaves('n', to))})[0]"
+    return f"IF(node.z < {to} AND NOT node.done, {below}, array(node))"
 
 
 def tile_assign(df: DataFrame, key: str = "property_id", polys: str = "polygons",
@@ -125,7 +144,7 @@ def tile_assign(df: DataFrame, key: str = "property_id", polys: str = "polygons"
     start = F.expr(f"IF(size(near) > 0, {_start(min_zoom, max_zoom)}, NULL)")
     nodes = edges.select(key, *carry, F.explode(start).alias("node"))
     for to in [*range(min_zoom, 0, -STEP)][::-1] + [*range(min_zoom + STEP, max_zoom, STEP), max_zoom]:
-        nodes = nodes.select(key, *carry, F.explode(F.expr(_descend(to, min_zoom))).alias("node"))
+        nodes = nodes.select(key, *carry, F.explode(F.expr(_descend(to, min_zoom, max_zoom))).alias("node"))
     return nodes.where(F.col("node.z") >= min_zoom).select(key, "node.z", "node.x", "node.y", *carry)
 
 
