@@ -231,7 +231,7 @@ def decide(key, order_of, lo, hi, data, begin, length: int) -> tuple[np.ndarray,
         new = np.concatenate(([True], (member[1:] != member[:-1]) | (partner[1:] != partner[:-1])
                               | (offset[1:] != offset[:-1] + 1)))[:len(member)]
         start = np.flatnonzero(new)
-        stop = np.append(start[1:], len(member)) - 1
+        stop = np.append(start, len(member))[1:] - 1      # none if no window is shared
         mark(member[start], partner[start], offset[start], offset[stop])
     return tuple(np.concatenate(x) for x in zip(*marks, strict=True))
 

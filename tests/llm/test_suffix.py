@@ -99,6 +99,24 @@ def test_forced_collision_is_caught():
         sd.Hashes.of = keep
 
 
+def test_grams_shared_without_a_shared_window(spark):
+    """Regions that share a gram but no window: nothing to mark, alone and beside a gram with equal windows."""
+    rng = random.Random(5)
+
+    def text(n):
+        return "".join(rng.choices("abcdefghijklmnop", k=n))
+
+    short = text(90)
+    rows = [(i, text(200) + short + text(200)) for i in range(4)]
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    assert np.bincount(np.unique(sd.grams(data, np.arange(4) * 490, 100)[4], return_inverse=True)[1]).max() > 1
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(df) == brute(rows) and sum(r[2] for r in result(df)) == 0
+    rows += [(i, text(150) + 2 * (short + "q" * 30) + text(150)) for i in range(7, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(df) == brute(rows) and sum(r[2] for r in result(df)) > 0
+
+
 def test_suffix_sort():
     rng = np.random.default_rng(1)
     data = rng.integers(97, 99, 3000).astype(np.uint8)
